@@ -142,16 +142,17 @@ def type_rank(kind: Column) -> Column:
 def list_side(
     people: DataFrame, source: Mapping[str, str], rules: MatchRules
 ) -> DataFrame:
-    """List rows with their comparison keys."""
-    return people.select("*", *comparison_keys(source, rules.texts))
+    """List rows that can match, with their comparison keys."""
+    return comparable(people, source).select("*", *comparison_keys(source, rules.texts))
 
 
-def consumer_side(consumers: DataFrame, rules: MatchRules, state: str | None = None,
-                  state_exact: bool = False) -> DataFrame:
+def consumer_side(
+    consumers: DataFrame, rules: MatchRules, state: str | None = None, state_exact: bool = False
+) -> DataFrame:
     """The seven consumer columns a match needs, named as in the result, with comparison keys."""
     require({c: c for c in consumers.columns}, CONSUMER)
     keys = {c: c for c in PERSON}
-    chosen = in_state(consumers, "state", state, state_exact).select(
+    chosen = comparable(in_state(consumers, "state", state, state_exact), keys).select(
         *[F.col(c).alias(m) for c, m in zip(CONSUMER, CONSUMER_COLUMNS)],
         *comparison_keys(keys, rules.texts, _CONSUMER_SIDE),
     )
@@ -169,8 +170,12 @@ def block_sizes(people: DataFrame, consumers: DataFrame) -> DataFrame:
 
 
 def candidate_pairs(people: DataFrame, consumers: DataFrame) -> DataFrame:
-    """All pairs of a list row and a consumer in the same block."""
-    return people.join(consumers, BLOCK_KEYS)
+    """All pairs of a list row and a consumer in the same block.
+
+    The list is partitioned by block even where Spark can broadcast the consumers: comparing
+    texts costs far more than moving rows, and a short list would be scored by one task.
+    """
+    return people.repartition(*BLOCK_KEYS).join(consumers, BLOCK_KEYS)
 
 
 # ---------------------------------------------------------------- best match
@@ -367,9 +372,6 @@ def best_matches(
     ``people`` and ``consumers`` carry comparison keys; ``person`` are the list columns that
     identify a person, ``columns`` all list columns to return.
     """
-    people, consumers = comparable(people), consumers.filter(
-        (F.col(ZIP) != "") & (F.col(C_ADDRESS) != "")
-    )
     rest = [c for c in columns if c not in person]
     tie_break = _orderable(people, rest)
     output = [F.col(quoted(c)) for c in (*columns, *MATCH_COLUMNS)]
