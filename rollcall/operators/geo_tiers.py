@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rollcall.functions.geo import GEO_TYPES, cell_text, geo_cell, is_tier_label, slug, state_in_text
+from rollcall.functions.geo import GEO_TYPES, read_cell, slug
 
 # Grid rows that are ordered together; the label in force is carried from one band to the next.
 BAND_ROWS = 10_000
@@ -23,27 +23,11 @@ class GeoTiers:
 
 def read_cells(cells: DataFrame, header_rows: int = 1, compat: bool = False) -> DataFrame:
     """Cells below the header that are a tier label or geography, with what they say."""
-    text = cell_text(F.col("value"))
-    return (
-        cells.filter(F.col("row") >= header_rows)
-        .select("sheet", "row", "col", text.alias("text"))
-        .filter(F.col("text").isNotNull())
-        .withColumns(
-            {
-                "is_label": is_tier_label(F.col("text"), compat),
-                "geo": geo_cell(F.col("text"), compat),
-            }
-        )
-        .select(
-            "sheet",
-            "row",
-            "col",
-            F.when(F.col("is_label"), slug(F.col("text"))).alias("label"),
-            F.when(F.col("is_label"), state_in_text(F.col("text"), compat)).alias("label_state"),
-            F.when(~F.col("is_label"), F.col("geo.geo_type")).alias("geo_type"),
-            F.when(~F.col("is_label"), F.col("geo.geo_value")).alias("geo_value"),
-        )
-        .filter(F.col("label").isNotNull() | F.col("geo_type").isNotNull())
+    reading = F.array(read_cell(F.col("value"), compat))
+    useful = F.filter(reading, lambda r: r["label"].isNotNull() | r["geo_type"].isNotNull())
+    # A generator reads each cell once; a filter after a projection would read it twice.
+    return cells.filter(F.col("row") >= header_rows).select(
+        "sheet", "row", "col", F.inline(useful)
     )
 
 
