@@ -1,14 +1,16 @@
 """Similarity of two normalized texts, integers from 0 to 100.
 
 ``100 * 2 * LCS / (len(a) + len(b))``, rounded down, is the base measure (LCS is the
-longest common subsequence). The best-of-four score that the match uses is one
-Arrow UDF; each single measure also exists as a plain Column expression.
+longest common subsequence). Whole-text, word-sorted and word-set similarity are Column
+expressions. Partial similarity slides a window, and the best of all four, which the match
+uses, shares its work between them: both are Arrow UDFs.
 """
 
 from __future__ import annotations
 
 import re
 import sys
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import pandas as pd
@@ -23,63 +25,87 @@ from pyspark.sql.types import IntegerType
 _BITS = 62
 
 
+def _bind(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _chars(c: Column) -> Column:
     return F.filter(F.split(c, ""), lambda ch: ch != "")
 
 
-def _lcs_bits(short: Column, long: Column) -> Column:
-    """Bit-parallel LCS length (Hyyro 2004), ``short`` within one bigint."""
-    letters = _chars(short)
+def _lcs_bits(texts: Column) -> Column:
+    """Bit-parallel LCS length (Hyyro 2004); the shorter text fits one bigint."""
     zero, one = F.lit(0).cast("bigint"), F.lit(1).cast("bigint")
 
     def bit(at: Column) -> Column:
         return F.call_function("shiftleft", one, at)
 
-    full = bit(F.length(short)) - 1
+    def with_masks(t: Column) -> Column:
+        def mask(ch: Column) -> Column:
+            hits = F.transform(t["short"], lambda own, at: F.when(own == ch, bit(at)).otherwise(zero))
+            return F.aggregate(hits, zero, lambda bits, hit: bits.bitwiseOR(hit))
 
-    def positions(ch: Column) -> Column:
-        bits = F.transform(letters, lambda own, at: F.when(own == ch, bit(at)).otherwise(zero))
-        return F.aggregate(bits, zero, lambda mask, hit: mask.bitwiseOR(hit))
+        known = F.array_distinct(t["short"])
+        return F.struct(
+            F.map_from_arrays(known, F.transform(known, mask)).alias("masks"),
+            (bit(F.size(t["short"])) - 1).alias("full"),
+            t["long"].alias("long"),
+        )
 
-    def step(state: Column, ch: Column) -> Column:
-        hit = state.bitwiseAND(positions(ch))
-        return (state + hit).bitwiseOR(state - hit).bitwiseAND(full)
+    def length(t: Column) -> Column:
+        def step(state: Column, ch: Column) -> Column:
+            hit = state.bitwiseAND(F.coalesce(F.try_element_at(t["masks"], ch), zero))
+            return (state + hit).bitwiseOR(state - hit).bitwiseAND(t["full"])
 
-    state = F.aggregate(_chars(long), full, step)
-    return F.bit_count(F.bitwise_not(state).bitwiseAND(full)).cast("int")
+        state = F.aggregate(t["long"], t["full"], step)
+        return F.bit_count(F.bitwise_not(state).bitwiseAND(t["full"])).cast("int")
 
+    return _bind(_bind(texts, with_masks), length)
 
-def _lcs_rows(short: Column, long: Column) -> Column:
+
+def _lcs_rows(texts: Column) -> Column:
     """LCS length row by row, for two texts that are both longer than a bigint."""
-    letters = _chars(short)
-    start = F.array_repeat(F.lit(0), F.length(short) + 1)
-
-    def next_row(row: Column, ch: Column) -> Column:
-        return F.aggregate(
-            F.sequence(F.lit(1), F.length(short)),
-            F.array(F.lit(0)),
-            lambda done, at: F.concat(
-                done,
-                F.array(
-                    F.when(F.get(letters, at - 1) == ch, F.get(row, at - 1) + 1).otherwise(
-                        F.greatest(F.get(row, at), F.get(done, at - 1))
-                    )
+
+    def length(t: Column) -> Column:
+        letters, n = t["short"], F.size(t["short"])
+
+        def next_row(row: Column, ch: Column) -> Column:
+            return F.aggregate(
+                F.sequence(F.lit(1), n),
+                F.array(F.lit(0)),
+                lambda done, at: F.concat(
+                    done,
+                    F.array(
+                        F.when(F.get(letters, at - 1) == ch, F.get(row, at - 1) + 1).otherwise(
+                            F.greatest(F.get(row, at), F.get(done, at - 1))
+                        )
+                    ),
                 ),
-            ),
-        )
+            )
+
+        return F.get(F.aggregate(t["long"], F.array_repeat(F.lit(0), n + 1), next_row), n)
 
-    return F.get(F.aggregate(_chars(long), start, next_row), F.length(short))
+    return _bind(texts, length)
 
 
 def lcs_length(a: Column, b: Column) -> Column:
     """Length of the longest common subsequence."""
-    short = F.when(F.length(a) <= F.length(b), a).otherwise(b)
-    long = F.when(F.length(a) <= F.length(b), b).otherwise(a)
-    return (
-        F.when(F.length(short) == 0, F.lit(0))
-        .when(F.length(short) <= _BITS, _lcs_bits(short, long))
-        .otherwise(_lcs_rows(short, long))
-    )
+
+    def ordered(t: Column) -> Column:
+        a_first = F.size(t["a"]) <= F.size(t["b"])
+        return F.struct(
+            F.when(a_first, t["a"]).otherwise(t["b"]).alias("short"),
+            F.when(a_first, t["b"]).otherwise(t["a"]).alias("long"),
+        )
+
+    def length(t: Column) -> Column:
+        n = F.size(t["short"])
+        return (
+            F.when(n == 0, F.lit(0)).when(n <= _BITS, _lcs_bits(t)).otherwise(_lcs_rows(t))
+        )
+
+    return _bind(_bind(F.struct(_chars(a).alias("a"), _chars(b).alias("b")), ordered), length)
 
 
 def _percent(common: Column, total: Column) -> Column:
@@ -105,51 +131,41 @@ def token_sort_ratio(a: Column, b: Column) -> Column:
     """Similarity after sorting the words of each text."""
     left = F.array_join(F.array_sort(_tokens(a)), " ")
     right = F.array_join(F.array_sort(_tokens(b)), " ")
-    return _gated(a, b, indel_ratio(left, right))
+    both = F.struct(left.alias("a"), right.alias("b"))
+    return _gated(a, b, _bind(both, lambda t: indel_ratio(t["a"], t["b"])))
 
 
 def token_set_ratio(a: Column, b: Column) -> Column:
     """Similarity of the word sets: what both share against what each has on top."""
-    left, right = F.array_distinct(_tokens(a)), F.array_distinct(_tokens(b))
-    shared = F.array_join(F.array_sort(F.array_intersect(left, right)), " ")
-    only_left = F.array_join(F.array_sort(F.array_except(left, right)), " ")
-    only_right = F.array_join(F.array_sort(F.array_except(right, left)), " ")
-
-    # The shared words are a common prefix, so each LCS follows from that of the rests.
-    n, x, y = F.length(shared), F.length(only_left), F.length(only_right)
-    best = F.greatest(
-        _percent(n, n + n + 1 + x),
-        _percent(n, n + n + 1 + y),
-        _percent(n + 1 + lcs_length(only_left, only_right), n + n + 2 + x + y),
-    )
-    score = (
-        F.when(n == 0, indel_ratio(only_left, only_right))
-        .when((x == 0) | (y == 0), F.lit(100))
-        .otherwise(best)
-    )
-    return _gated(a, b, score)
 
+    def join(words: Column) -> Column:
+        return F.array_join(F.array_sort(words), " ")
 
-def partial_ratio(a: Column, b: Column) -> Column:
-    """Best similarity of the shorter text to any stretch of the longer one of its length or less."""
-
-    def against(short: Column, long: Column) -> Column:
-        n = F.length(short)
-
-        def at(start: Column) -> Column:
-            first = F.greatest(start, F.lit(1))
-            last = F.least(start + n - 1, F.length(long))
-            window = long.substr(first, last - first + 1)
-            return _percent(lcs_length(short, window), n + F.length(window))
+    def rests(t: Column) -> Column:
+        return F.struct(
+            F.length(join(F.array_intersect(t["a"], t["b"]))).alias("n"),
+            join(F.array_except(t["a"], t["b"])).alias("a"),
+            join(F.array_except(t["b"], t["a"])).alias("b"),
+        )
 
-        return F.array_max(F.transform(F.sequence(F.lit(2) - n, F.length(long)), at))
+    def score(t: Column) -> Column:
+        # The shared words are a common prefix, so each LCS follows from that of the rests.
+        n, x, y = t["n"], F.length(t["a"]), F.length(t["b"])
+        best = F.greatest(
+            _percent(n, n + n + 1 + x),
+            _percent(n, n + n + 1 + y),
+            _percent(n + 1 + lcs_length(t["a"], t["b"]), n + n + 2 + x + y),
+        )
+        return (
+            F.when(n == 0, indel_ratio(t["a"], t["b"]))
+            .when((x == 0) | (y == 0), F.lit(100))
+            .otherwise(best)
+        )
 
-    score = (
-        F.when(F.length(a) < F.length(b), against(a, b))
-        .when(F.length(a) > F.length(b), against(b, a))
-        .otherwise(F.greatest(against(a, b), against(b, a)))
+    words = F.struct(
+        F.array_distinct(_tokens(a)).alias("a"), F.array_distinct(_tokens(b)).alias("b")
     )
-    return _gated(a, b, score)
+    return _gated(a, b, _bind(_bind(words, rests), score))
 
 
 # ---------------------------------------------------------------- Arrow UDFs
@@ -158,12 +174,26 @@ def partial_ratio(a: Column, b: Column) -> Column:
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
-def _lcs(a: str, b: str) -> int:
-    full = (1 << len(a)) - 1
+def _positions(text: str) -> dict[str, int]:
+    """Bit mask of the places of each character."""
     where: dict[str, int] = {}
-    for at, ch in enumerate(a):
+    for at, ch in enumerate(text):
         where[ch] = where.get(ch, 0) | 1 << at
-    state = full
+    return where
+
+
+def _running_lcs(where: dict[str, int], size: int, other: str) -> Iterator[int]:
+    """LCS length of a text (its positions and size) with each prefix of the other."""
+    full = state = (1 << size) - 1
+    for ch in other:
+        hit = state & where.get(ch, 0)
+        state = ((state + hit) | (state - hit)) & full
+        yield size - state.bit_count()
+
+
+def _lcs(a: str, b: str) -> int:
+    full = state = (1 << len(a)) - 1
+    where = _positions(a)
     for ch in b:
         hit = state & where.get(ch, 0)
         state = ((state + hit) | (state - hit)) & full
@@ -174,15 +204,30 @@ def _best_window(short: str, long: str, common: int, best: int) -> int:
     """Highest score of ``short`` on a window of ``long``, or ``best`` if none beats it."""
     if short in long:
         return 100
-    n = len(short)
-    for start in range(1 - n, len(long)):
-        window = long[max(start, 0) : start + n]
+    n, where = len(short), _positions(short)
+    for size, shared in enumerate(_running_lcs(where, n, long[: n - 1]), start=1):
+        best = max(best, 200 * shared // (n + size))
+    for start in range(len(long)):
+        window = long[start : start + n]
+        # A full window ending in a foreign character is no better than its left neighbour.
+        if len(window) == n and window[-1] not in where:
+            continue
         total = n + len(window)
         if 200 * min(common, len(window)) // total > best:
-            best = max(best, 200 * _lcs(short, window) // total)
+            *_, shared = _running_lcs(where, n, window)
+            best = max(best, 200 * shared // total)
     return best
 
 
+def best_partial_score(a: str, b: str) -> int:
+    """Best score of the shorter text on a stretch of the longer one of its length or less."""
+    if not a or not b:
+        return 0
+    short, long = sorted((a, b), key=len)
+    best = _best_window(short, long, len(short), 0)
+    return _best_window(long, short, len(short), best) if len(short) == len(long) else best
+
+
 def best_edit_score(a: str, b: str, needed: int = 0) -> int:
     """Best of whole, word-sorted, word-set and partial similarity.
 
@@ -239,9 +284,15 @@ def _scorer(score):
 
 
 _whole_text = _scorer(best_edit_score)
+_partial = _scorer(best_partial_score)
 _name_parts = _scorer(best_name_part_score)
 
 
+def partial_ratio(a: Column, b: Column) -> Column:
+    """Best similarity of the shorter text to any stretch of the longer one of its length or less."""
+    return _partial(a, b)
+
+
 def edit_score(a: Column, b: Column, needed: int = 0) -> Column:
     """Best of the four similarities; below ``needed`` only known to be below it."""
     if needed:
