@@ -106,26 +106,29 @@ def normalize_names(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def _sides(spark: SparkSession, folder: str, rules: m.MatchRules = EDIT_ONLY):
-    source = {key: d.MAPPING[key] for key in d.MAPPING}
+def _sides(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     return (
-        m.list_side(d.people(spark, folder), source, rules),
-        m.consumer_side(d.consumers(spark, folder), rules),
+        m.blocked_list(d.people(spark, folder), d.MAPPING),
+        m.blocked_consumers(d.consumers(spark, folder)),
     )
 
 
 def _text_pairs(spark: SparkSession, folder: str, kinds: tuple[str, ...]) -> DataFrame:
     """Distinct texts that meet in a block."""
-    people, consumers = _sides(spark, folder)
+    blocked, consumers = _sides(spark, folder)
+    left = m.list_texts(blocked, d.MAPPING, EDIT_ONLY)
+    right = m.consumer_texts(consumers, EDIT_ONLY)
     columns = {"first": (FIRST, m.C_FIRST), "last": (LAST, m.C_LAST), "address": (ADDRESS, m.C_ADDRESS)}
     # Texts are made distinct per block first, so that copies do not multiply.
     found = None
     for kind in kinds:
         a, b = columns[kind]
-        pairs = m.candidate_pairs(
-            people.select(*m.BLOCK_KEYS, F.col(a).alias("a")).distinct(),
-            consumers.select(*m.BLOCK_KEYS, F.col(b).alias("b")).distinct(),
-        ).select("a", "b")
+        pairs = (
+            left.select(*m.BLOCK_KEYS, F.col(a).alias("a"))
+            .distinct()
+            .join(right.select(*m.BLOCK_KEYS, F.col(b).alias("b")).distinct(), m.BLOCK_KEYS)
+            .select("a", "b")
+        )
         found = pairs if found is None else found.unionByName(pairs)
     return found.filter("a <> '' AND b <> ''").distinct().repartition("a", "b")
 
@@ -165,7 +168,8 @@ def comparison_sizes(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def candidate_pairs(spark: SparkSession, folder: str) -> DataFrame:
-    return m.candidate_pairs(*_sides(spark, folder)).select("finder_number", "match_id")
+    pairs = m.candidate_pairs(*_sides(spark, folder), d.MAPPING, EDIT_ONLY)
+    return pairs.select("finder_number", "match_id")
 
 
 def _match(rules: m.MatchRules, state: str | None = None) -> Callable[[SparkSession, str], DataFrame]:

@@ -136,6 +136,15 @@ PHONETIC_CODES = {
 PHONETIC_SCORE = 90
 
 
+def phonetic_codes(forms: Column) -> Column:
+    """All codes of an array of texts, each marked with its kind."""
+    kinds = [
+        F.transform(F.transform(forms, code), lambda value: F.concat(F.lit(f"{kind}:"), value))
+        for kind, code in PHONETIC_CODES.items()
+    ]
+    return F.array_distinct(F.concat(*kinds))
+
+
 def forms_agree(a_forms: Column, b_forms: Column) -> Column:
     """True when any of one array of texts shares a code with any of the other."""
     agree = F.lit(False)

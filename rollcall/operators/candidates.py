@@ -21,7 +21,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rollcall.functions.phonetic import PHONETIC_CODES, PHONETIC_SCORE
+from rollcall.functions.phonetic import PHONETIC_SCORE, phonetic_codes
 from rollcall.functions.text import name_forms
 from rollcall.storage import materialize
 
@@ -47,13 +47,11 @@ def large_groups(
     left: DataFrame, right: DataFrame, keys: Sequence[str], limit: int = PAIR_LIMIT
 ) -> DataFrame | None:
     """Keys of the groups over the limit, or None if there are none."""
-    found = materialize(
-        group_sizes(left, right, keys).filter(F.col("pairs") > limit).select(*keys)
-    )
-    count = found.count()
-    if count == 0:
+    found = group_sizes(left, right, keys).filter(F.col("pairs") > limit).select(*keys)
+    if found.isEmpty():
         return None
-    return F.broadcast(found) if count <= BROADCAST_GROUPS else found
+    found = materialize(found)
+    return F.broadcast(found) if found.count() <= BROADCAST_GROUPS else found
 
 
 def _edits(text: Column, threshold: int) -> Column:
@@ -168,13 +166,7 @@ def _code_pairs(
 
     def coded(side: DataFrame, text: str) -> DataFrame:
         forms = name_forms(F.col(text)) if parts else F.array(F.col(text))
-        codes = [
-            F.transform(F.transform(forms, code), lambda value: F.concat(F.lit(kind), value))
-            for kind, code in PHONETIC_CODES.items()
-        ]
-        return side.select(
-            *side.columns, F.explode(F.array_distinct(F.concat(*codes))).alias("_code")
-        )
+        return side.select(*side.columns, F.explode(phonetic_codes(forms)).alias("_code"))
 
     return (
         coded(left, left_text)

@@ -10,7 +10,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import MapType, VariantType
 
 from rollcall.functions.names import Header, quoted
-from rollcall.functions.phonetic import PHONETIC_SCORE, codes_agree, forms_agree
+from rollcall.functions.phonetic import (
+    PHONETIC_SCORE,
+    codes_agree,
+    forms_agree,
+    phonetic_codes,
+)
 from rollcall.functions.similarity import edit_score, name_part_score
 from rollcall.functions.text import name_forms
 from rollcall.operators.candidates import PAIR_LIMIT, group_sizes, large_groups, text_pairs
@@ -24,8 +29,9 @@ from rollcall.operators.people import (
     ZIP,
     ZIP4,
     Texts,
+    block_keys,
     comparable,
-    comparison_keys,
+    compared_texts,
     in_state,
     require,
     resolve_mapping,
@@ -49,6 +55,8 @@ MATCH_COLUMNS = (*CONSUMER_COLUMNS, *SCORE_COLUMNS, "match_type", "match_overall
 
 _CONSUMER_SIDE = "_rc_c"
 C_FIRST, C_LAST, C_ADDRESS = (_CONSUMER_SIDE + c for c in (FIRST, LAST, ADDRESS))
+ADDRESS_CODES = "_rc_codes"
+C_ADDRESS_CODES = _CONSUMER_SIDE + ADDRESS_CODES
 
 
 @dataclass(frozen=True)
@@ -81,6 +89,11 @@ class MatchRules:
     def household(self) -> int:
         return self.threshold if self.household_threshold is None else self.household_threshold
 
+    @property
+    def phonetic_decides(self) -> bool:
+        """Whether sounding alike is enough for an address to agree."""
+        return self.phonetic and self.threshold <= PHONETIC_SCORE
+
 
 # ---------------------------------------------------------------- scores
 
@@ -96,13 +109,16 @@ def name_score(
     return _raise_to_phonetic(a, b, edit, agree)
 
 
-def address_score(a: Column, b: Column, phonetic: bool = True, needed: int = 0) -> Column:
-    """Score of two normalized addresses of the same ZIP, exact from ``needed`` up."""
-    edit = edit_score(a, b, needed)
-    # From 91 up a phonetic hit cannot reach what is needed, and the rest is exact anyway.
-    if not phonetic or needed > PHONETIC_SCORE:
-        return edit
-    return _raise_to_phonetic(a, b, edit, codes_agree(a, b))
+def address_score(a: Column, b: Column, phonetic: bool = True) -> Column:
+    """Score of two normalized addresses of the same ZIP."""
+    edit = edit_score(a, b)
+    return _raise_to_phonetic(a, b, edit, codes_agree(a, b)) if phonetic else edit
+
+
+def _agreement(a: Column, b: Column, agree: Column, rules: MatchRules) -> Column:
+    """Address score that is exact from the threshold up, which is all that a match shows."""
+    edit = edit_score(a, b, needed=rules.threshold)
+    return _raise_to_phonetic(a, b, edit, agree) if rules.phonetic_decides else edit
 
 
 def _raise_to_phonetic(a: Column, b: Column, edit: Column, agree: Column) -> Column:
@@ -139,28 +155,43 @@ def type_rank(kind: Column) -> Column:
 # ---------------------------------------------------------------- sides
 
 
-def list_side(
-    people: DataFrame, source: Mapping[str, str], rules: MatchRules
-) -> DataFrame:
-    """List rows that can match, with their comparison keys."""
-    return comparable(people, source).select("*", *comparison_keys(source, rules.texts))
+def blocked_list(people: DataFrame, source: Mapping[str, str]) -> DataFrame:
+    """List rows that can match, with their block keys."""
+    return comparable(people, source).select("*", *block_keys(source))
 
 
-def consumer_side(
-    consumers: DataFrame, rules: MatchRules, state: str | None = None, state_exact: bool = False
+def blocked_consumers(
+    consumers: DataFrame, state: str | None = None, state_exact: bool = False
 ) -> DataFrame:
-    """The seven consumer columns a match needs, named as in the result, with comparison keys."""
+    """Consumers that can match: the six columns a match needs, named as in the result."""
     require({c: c for c in consumers.columns}, CONSUMER)
-    keys = {c: c for c in PERSON}
-    chosen = comparable(in_state(consumers, "state", state, state_exact), keys).select(
-        *[F.col(c).alias(m) for c, m in zip(CONSUMER, CONSUMER_COLUMNS)],
-        *comparison_keys(keys, rules.texts, _CONSUMER_SIDE),
-    )
-    return chosen.withColumnsRenamed(
-        {_CONSUMER_SIDE + ZIP: ZIP, _CONSUMER_SIDE + ZIP4: ZIP4}
+    source = {c: c for c in PERSON}
+    chosen = comparable(in_state(consumers, "state", state, state_exact), source)
+    return chosen.select(
+        *[F.col(c).alias(m) for c, m in zip(CONSUMER, CONSUMER_COLUMNS)], *block_keys(source)
     )
 
 
+def list_texts(people: DataFrame, source: Mapping[str, str], rules: MatchRules) -> DataFrame:
+    """Blocked list rows with the texts to compare."""
+    df = people.select("*", *compared_texts(source, rules.texts))
+    return _address_codes(df, ADDRESS, ADDRESS_CODES, rules)
+
+
+def consumer_texts(consumers: DataFrame, rules: MatchRules) -> DataFrame:
+    """Blocked consumers with the texts to compare."""
+    source = dict(zip(PERSON, CONSUMER_COLUMNS[1:]))
+    df = consumers.select("*", *compared_texts(source, rules.texts, _CONSUMER_SIDE))
+    return _address_codes(df, C_ADDRESS, C_ADDRESS_CODES, rules)
+
+
+def _address_codes(df: DataFrame, text: str, codes: str, rules: MatchRules) -> DataFrame:
+    """Phonetic codes of the address, where they can decide: once per row, not per pair."""
+    if not rules.phonetic_decides:
+        return df
+    return df.withColumn(codes, phonetic_codes(F.array(F.col(text))))
+
+
 def block_sizes(people: DataFrame, consumers: DataFrame) -> DataFrame:
     """Rows on both sides and pairs of every block that occurs on both."""
     sizes = group_sizes(people, consumers, BLOCK_KEYS)
@@ -169,18 +200,26 @@ def block_sizes(people: DataFrame, consumers: DataFrame) -> DataFrame:
     )
 
 
-def candidate_pairs(people: DataFrame, consumers: DataFrame) -> DataFrame:
-    """All pairs of a list row and a consumer in the same block.
+def candidate_pairs(
+    people: DataFrame, consumers: DataFrame, source: Mapping[str, str], rules: MatchRules
+) -> DataFrame:
+    """All pairs of a blocked list row and a blocked consumer in the same block.
 
     The list is partitioned by block even where Spark can broadcast the consumers: comparing
     texts costs far more than moving rows, and a short list would be scored by one task.
     """
-    return people.repartition(*BLOCK_KEYS).join(consumers, BLOCK_KEYS)
+    spread = list_texts(people.repartition(*BLOCK_KEYS), source, rules)
+    return spread.join(consumer_texts(consumers, rules), BLOCK_KEYS)
 
 
 # ---------------------------------------------------------------- best match
 
 
+def person_columns(source: Mapping[str, str]) -> list[str]:
+    """List columns whose raw values tell people apart."""
+    return list(dict.fromkeys(source[key] for key in PERSON))
+
+
 def _orderable(df: DataFrame, columns: list[str]) -> list[str]:
     """Columns usable as tie-break."""
     unordered = (MapType, VariantType)
@@ -192,9 +231,7 @@ def _same_house_number(a: Column, b: Column) -> Column:
     return F.regexp_extract(a, number, 1) == F.regexp_extract(b, number, 1)
 
 
-def _ranked(
-    pairs: DataFrame, person: list[str], tie_break: list[str], rules: MatchRules
-) -> DataFrame:
+def _ranked(pairs: DataFrame, person: list[str], tie_break: list[str]) -> DataFrame:
     """The first pair of each person: by match type, overall score, match, then list columns."""
     order = [
         type_rank(F.col("match_type")),
@@ -210,13 +247,13 @@ def _ranked(
 
 def _scored(pairs: DataFrame, rules: MatchRules) -> DataFrame:
     """Pairs that agree on the address, with all scores; names are scored only for these."""
-    first, last, address = SCORE_COLUMNS
+    address = SCORE_COLUMNS[2]
+    agree = F.arrays_overlap(ADDRESS_CODES, C_ADDRESS_CODES) if rules.phonetic_decides else None
     if rules.strict_house_number:
         pairs = pairs.filter(_same_house_number(F.col(ADDRESS), F.col(C_ADDRESS)))
     return _typed(
         pairs.withColumn(
-            address,
-            address_score(F.col(ADDRESS), F.col(C_ADDRESS), rules.phonetic, rules.threshold),
+            address, _agreement(F.col(ADDRESS), F.col(C_ADDRESS), agree, rules)
         ).filter(F.col(address) >= rules.threshold),
         rules,
     )
@@ -288,7 +325,10 @@ def _best_in_large_blocks(
         address_pairs = address_pairs.filter(_same_house_number(F.col(ADDRESS), F.col(C_ADDRESS)))
     address_pairs = materialize(
         address_pairs.withColumn(
-            "_rc_a", address_score(F.col(ADDRESS), F.col(C_ADDRESS), rules.phonetic, rules.threshold)
+            "_rc_a",
+            _agreement(
+                F.col(ADDRESS), F.col(C_ADDRESS), codes_agree(F.col(ADDRESS), F.col(C_ADDRESS)), rules
+            ),
         ).filter(F.col("_rc_a") >= rules.threshold)
     )
     by_address = best(
@@ -347,38 +387,35 @@ def _best_in_large_blocks(
         )
     )
     match = F.col("_rc_best._rc_match")
-    texts = comparison_keys(
-        dict(zip(PERSON, CONSUMER_COLUMNS[1:])), rules.texts, _CONSUMER_SIDE
-    )
     unpacked = chosen.select(
         *[F.col(quoted(c)) for c in person],
         *[F.col("_rc_rest")[c].alias(c) for c in rest],
         *keys,
         *[match[c].alias(c) for c in CONSUMER_COLUMNS],
         F.col("_rc_best._rc_a").alias(SCORE_COLUMNS[2]),
-    ).select("*", *[t for t in texts[2:]])
-    return _typed(unpacked, rules)
+    )
+    return _typed(consumer_texts(unpacked, rules), rules)
 
 
 def best_matches(
     people: DataFrame,
     consumers: DataFrame,
-    person: list[str],
+    source: Mapping[str, str],
     columns: list[str],
     rules: MatchRules,
 ) -> DataFrame:
-    """Best match of every person on the list who has one.
+    """Best match of every person on the list who has one, with all the list ``columns``.
 
-    ``people`` and ``consumers`` carry comparison keys; ``person`` are the list columns that
-    identify a person, ``columns`` all list columns to return.
+    ``people`` and ``consumers`` carry block keys.
     """
+    person = person_columns(source)
     rest = [c for c in columns if c not in person]
     tie_break = _orderable(people, rest)
     output = [F.col(quoted(c)) for c in (*columns, *MATCH_COLUMNS)]
 
     def best_of_all_pairs(left: DataFrame, right: DataFrame) -> DataFrame:
-        scored = _scored(candidate_pairs(left, right), rules)
-        return _ranked(scored, person, tie_break, rules).select(*output)
+        scored = _scored(candidate_pairs(left, right, source, rules), rules)
+        return _ranked(scored, person, tie_break).select(*output)
 
     large = large_groups(people, consumers, BLOCK_KEYS, rules.pair_limit)
     if large is None:
@@ -387,8 +424,8 @@ def best_matches(
         people.join(large, BLOCK_KEYS, "left_anti"), consumers.join(large, BLOCK_KEYS, "left_anti")
     )
     narrowed = _best_in_large_blocks(
-        people.join(large, BLOCK_KEYS, "left_semi"),
-        consumers.join(large, BLOCK_KEYS, "left_semi"),
+        list_texts(people.join(large, BLOCK_KEYS, "left_semi"), source, rules),
+        consumer_texts(consumers.join(large, BLOCK_KEYS, "left_semi"), rules),
         person, rest, tie_break, rules,
     )
     return small.unionByName(narrowed.select(*output))
@@ -420,10 +457,11 @@ def match_people(
     if clash:
         raise ValueError(f"list columns with reserved names: {clash}")
 
-    person = list(dict.fromkeys(source[key] for key in PERSON))
-    keyed = list_side(people, source, rules)
+    person = person_columns(source)
     found = best_matches(
-        keyed, consumer_side(consumers, rules, state, state_exact), person, columns, rules
+        blocked_list(people, source),
+        blocked_consumers(consumers, state, state_exact),
+        source, columns, rules,
     )
     if not rules.per_row and not rules.keep_unmatched:
         return found

@@ -79,18 +79,21 @@ class Texts:
         return cls(WORD_EXPANSIONS, WORD_EXPANSIONS)
 
 
-def comparison_keys(source: Mapping[str, str], texts: Texts, prefix: str = "") -> list[Column]:
-    """Block keys and normalized texts, computed once per row."""
+def block_keys(source: Mapping[str, str]) -> list[Column]:
+    """Keys that both sides of a pair share."""
+    return [
+        zip_key(F.col(quoted(source["zip"]))).alias(ZIP),
+        zip4_key(F.col(quoted(source["zip4"]))).alias(ZIP4),
+    ]
 
-    def of(key: str) -> Column:
-        return F.col(quoted(source[key]))
 
+def compared_texts(source: Mapping[str, str], texts: Texts, prefix: str = "") -> list[Column]:
+    """Normalized texts, computed once per row."""
+    words = {"first_name": texts.names, "last_name": texts.names, "address": texts.addresses}
+    names = {"first_name": FIRST, "last_name": LAST, "address": ADDRESS}
     return [
-        zip_key(of("zip")).alias(prefix + ZIP),
-        zip4_key(of("zip4")).alias(prefix + ZIP4),
-        normalize_text(of("first_name"), texts.names).alias(prefix + FIRST),
-        normalize_text(of("last_name"), texts.names).alias(prefix + LAST),
-        normalize_text(of("address"), texts.addresses).alias(prefix + ADDRESS),
+        normalize_text(F.col(quoted(source[key])), words[key]).alias(prefix + names[key])
+        for key in names
     ]
 
 
