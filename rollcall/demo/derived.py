@@ -92,11 +92,11 @@ LINE = "concat_ws(','," + ", ".join(f"coalesce({f}, '')" for f in _FIELDS) + ")"
 LINES = ["CAST(finder_number AS BIGINT) AS line_key", f"{LINE} AS value"]
 
 # The same lines with some of them damaged.
+DAMAGED_BASE = ["CAST(finder_number AS BIGINT) AS line_key", "finder_number", "street", f"{LINE} AS line"]
 DAMAGED_LINES = [
-    "CAST(finder_number AS BIGINT) AS line_key",
-    f"""CASE CAST(finder_number AS BIGINT) % 11 WHEN 3 THEN finder_number || ',' || street
-        WHEN 5 THEN {LINE} || ',x' WHEN 7 THEN '' WHEN 9 THEN replace({LINE}, 'Adams', '"Adams, N"')
-        ELSE {LINE} END AS value""",
+    "line_key",
+    """CASE line_key % 11 WHEN 3 THEN finder_number || ',' || street WHEN 5 THEN line || ',x'
+       WHEN 7 THEN '' WHEN 9 THEN replace(line, 'Adams', '"Adams, N"') ELSE line END AS value""",
 ]
 
 # ZIP and suffix in one column, under the name the split looks for.

@@ -9,7 +9,7 @@ from rollcall.functions.text import WORD_EXPANSIONS
 
 PEOPLE = d.sql("orders", d.LIST_BASE, d.LIST)
 CONSUMERS = d.sql("customer", d.CONSUMER_BASE, d.CONSUMER)
-DAMAGED = d.sql("orders", d.LIST_BASE, d.LIST, d.DAMAGED_LINES)
+DAMAGED = d.sql("orders", d.LIST_BASE, d.LIST, d.DAMAGED_BASE, d.DAMAGED_LINES)
 CELLS = d.sql("customer", d.CELLS)
 
 

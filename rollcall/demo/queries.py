@@ -37,11 +37,17 @@ EDIT_ONLY = m.MatchRules(92, phonetic=False)
 # ---------------------------------------------------------------- import and preparation
 
 
+def _as_read(lines: DataFrame) -> DataFrame:
+    """Derived lines behind a generator, so that filters do not derive the text once more."""
+    others = [c for c in lines.columns if c != "value"]
+    return lines.select(*others, F.explode(F.array("value")).alias("value"))
+
+
 def _list_lines(spark: SparkSession, folder: str) -> DataFrame:
     """List lines, with the header line once per order priority as if from several files."""
     lines = d.frame(spark, folder, "orders", d.LIST_BASE, d.LIST, d.LINES).select("value")
     heads = d.frame(spark, folder, "orders", ["o_orderpriority"]).distinct()
-    return heads.select(F.lit(d.HEADER).alias("value")).unionByName(lines)
+    return heads.select(F.lit(d.HEADER).alias("value")).unionByName(_as_read(lines))
 
 
 def import_clean_rows(spark: SparkSession, folder: str) -> DataFrame:
@@ -53,7 +59,9 @@ def import_quality_report(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _damaged_lines(spark: SparkSession, folder: str) -> DataFrame:
-    return d.frame(spark, folder, "orders", d.LIST_BASE, d.LIST, d.DAMAGED_LINES)
+    return _as_read(
+        d.frame(spark, folder, "orders", d.LIST_BASE, d.LIST, d.DAMAGED_BASE, d.DAMAGED_LINES)
+    )
 
 
 def quarantine_bad_rows(spark: SparkSession, folder: str) -> DataFrame:
@@ -116,21 +124,17 @@ def _sides(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
 def _text_pairs(spark: SparkSession, folder: str, kinds: tuple[str, ...]) -> DataFrame:
     """Distinct texts that meet in a block."""
     blocked, consumers = _sides(spark, folder)
-    left = m.list_texts(blocked, d.MAPPING, EDIT_ONLY)
+    left = m.list_texts(blocked.repartition("zipcode"), d.MAPPING, EDIT_ONLY)
     right = m.consumer_texts(consumers, EDIT_ONLY)
     columns = {"first": (FIRST, m.C_FIRST), "last": (LAST, m.C_LAST), "address": (ADDRESS, m.C_ADDRESS)}
-    # Texts are made distinct per block first, so that copies do not multiply.
-    found = None
-    for kind in kinds:
-        a, b = columns[kind]
-        pairs = (
-            left.select(*m.BLOCK_KEYS, F.col(a).alias("a"))
-            .distinct()
-            .join(right.select(*m.BLOCK_KEYS, F.col(b).alias("b")).distinct(), m.BLOCK_KEYS)
-            .select("a", "b")
-        )
-        found = pairs if found is None else found.unionByName(pairs)
-    return found.filter("a <> '' AND b <> ''").distinct().repartition("a", "b")
+
+    def texts(side: DataFrame, at: int, name: str) -> DataFrame:
+        kept = [F.struct(F.lit(k).alias("kind"), F.col(columns[k][at]).alias(name)) for k in kinds]
+        # Distinct per block before the join, so that copies do not multiply.
+        return side.select(*m.BLOCK_KEYS, F.inline(F.array(*kept))).filter(F.col(name) != "").distinct()
+
+    met = texts(left, 0, "a").join(texts(right, 1, "b"), [*m.BLOCK_KEYS, "kind"])
+    return met.select("a", "b").distinct().repartition("a", "b")
 
 
 def _scores(kinds: tuple[str, ...], **scores: Callable) -> Callable[[SparkSession, str], DataFrame]:

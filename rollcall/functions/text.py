@@ -53,7 +53,10 @@ def blank_to_null(c: Column) -> Column:
 
 def squeeze(c: Column) -> Column:
     """One space between words, none around them, lower case."""
-    return F.lower(F.trim(F.regexp_replace(c, r"(?U)\s+", " ")))
+    # Most texts have single spaces already, and finding that out is cheaper than replacing.
+    irregular = c.rlike(r"(?U)[^\S ]|  ")
+    spaced = F.when(irregular, F.regexp_replace(c, r"(?U)\s+", " ")).otherwise(c)
+    return F.lower(F.trim(spaced))
 
 
 def expand_words(c: Column, words: Mapping[str, str]) -> Column:
@@ -61,9 +64,11 @@ def expand_words(c: Column, words: Mapping[str, str]) -> Column:
     if not words:
         return c
     table = F.create_map(*[F.lit(part) for pair in words.items() for part in pair])
-    runs = F.regexp_extract_all(c, F.lit(r"(?U)(\w+|\W+)"), F.lit(0))
     expanded = F.array_join(
-        F.transform(runs, lambda run: F.coalesce(F.try_element_at(table, run), run)), ""
+        F.transform(
+            F.split(c, r"(?U)\b"), lambda run: F.coalesce(F.try_element_at(table, run), run)
+        ),
+        "",
     )
     return F.when(c.rlike(rf"(?U)\b(?:{'|'.join(words)})\b"), expanded).otherwise(c)
 

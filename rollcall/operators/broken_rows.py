@@ -15,9 +15,8 @@ CHUNK_ROWS = 100_000
 def field_count(line: Column, separator: str = ",", quote_aware: bool = False) -> Column:
     """Fields of a line; 0 for an empty one. Quotes are ignored unless ``quote_aware``."""
     bare = F.regexp_replace(line, '"[^"]*("|$)', "q") if quote_aware else line
-    without = F.replace(bare, F.lit(separator), F.lit(""))
-    separators = (F.length(bare) - F.length(without)) / len(separator)
-    return F.when(line == "", F.lit(0)).otherwise(separators.cast("int") + 1)
+    fields = F.size(F.split(bare, "\\Q" + separator + "\\E", -1))
+    return F.when(line == "", F.lit(0)).otherwise(fields)
 
 
 def fits_header(
