@@ -9,16 +9,16 @@ has) between the shorter of the two compared strings, of length n, and what it i
 with: ``e = (n + n * (200 - T) / T) * (100 - T) / 100``. One edit spoils at most one of
 several disjoint grams, so of any ``e + 1`` disjoint grams inside the words of the shorter
 text one occurs unchanged inside a word of the other text. That holds for whole, word-sorted,
-word-set and windowed comparison, as none of them breaks up words. Each side picks the
-``e + 1`` grams that are rarest on the other side; texts too short to have as many are
-compared with the whole group.
+word-set and windowed comparison, as none of them breaks up words. Each side looks up the
+``e + 1`` grams that are rarest on the other side, and of all its disjoint grams all but ``e``
+must occur there. Texts too short to have ``e + 1`` are compared with the whole group.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rollcall.functions.phonetic import PHONETIC_SCORE, phonetic_codes
@@ -64,16 +64,14 @@ def _words(text: Column) -> Column:
     return F.filter(F.array_distinct(F.split(text, " ")), lambda word: word != "")
 
 
-def _gram_length(words: Column, needed: Column) -> Column:
-    """Longest gram length at which the words contain the needed number of disjoint grams."""
+def _gram_lengths(words: Column, needed: Column) -> Column:
+    """Gram lengths at which the words contain the needed number of disjoint grams."""
 
-    def enough(size: int) -> Column:
+    def enough(size: Column) -> Column:
         pieces = F.transform(words, lambda word: F.floor(F.length(word) / size).cast("int"))
         return F.aggregate(pieces, F.lit(0), lambda total, n: total + n) >= needed
 
-    return F.coalesce(
-        *[F.when(enough(size), F.lit(size)) for size in range(GRAM, 0, -1)], F.lit(0)
-    )
+    return F.filter(F.sequence(F.lit(1), F.lit(GRAM)), enough)
 
 
 def _cut(word: Column, size: Column, step: Column) -> Column:
@@ -108,33 +106,46 @@ _ANY = ""
 def _picks(
     side: DataFrame, other_grams: DataFrame, group: list[str], text: str, threshold: int, parts: bool
 ) -> DataFrame:
-    """The grams of each text that are looked up on the other side."""
+    """The grams of each text that are looked up on the other side.
+
+    Of the possible gram lengths each text takes the one whose picks are rarest over there.
+    ``_all`` are all its disjoint grams of that length, of which all but ``_edits`` must occur.
+    """
     forms = name_forms(F.col(text)) if parts else F.array(F.col(text))
-    rare = other_grams.groupBy(*group, "_gram").agg(F.count(F.lit(1)).alias("_uses"))
-    base = (
+    uses = other_grams.groupBy(*group, "_gram").agg(F.count(F.lit(1)).alias("_uses"))
+    words, edits = F.col("_words"), F.col("_edits")
+    sizes = F.coalesce(
+        F.nullif(_gram_lengths(words, edits + 1), F.array().cast("array<int>")), F.array(F.lit(0))
+    )
+    cut = (
         side.select(*side.columns, F.explode(forms).alias("_form"))
-        .withColumn("_need", _edits(F.col("_form"), threshold) + 1)
-        .withColumn("_words", _words(F.col("_form")))
-        .withColumn("_size", _gram_length(F.col("_words"), F.col("_need")))
+        .withColumns({"_edits": _edits(F.col("_form"), threshold), "_words": _words(F.col("_form"))})
+        .select("*", F.explode(sizes).alias("_size"))
         .withColumn(
-            "_gram",
-            F.explode(
-                F.when(F.col("_size") == 0, F.array(F.lit(_ANY))).otherwise(
-                    _disjoint_grams(F.col("_words"), F.greatest(F.col("_size"), F.lit(1)))
-                )
+            "_all",
+            F.when(F.col("_size") == 0, F.array().cast("array<string>")).otherwise(
+                _disjoint_grams(words, F.greatest(F.col("_size"), F.lit(1)))
             ),
         )
-        .drop("_words", "_size")
+        .select(
+            *side.columns, "_form", "_edits", "_size", "_all",
+            F.explode(F.when(F.col("_size") == 0, F.array(F.lit(_ANY))).otherwise(F.col("_all"))).alias("_gram"),
+        )
     )
-    rarest = Window.partitionBy(*side.columns, "_form").orderBy(
-        F.coalesce("_uses", F.lit(0)), "_gram"
+    counted = cut.join(uses, [*group, "_gram"], "left").withColumn(
+        "_uses", F.coalesce("_uses", F.lit(0))
     )
-    return (
-        base.join(rare, [*group, "_gram"], "left")
-        .withColumn("_place", F.row_number().over(rarest))
-        .filter(F.col("_place") <= F.col("_need"))
-        .select(*side.columns, "_gram")
-        .distinct()
+    # The grams of one text are few, so they can be put together.
+    ranked = counted.groupBy(*side.columns, "_form", "_edits", "_size", "_all").agg(
+        F.slice(F.sort_array(F.collect_list(F.struct("_uses", "_gram"))), F.lit(1), edits + 1).alias("_rare")
+    )
+    total = F.aggregate("_rare", F.lit(0).cast("bigint"), lambda sum_, pick: sum_ + pick["_uses"])
+    chosen = ranked.groupBy(*side.columns, "_form", "_edits").agg(
+        F.min_by(F.struct("_rare", "_all"), F.struct(total, -F.col("_size"))).alias("_best")
+    )
+    return chosen.select(
+        *side.columns, "_edits", F.col("_best._all").alias("_all"),
+        F.explode("_best._rare._gram").alias("_gram"),
     )
 
 
@@ -147,16 +158,24 @@ def _gram_pairs(
     threshold: int,
     parts: bool,
 ) -> DataFrame:
+    columns = [*left.columns, *[c for c in right.columns if c not in group]]
+
     def grams(side: DataFrame, text: str) -> DataFrame:
         own = F.concat(_all_grams(F.col(text)), F.array(F.lit(_ANY)))
         return side.select(*side.columns, F.explode(own).alias("_gram"))
 
-    left_grams, right_grams = grams(left, left_text), grams(right, right_text)
-    keys = [*group, "_gram"]
-    columns = [*left.columns, *[c for c in right.columns if c not in group]]
-    forward = _picks(left, right_grams, group, left_text, threshold, parts).join(right_grams, keys)
-    back = left_grams.join(_picks(right, left_grams, group, right_text, threshold, parts), keys)
-    return forward.select(*columns).unionByName(back.select(*columns)).distinct()
+    def looked_up(side: DataFrame, text: str, other: DataFrame, other_text: str) -> DataFrame:
+        picks = _picks(side, other, group, text, threshold, parts)
+        kept = F.filter("_all", lambda gram: F.contains(F.col(other_text), gram))
+        return (
+            picks.join(other, [*group, "_gram"])
+            .filter(F.size(kept) >= F.size("_all") - F.col("_edits"))
+            .select(*columns)
+        )
+
+    forward = looked_up(left, left_text, grams(right, right_text), right_text)
+    back = looked_up(right, right_text, grams(left, left_text), left_text)
+    return forward.unionByName(back).distinct()
 
 
 def _code_pairs(
