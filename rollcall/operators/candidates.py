@@ -10,8 +10,9 @@ with: ``e = (n + n * (200 - T) / T) * (100 - T) / 100``. One edit spoils at most
 several disjoint grams, so of any ``e + 1`` disjoint grams inside the words of the shorter
 text one occurs unchanged inside a word of the other text. That holds for whole, word-sorted,
 word-set and windowed comparison, as none of them breaks up words. Each side looks up the
-``e + 1`` grams that are rarest on the other side, and of all its disjoint grams all but ``e``
-must occur there. Texts too short to have ``e + 1`` are compared with the whole group.
+``e + 1`` grams that are rarest on the other side, and of all its disjoint grams (and of its
+letters) all but ``e`` must occur there. Texts too short to have ``e + 1`` are compared with
+the whole group.
 """
 
 from __future__ import annotations
@@ -109,7 +110,8 @@ def _picks(
     """The grams of each text that are looked up on the other side.
 
     Of the possible gram lengths each text takes the one whose picks are rarest over there.
-    ``_all`` are all its disjoint grams of that length, of which all but ``_edits`` must occur.
+    ``_all`` are all its disjoint grams of that length and ``_letters`` its letters; of each all
+    but ``_edits`` must occur.
     """
     forms = name_forms(F.col(text)) if parts else F.array(F.col(text))
     uses = other_grams.groupBy(*group, "_gram").agg(F.count(F.lit(1)).alias("_uses"))
@@ -145,6 +147,7 @@ def _picks(
     )
     return chosen.select(
         *side.columns, "_edits", F.col("_best._all").alias("_all"),
+        _disjoint_grams(_words(F.col("_form")), F.lit(1)).alias("_letters"),
         F.explode("_best._rare._gram").alias("_gram"),
     )
 
@@ -166,12 +169,13 @@ def _gram_pairs(
 
     def looked_up(side: DataFrame, text: str, other: DataFrame, other_text: str) -> DataFrame:
         picks = _picks(side, other, group, text, threshold, parts)
-        kept = F.filter("_all", lambda gram: F.contains(F.col(other_text), gram))
-        return (
-            picks.join(other, [*group, "_gram"])
-            .filter(F.size(kept) >= F.size("_all") - F.col("_edits"))
-            .select(*columns)
-        )
+
+        def enough(grams: str) -> Column:
+            kept = F.filter(grams, lambda gram: F.contains(F.col(other_text), gram))
+            return F.size(kept) >= F.size(grams) - F.col("_edits")
+
+        met = picks.join(other, [*group, "_gram"])
+        return met.filter(enough("_letters") & enough("_all")).select(*columns)
 
     forward = looked_up(left, left_text, grams(right, right_text), right_text)
     back = looked_up(right, right_text, grams(left, left_text), left_text)
