@@ -41,9 +41,13 @@ def write_table(df: DataFrame, name: str, path: str, partition_keys: Sequence[st
     writer.option("path", path).saveAsTable(table_name(name))
 
 
+# Quotes are doubled, as spreadsheets and the import expect, and empty texts are left bare.
+_CSV = {"header": True, "escape": '"', "emptyValue": ""}
+
+
 def write_csv(df: DataFrame, path: str, rows_per_file: int | None = None) -> None:
     """CSV with a header in every file; ``rows_per_file`` bounds the rows of a file."""
-    writer = df.write.mode("overwrite").option("header", True).option("emptyValue", "")
+    writer = df.write.mode("overwrite").options(**_CSV)
     if rows_per_file:
         writer = writer.option("maxRecordsPerFile", rows_per_file)
     writer.csv(path)
@@ -51,13 +55,7 @@ def write_csv(df: DataFrame, path: str, rows_per_file: int | None = None) -> Non
 
 def write_csv_by_name(df: DataFrame, name_column: str, path: str) -> None:
     """CSV with one sub-folder per value of ``name_column``, which is not written itself."""
-    (
-        df.write.mode("overwrite")
-        .option("header", True)
-        .option("emptyValue", "")
-        .partitionBy(name_column)
-        .csv(path)
-    )
+    df.write.mode("overwrite").options(**_CSV).partitionBy(name_column).csv(path)
 
 
 def write_chunks(lines: DataFrame, header: str, path: str) -> None:

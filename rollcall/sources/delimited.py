@@ -63,7 +63,7 @@ def import_lines(lines: DataFrame, header: Header) -> DataFrame:
 
 
 def misfit_lines(lines: DataFrame, header: Header) -> DataFrame:
-    """Lines with too few or too many fields or an open quote, as they were read."""
+    """Lines with too few or too many fields (an open quote swallows some), as they were read."""
     column = "_misfit"
     while column in header.names:
         column = "_" + column
