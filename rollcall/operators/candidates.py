@@ -152,6 +152,13 @@ def _picks(
     )
 
 
+def _spread(grams: DataFrame, group: list[str]) -> DataFrame:
+    """One fixed set of partitions: a few megabytes of grams can meet in millions of pairs, so
+    they must not be put together by size."""
+    partitions = int(grams.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return grams.repartition(partitions, *group, "_gram")
+
+
 def _gram_pairs(
     left: DataFrame,
     right: DataFrame,
@@ -174,7 +181,7 @@ def _gram_pairs(
             kept = F.filter(grams, lambda gram: F.contains(F.col(other_text), gram))
             return F.size(kept) >= F.size(grams) - F.col("_edits")
 
-        met = picks.join(other, [*group, "_gram"])
+        met = _spread(picks, group).join(_spread(other, group), [*group, "_gram"])
         return met.filter(enough("_letters") & enough("_all")).select(*columns)
 
     forward = looked_up(left, left_text, grams(right, right_text), right_text)
