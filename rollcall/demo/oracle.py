@@ -132,14 +132,14 @@ _FORMS = (
 )
 
 
-def _last_scored(pairs: str, name: str) -> str:
+def _last_scored(pairs: str, name: str, phonetic: bool = False) -> str:
     """CTEs that end in ``name(a, b, score)``: best over whole names and their parts."""
     return f"""
 {name}_names AS ({pairs}),
 {name}_combinations AS (
   SELECT a, b, x, unnest({_FORMS.format('b')}) AS y
   FROM (SELECT a, b, unnest({_FORMS.format('a')}) AS x FROM {name}_names)),
-{_scored(f'SELECT DISTINCT x AS a, y AS b FROM {name}_combinations', name + '_parts')},
+{_best(f'SELECT DISTINCT x AS a, y AS b FROM {name}_combinations', name + '_parts', phonetic)},
 {name} AS (
   SELECT k.a, k.b, max(s.best) AS score
   FROM {name}_combinations k JOIN {name}_parts s ON s.a = k.x AND s.b = k.y GROUP BY k.a, k.b)"""
@@ -152,12 +152,87 @@ def _score_query(columns: str, *kinds: str) -> str:
 # ---------------------------------------------------------------- phonetic codes
 
 
+# RE2 has neither lookaround nor back references: contexts are captured and put back, repeated
+# characters are collapsed one by one.
+
+
 def _chain(text: str, *rules: tuple[str, str]) -> str:
     for pattern, replacement in rules:
         text = f"regexp_replace({text}, '{pattern}', '{replacement}', 'g')"
     return text
 
 
+def _single(text: str, characters: str) -> str:
+    return _chain(text, *[(f"[{c}]+", c) for c in characters])
+
+
+_CONSONANTS = "BCDFGHJKLMNPQRSTVWXYZ"
+_OTHERS = "0123456789 ."
+
+
+def _phonetic(texts: str, name: str) -> str:
+    """CTEs that end in ``name(t, soundex, metaphone, nysiis, match_rating)``."""
+    coded = (
+        "translate(regexp_replace(left(u, 1) || regexp_replace(substring(u, 2), '[HW]', '', 'g'), "
+        "'[^A-Z]', '_', 'g'), 'BFPVCGJKQSXZDTLMNR', '111122222222334556')"
+    )
+    digits = f"regexp_replace(substring({_single(coded, '123456')}, 2), '[^1-6]', '', 'g')"
+    metaphone = _chain(
+        _single(
+            _chain("regexp_replace(u, '[^A-Z ]', '', 'g')", ("^(AE|GN|KN|PN|WR)", r"<\1"), ("^<.", ""),
+                   ("^X", "S"), ("^WH", "W")),
+            "ABDEFGHIJKLMNOPQRSTUVWXYZ",
+        ),
+        ("MB$", "M"), ("SC([EIY])", r"S\1"), ("G(H[^AEIOU])", r"\1"), ("G(N(ED)?)$", r"\1"),
+        ("SCH", "sk"), ("TCH", "x"), ("C(IA)", r"x\1"), ("CH", "x"), ("C([EIY])", r"s\1"),
+        ("[CQ]K?", "k"), ("DG([EIY])", r"j\1"), ("D", "t"), ("G([EIY])", r"j\1"), ("PH", "f"),
+        ("SH", "x"), ("[ST](I[AO])", r"x\1"), ("TH", "0"),
+        ("([AEIOUG])H([^AEIOU]|$)", r"\1\2"), ("([AEIOUG])H([^AEIOU]|$)", r"\1\2"), ("GH", "G"),
+        ("[GK]", "k"), ("X", "ks"), ("[WY]([^AEIOU]|$)", r"\1"), ("[WY]([^AEIOU]|$)", r"\1"),
+        ("([^ ])[AEIOU]+", r"\1"), ("[^A-Za-z0 ]", ""),
+    )
+    first = _chain("u", ("^MAC", "MCC"), ("^KN", "NN"), ("^K", "C"), ("^P[HF]", "FF"), ("^SCH", "SSS"),
+                   ("(EE|IE)$", "Y"), ("(DT|RT|RD|NT|ND)$", "D"))
+    second = "left(k1, 1) || " + _chain(
+        "substring(k1, 2)", ("EV", "AF"), ("Q", "G"), ("Z", "S"), ("M", "N"), ("KN", "NN"), ("K", "C"),
+        ("SCH", "SSS"), ("PH", "FF"))
+    third = _chain("k2", ("([^AEIOU])H+", r"\1"), ("([AEIOU])H([^AEIOU]|$)", r"\1\2"), ("([AEIOU])W", r"\1"))
+    fourth = _single("left(k3, 1) || regexp_replace(substring(k3, 2), '[AEIOU]', 'A', 'g')",
+                     "AEIOU" + _CONSONANTS + _OTHERS + "-")
+    nysiis = _chain("k4", ("(.)S$", r"\1"), ("AY$", "Y"), ("(.)A$", r"\1"))
+    kept = _single("u", _CONSONANTS + _OTHERS + "-")
+    codex = f"replace(left({kept}, 1) || regexp_replace(substring({kept}, 2), '[AEIOU]', '', 'g'), ' ', '')"
+    return f"""
+{name}_u AS (SELECT t, upper(t) AS u FROM ({texts})),
+{name}_1 AS (SELECT *, {digits} AS sounds, {metaphone} AS met, {codex} AS codex, {first} AS k1 FROM {name}_u),
+{name}_2 AS (SELECT *, {second} AS k2 FROM {name}_1),
+{name}_3 AS (SELECT *, {third} AS k3 FROM {name}_2),
+{name}_4 AS (SELECT *, {fourth} AS k4 FROM {name}_3),
+{name} AS (
+  SELECT t, CASE WHEN t = '' THEN '' ELSE left(u, 1) || rpad(left(sounds, 3), 3, '0') END AS soundex,
+         translate(upper(met), 'VZ', 'FS') AS metaphone, {nysiis} AS nysiis,
+         CASE WHEN length(codex) > 6 THEN left(codex, 3) || right(codex, 3) ELSE codex END AS match_rating
+  FROM {name}_4)"""
+
+
+_AGREE = "(p.soundex = q.soundex OR p.metaphone = q.metaphone OR p.nysiis = q.nysiis OR p.match_rating = q.match_rating)"
+
+
+def _with_phonetics(name: str) -> str:
+    """CTEs that raise ``name_edit.best`` to 90 where codes agree, as ``name``."""
+    return f"""
+{_phonetic(f'SELECT a AS t FROM {name}_edit UNION SELECT b FROM {name}_edit', name + '_codes')},
+{name} AS (
+  SELECT e.a, e.b, greatest(e.best, CASE WHEN {_AGREE} THEN 90 ELSE 0 END) AS best
+  FROM {name}_edit e JOIN {name}_codes p ON p.t = e.a JOIN {name}_codes q ON q.t = e.b)"""
+
+
+def _best(pairs: str, name: str, phonetic: bool) -> str:
+    if not phonetic:
+        return _scored(pairs, name)
+    return f"{_scored(pairs, name + '_edit')}, {_with_phonetics(name)}"
+
+
 # ---------------------------------------------------------------- match
 
 
@@ -166,7 +241,7 @@ _MATCH_COLUMNS = """match_id, match_first_name, match_last_name, match_address,
   match_first_name_score, match_last_name_score, match_address_score, match_type, match_overall_score"""
 
 
-def _matches(threshold: int = 92, state: str | None = None) -> str:
+def _matches(threshold: int = 92, state: str | None = None, phonetic: bool = False) -> str:
     """CTEs that end in ``matches``: all pairs scored, then the best per person."""
     people = f"SELECT * FROM people WHERE upper(state) = '{state}'" if state else "SELECT * FROM people"
     consumers = f"SELECT * FROM consumers WHERE state = '{state}'" if state else "SELECT * FROM consumers"
@@ -178,9 +253,9 @@ meetings AS (
          c.address AS match_address, c.zip AS match_zip, c.zip4 AS match_zip4,
          c.f AS cf, c.l AS cl, c.a AS ca
   FROM ps p JOIN cs c ON {_MEETING}),
-{_scored("SELECT DISTINCT a, ca AS b FROM meetings", "by_address")},
-{_scored("SELECT DISTINCT f AS a, cf AS b FROM meetings WHERE f <> '' AND cf <> ''", "by_first")},
-{_last_scored("SELECT DISTINCT l AS a, cl AS b FROM meetings WHERE l <> '' AND cl <> ''", "by_last")},
+{_best("SELECT DISTINCT a, ca AS b FROM meetings", "by_address", phonetic)},
+{_best("SELECT DISTINCT f AS a, cf AS b FROM meetings WHERE f <> '' AND cf <> ''", "by_first", phonetic)},
+{_last_scored("SELECT DISTINCT l AS a, cl AS b FROM meetings WHERE l <> '' AND cl <> ''", "by_last", phonetic)},
 pairs AS (
   SELECT m.*, coalesce(f.best, 0) AS match_first_name_score,
          coalesce(l.score, 0) AS match_last_name_score, a.best AS match_address_score
@@ -315,6 +390,14 @@ ORACLE: dict[str, str] = {
     "partial_scores": _score_query("partial AS score", "f", "l", "a"),
     "best_edit_scores": _score_query("best AS score", "f", "l", "a"),
     "last_name_scores": f"WITH {_SIDES}, {_last_scored(_texts_meeting('l'), 'scores')} SELECT a, b, score FROM scores",
+    "phonetic_codes": f"""
+        WITH {_SIDES}, {_phonetic("SELECT f AS t FROM people UNION SELECT l FROM people", "codes")}
+        SELECT t AS name, soundex, metaphone, nysiis, match_rating FROM codes""",
+    "phonetic_agreement": f"""
+        WITH {_SIDES}, met AS ({_texts_meeting('f', 'l')}),
+        {_phonetic("SELECT a AS t FROM met UNION SELECT b FROM met", "codes")}
+        SELECT a, b, CASE WHEN a = b THEN 100 WHEN {_AGREE} THEN 90 ELSE 0 END AS score
+        FROM met JOIN codes p ON p.t = a JOIN codes q ON q.t = b""",
     "block_sizes": f"""
         WITH {_SIDES}
         SELECT zip, zip4, left_rows, right_rows, CAST(left_rows AS DOUBLE) * right_rows AS pairs
@@ -331,6 +414,8 @@ ORACLE: dict[str, str] = {
         FROM blocks""",
     "candidate_pairs": f"WITH {_SIDES} SELECT p.finder_number, c.id AS match_id FROM people p JOIN consumers c ON {_MEETING}",
     "match_best": f"WITH {_matches()} SELECT * FROM matches",
+    "match_phonetic": f"WITH {_matches(phonetic=True)} SELECT * FROM matches",
+    "match_phonetic_low": f"WITH {_matches(85, phonetic=True)} SELECT * FROM matches",
     "match_one_state": f"WITH {_matches(state='OH')} SELECT * FROM matches",
     "match_every_row": f"""
         WITH {_matches()},

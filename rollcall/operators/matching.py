@@ -109,10 +109,20 @@ def name_score(
     return _raise_to_phonetic(a, b, edit, agree)
 
 
-def address_score(a: Column, b: Column, phonetic: bool = True) -> Column:
-    """Score of two normalized addresses of the same ZIP."""
-    edit = edit_score(a, b)
-    return _raise_to_phonetic(a, b, edit, codes_agree(a, b)) if phonetic else edit
+def address_score(
+    a: Column,
+    b: Column,
+    zip_a: Column | None = None,
+    zip_b: Column | None = None,
+    phonetic: bool = True,
+) -> Column:
+    """Score of two normalized addresses; 0 where ZIP keys are given and differ or are blank."""
+    score = edit_score(a, b)
+    if phonetic:
+        score = _raise_to_phonetic(a, b, score, codes_agree(a, b))
+    if zip_a is None or zip_b is None:
+        return score
+    return F.when((zip_a == zip_b) & (zip_a != ""), score).otherwise(F.lit(0))
 
 
 def _agreement(a: Column, b: Column, agree: Column, rules: MatchRules) -> Column:
@@ -122,7 +132,7 @@ def _agreement(a: Column, b: Column, agree: Column, rules: MatchRules) -> Column
 
 
 def _raise_to_phonetic(a: Column, b: Column, edit: Column, agree: Column) -> Column:
-    blank = (a == "") | (b == "")
+    blank = a.isNull() | b.isNull() | (a == "") | (b == "")
     # Codes are only derived where they can raise the score.
     return F.when(blank | (edit >= PHONETIC_SCORE), edit).otherwise(
         F.when(agree, F.lit(PHONETIC_SCORE)).otherwise(edit)

@@ -43,6 +43,10 @@ from rollcall.sources.lines import VALUE, first_line, read_lines
 from rollcall.sources.tables import read_table
 
 
+# Rows of the sample in a job report.
+SAMPLE_ROWS = 5
+
+
 def column_mapping(mapping: Mapping[str, str] | str | None) -> dict[str, str] | None:
     """Mapping given as a dict or as JSON text."""
     if mapping is None or not isinstance(mapping, str):
@@ -91,7 +95,11 @@ def import_job(
             "imported": seen.get["rows"],
         },
         output,
-        {"quality": quality_report(output), "misfits": imported.misfits},
+        {
+            "quality": quality_report(output),
+            "misfits": imported.misfits,
+            "sample": output.limit(SAMPLE_ROWS),
+        },
         dict(zip(header.original, header.names)),
         header.duplicate_safe_names,
     )
@@ -113,6 +121,7 @@ def _write_matches(
         {
             "match_types": match_type_distribution(output),
             "scores": score_distribution(output),
+            "sample": output.limit(SAMPLE_ROWS),
         },
         renamed,
         duplicates,

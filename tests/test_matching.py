@@ -6,9 +6,15 @@ import pytest
 from pyspark.sql import functions as F
 
 from rollcall.functions.similarity import best_edit_score, best_name_part_score
-from rollcall.operators.matching import MATCH_COLUMNS, MatchRules, match_people
+from rollcall.operators.matching import (
+    MATCH_COLUMNS,
+    MatchRules,
+    address_score,
+    match_people,
+    name_score,
+)
 from rollcall.operators.people import Texts
-from rollcall.functions.text import STREET_EXPANSIONS, WORD_EXPANSIONS
+from rollcall.functions.text import STREET_EXPANSIONS, WORD_EXPANSIONS, normalize_text
 
 LIST_COLUMNS = "finder_number firstname lastname street city state zipcode plus4".split()
 LIST_ROWS = [
@@ -66,6 +72,21 @@ def test_expected_matches(people, consumers, pair_limit):
     assert outcome(found) == {k: (*v[:5], pytest.approx(v[5])) for k, v in EXPECTED.items()}
 
 
+def test_scorers_as_columns(spark):
+    pairs = [
+        ("STRAITOR", "Straiton", 93, 93), ("SMITH", "Smith", 100, 100), ("JOHNSON", "Johnsson", 93, 93),
+        ("Smith", "Smyth", 80, 90), ("Smith-Jones", "Jonas", 80, 90), (None, "x", 0, 0), (" ", "x", 0, 0),
+    ]
+    df = spark.createDataFrame(pairs, "a string, b string, edit int, both int").withColumns(
+        {"a": normalize_text(F.col("a")), "b": normalize_text(F.col("b"))})
+    a, b = F.col("a"), F.col("b")
+    scored = df.select("edit", "both", name_score(a, b, True, phonetic=False), name_score(a, b, True))
+    assert all((r[0], r[1]) == (r[2], r[3]) for r in scored.collect())
+    zips = spark.createDataFrame([("1", "1", 100), ("1", "2", 0), ("", "", 0)], "x string, y string, s int")
+    gated = address_score(F.lit("1 oak"), F.lit("1 oak ave"), F.col("x"), F.col("y"))
+    assert zips.filter(gated != F.col("s")).count() == 0
+
+
 def test_per_row_and_unmatched(people, consumers):
     rules = MatchRules(phonetic=False, per_row=True, keep_unmatched=True)
     found = outcome(match_people(people, consumers, MAPPING, rules))
