@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BooleanType, DoubleType, LongType, StringType, StructType
 
 from rollcall.storage import checkpoint_dir
 
@@ -41,3 +42,38 @@ def free_name(df: DataFrame, wanted: str) -> str:
 def texts(documents: DataFrame) -> DataFrame:
     """Only doc_id and text, so that other columns never clash."""
     return documents.select(F.col("doc_id"), F.col("text"))
+
+
+def bound(value: Column, of) -> Column:
+    """``of(value)`` with ``value`` computed once, though ``of`` uses it several times."""
+    return F.transform(F.array(value), of)[0]
+
+
+#: What a scanner finds in one text, in order of start, then kind, then end. ``base`` findings are
+#: those of the plain patterns.
+FINDINGS = StructType().add(
+    "found",
+    ArrayType(
+        StructType()
+        .add("kind", StringType())
+        .add("start", LongType())
+        .add("end", LongType())
+        .add("base", BooleanType())
+        .add("score", DoubleType())
+        .add("layers", StringType())
+    ),
+)
+
+
+def span_digests(scanned: DataFrame, kinds: tuple[str, ...]) -> DataFrame:
+    """doc_id, n_<kind>, base_sha256 and spans of (doc_id, found)."""
+    base = F.filter("found", lambda f: f["base"])
+
+    def joined(found: Column) -> Column:
+        return F.concat_ws(",", F.transform(found, lambda f: F.concat_ws(":", f["kind"], f["start"], f["end"])))
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter(base, lambda f: f["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    digest = F.sha2(joined(base).cast("binary"), 256).alias("base_sha256")
+    return scanned.select("doc_id", *map(count, kinds), digest, joined(F.col("found")).alias("spans"))
