@@ -130,6 +130,9 @@ CELLS = [
        WHEN 10 THEN lpad(CAST(c_custkey % 990 AS STRING), 3, '0')
        WHEN 11 THEN lpad(CAST(c_custkey % 990 AS STRING), 3, '0')
        WHEN 12 THEN ' OR ' WHEN 13 THEN 'balance of LUCAS CO. OHIO' WHEN 14 THEN NULL
+       WHEN 15 THEN chr(9) || lpad(CAST(c_custkey % 89989 AS STRING), 5, '0')
+       WHEN 16 THEN 'MI' || chr(160)
+       WHEN 17 THEN lpad(CAST(c_custkey % 79999 AS STRING), 5, '0') || chr(160) || chr(10)
        ELSE lpad(CAST(c_custkey * 7 % 99991 AS STRING), 5, '0') END AS value""",
 ]
 

@@ -241,8 +241,16 @@ _MATCH_COLUMNS = """match_id, match_first_name, match_last_name, match_address,
   match_first_name_score, match_last_name_score, match_address_score, match_type, match_overall_score"""
 
 
-def _matches(threshold: int = 92, state: str | None = None, phonetic: bool = False) -> str:
+def _matches(
+    threshold: int = 92,
+    state: str | None = None,
+    phonetic: bool = False,
+    household: int | None = None,
+    house_number: bool = False,
+) -> str:
     """CTEs that end in ``matches``: all pairs scored, then the best per person."""
+    h = threshold if household is None else household
+    strict = r"AND regexp_extract(m.a, '^(\d*)', 1) = regexp_extract(m.ca, '^(\d*)', 1)" if house_number else ""
     people = f"SELECT * FROM people WHERE upper(state) = '{state}'" if state else "SELECT * FROM people"
     consumers = f"SELECT * FROM consumers WHERE state = '{state}'" if state else "SELECT * FROM consumers"
     t = threshold
@@ -262,10 +270,10 @@ pairs AS (
   FROM meetings m JOIN by_address a ON a.a = m.a AND a.b = m.ca
   LEFT JOIN by_first f ON f.a = m.f AND f.b = m.cf
   LEFT JOIN by_last l ON l.a = m.l AND l.b = m.cl
-  WHERE a.best >= {t}),
+  WHERE a.best >= {t} {strict}),
 typed AS (
   SELECT *, CASE WHEN match_first_name_score >= {t} AND match_last_name_score >= {t} THEN 'INDIVIDUAL_MATCH'
-                 WHEN match_last_name_score >= {t} THEN 'HOUSEHOLD_MATCH' ELSE 'ADDRESS_MATCH' END AS match_type
+                 WHEN match_last_name_score >= {h} THEN 'HOUSEHOLD_MATCH' ELSE 'ADDRESS_MATCH' END AS match_type
   FROM pairs),
 rated AS (
   SELECT *, CASE match_type
@@ -285,8 +293,16 @@ matches AS (SELECT {_LIST_COLUMNS}, {_MATCH_COLUMNS} FROM ranked WHERE place = 1
 # ---------------------------------------------------------------- geography
 
 
+# White space of any kind, as RE2 writes it.
+_SPACE = r"[\s\v\x1C-\x1F\x{85}\p{Z}]"
+
+
+def _strip(c: str) -> str:
+    return f"regexp_replace(regexp_replace({c}, '^{_SPACE}+', ''), '{_SPACE}+$', '')"
+
+
 def _slug(c: str) -> str:
-    return f"trim(regexp_replace(lower(trim({c})), '[^a-z0-9]+', '_', 'g'), '_')"
+    return f"trim(regexp_replace(lower({_strip(c)}), '[^a-z0-9]+', '_', 'g'), '_')"
 
 
 def _any(text: str, words: tuple[str, ...]) -> str:
@@ -312,8 +328,8 @@ def _flat(compat: bool = False) -> str:
     code = f"list_filter(list_transform({words}, lambda w: upper(w)), lambda w: list_contains({codes}, w))[1]"
     return f"""
 texts AS (
-  SELECT sheet, row, col, trim(value) AS t FROM {CELLS}
-  WHERE row >= 1 AND trim(value) <> '' AND lower(trim(value)) <> 'nan'),
+  SELECT sheet, row, col, {_strip('value')} AS t FROM {CELLS}
+  WHERE row >= 1 AND {_strip('value')} <> '' AND lower({_strip('value')}) <> 'nan'),
 stated AS (SELECT *, coalesce({code}, {by_name}) AS st FROM texts),
 labelled AS (
   SELECT *, {tier} AND (st IS NOT NULL OR {_any('lower(t)', LABEL_WORDS)} OR {_any('t', DASHES)}) AS is_label
@@ -391,10 +407,10 @@ ORACLE: dict[str, str] = {
     "best_edit_scores": _score_query("best AS score", "f", "l", "a"),
     "last_name_scores": f"WITH {_SIDES}, {_last_scored(_texts_meeting('l'), 'scores')} SELECT a, b, score FROM scores",
     "phonetic_codes": f"""
-        WITH {_SIDES}, {_phonetic("SELECT f AS t FROM people UNION SELECT l FROM people", "codes")}
+        WITH {_SIDES}, {_phonetic("SELECT f AS t FROM people UNION SELECT l FROM people UNION SELECT a FROM people", "codes")}
         SELECT t AS name, soundex, metaphone, nysiis, match_rating FROM codes""",
     "phonetic_agreement": f"""
-        WITH {_SIDES}, met AS ({_texts_meeting('f', 'l')}),
+        WITH {_SIDES}, met AS ({_texts_meeting('f', 'l', 'a')}),
         {_phonetic("SELECT a AS t FROM met UNION SELECT b FROM met", "codes")}
         SELECT a, b, CASE WHEN a = b THEN 100 WHEN {_AGREE} THEN 90 ELSE 0 END AS score
         FROM met JOIN codes p ON p.t = a JOIN codes q ON q.t = b""",
@@ -416,6 +432,10 @@ ORACLE: dict[str, str] = {
     "match_best": f"WITH {_matches()} SELECT * FROM matches",
     "match_phonetic": f"WITH {_matches(phonetic=True)} SELECT * FROM matches",
     "match_phonetic_low": f"WITH {_matches(85, phonetic=True)} SELECT * FROM matches",
+    "match_best_narrowed": f"WITH {_matches()} SELECT * FROM matches",
+    "match_phonetic_narrowed": f"WITH {_matches(85, phonetic=True)} SELECT * FROM matches",
+    "match_low_household": f"WITH {_matches(household=75)} SELECT * FROM matches",
+    "match_house_number": f"WITH {_matches(85, house_number=True)} SELECT * FROM matches",
     "match_one_state": f"WITH {_matches(state='OH')} SELECT * FROM matches",
     "match_every_row": f"""
         WITH {_matches()},

@@ -150,9 +150,8 @@ ALL_TEXTS = ("first", "last", "address")
 
 
 def phonetic_codes(spark: SparkSession, folder: str) -> DataFrame:
-    names = d.people(spark, folder).select(normalize_text(F.col("lastname")).alias("name")).unionByName(
-        d.people(spark, folder).select(normalize_text(F.col("firstname")).alias("name"))
-    )
+    kinds = F.array(*[normalize_text(F.col(c)) for c in ("firstname", "lastname", "street")])
+    names = d.people(spark, folder).select(F.explode(kinds).alias("name"))
     return names.distinct().select(
         "name", *[code(F.col("name")).alias(kind) for kind, code in PHONETIC_CODES.items()]
     )
@@ -189,6 +188,11 @@ match_best = _match(EDIT_ONLY)
 match_phonetic = _match(m.MatchRules(92))
 match_phonetic_low = _match(m.MatchRules(85))
 match_one_state = _match(EDIT_ONLY, "oh")
+# Blocks over a low limit take the way of hot blocks; the rows are those of the plain match.
+match_best_narrowed = _match(m.MatchRules(92, phonetic=False, pair_limit=300))
+match_phonetic_narrowed = _match(m.MatchRules(85, pair_limit=300))
+match_low_household = _match(m.MatchRules(92, household_threshold=75, phonetic=False))
+match_house_number = _match(m.MatchRules(85, phonetic=False, strict_house_number=True))
 match_every_row = _match(m.MatchRules(92, phonetic=False, per_row=True, keep_unmatched=True))
 
 
@@ -247,13 +251,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "best_edit_scores": _scores(ALL_TEXTS, score=edit_score),
     "last_name_scores": _scores(("last",), score=name_part_score),
     "phonetic_codes": phonetic_codes,
-    "phonetic_agreement": _scores(("first", "last"), score=phonetic_score),
+    "phonetic_agreement": _scores(ALL_TEXTS, score=phonetic_score),
     "block_sizes": block_sizes,
     "comparison_sizes": comparison_sizes,
     "candidate_pairs": candidate_pairs,
     "match_best": match_best,
     "match_phonetic": match_phonetic,
     "match_phonetic_low": match_phonetic_low,
+    "match_best_narrowed": match_best_narrowed,
+    "match_phonetic_narrowed": match_phonetic_narrowed,
+    "match_low_household": match_low_household,
+    "match_house_number": match_house_number,
     "match_one_state": match_one_state,
     "match_every_row": match_every_row,
     "match_type_distribution": match_type_distribution,

@@ -70,12 +70,17 @@ GEO_TYPES = ("zip", "scf", "state")
 
 def slug(c: Column) -> Column:
     """Lower-case words joined by underscores."""
-    return F.btrim(F.regexp_replace(F.lower(F.trim(c)), "[^a-z0-9]+", "_"), F.lit("_"))
+    return F.btrim(F.regexp_replace(F.lower(strip(c)), "[^a-z0-9]+", "_"), F.lit("_"))
+
+
+def strip(c: Column) -> Column:
+    """Without white space of any kind at both ends."""
+    return F.regexp_replace(c, r"(?U)^[\s\x{1C}-\x{1F}]+|[\s\x{1C}-\x{1F}]+\z", "")
 
 
 def cell_text(c: Column) -> Column:
     """Trimmed cell, NULL when blank or ``nan``."""
-    text = F.trim(c)
+    text = strip(c)
     return F.when((text != "") & (F.lower(text) != "nan"), text)
 
 
@@ -100,7 +105,7 @@ def _state(text: Column, spelled: Column, compat: bool) -> Column:
     if compat:
         words = F.regexp_extract_all(F.lower(text), F.lit(r"(?U)\b[a-z]{2}\b"), F.lit(0))
     else:
-        words = F.when(text.rlike("^[A-Za-z]{2}$"), F.array(text)).otherwise(
+        words = F.when(text.rlike(r"^[A-Za-z]{2}\z"), F.array(text)).otherwise(
             F.regexp_extract_all(text, F.lit(r"(?U)\b(?!CO\.)[A-Z]{2}\b"), F.lit(0))
         )
     by_code = F.filter(F.transform(words, F.upper), lambda word: F.array_contains(codes, word))
@@ -116,19 +121,19 @@ def state_in_text(c: Column, compat: bool = False) -> Column:
     names the longest counts ("West Virginia"). ``compat`` takes two-letter words in any case
     and the first name in alphabetical order.
     """
-    return _bind(F.trim(c), lambda text: _state(text, slug(text), compat))
+    return _bind(strip(c), lambda text: _state(text, slug(text), compat))
 
 
 def _geo(text: Column, low: Column, state: Column) -> tuple[Column, Column]:
     is_state = state.isNotNull() & (
-        low.rlike("^[a-z]{2}$") | _contains_any(low, AUDIENCE_PHRASES)
+        low.rlike(r"^[a-z]{2}\z") | _contains_any(low, AUDIENCE_PHRASES)
     )
     kind = (
-        F.when(text.rlike("^[0-9]{5}$"), "zip")
-        .when(text.rlike("^[0-9]{3}$"), "scf")
+        F.when(text.rlike(r"^[0-9]{5}\z"), "zip")
+        .when(text.rlike(r"^[0-9]{3}\z"), "scf")
         .when(is_state, "state")
     )
-    value = F.when(text.rlike("^(?:[0-9]{5}|[0-9]{3})$"), text).when(is_state, state)
+    value = F.when(text.rlike(r"^(?:[0-9]{5}|[0-9]{3})\z"), text).when(is_state, state)
     return kind, value
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rollcall.operators.row_numbers import number_lines
+from rollcall.operators.row_numbers import number_stored_lines
 from rollcall.sources.lines import VALUE
 
 # Data rows per chunk unless told otherwise.
@@ -28,16 +28,16 @@ def fits_header(
     )
 
 
-def broken_lines(lines: DataFrame, fits: Column) -> DataFrame:
-    """Lines of files that do not fit, with their line number in the file."""
-    return number_lines(lines).filter(~fits)
+def broken_lines(stored: DataFrame, fits: Column) -> DataFrame:
+    """Lines of stored files that do not fit, with their line number in the file."""
+    return number_stored_lines(stored).filter(~fits)
 
 
-def good_lines(lines: DataFrame, fits: Column) -> DataFrame:
-    """Data lines of files that fit, with their position among these in the file."""
+def good_lines(stored: DataFrame, fits: Column) -> DataFrame:
+    """Data lines of stored files that fit, with their position among these in the file."""
     # The header fits itself and comes first, so it takes the number 1.
     return (
-        number_lines(lines.filter(fits), "position")
+        number_stored_lines(stored.filter(fits), "position")
         .filter(F.col("position") > 1)
         .withColumn("position", F.col("position") - 1)
     )

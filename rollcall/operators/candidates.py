@@ -12,7 +12,7 @@ text one occurs unchanged inside a word of the other text. That holds for whole,
 word-set and windowed comparison, as none of them breaks up words. Each side looks up the
 ``e + 1`` grams that are rarest on the other side, and of all its disjoint grams (and of its
 letters) all but ``e`` must occur there. Texts too short to have ``e + 1`` are compared with
-the whole group.
+the whole group, in pieces of it.
 """
 
 from __future__ import annotations
@@ -21,6 +21,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType, VariantType
 
 from rollcall.functions.phonetic import PHONETIC_SCORE, phonetic_codes
 from rollcall.functions.text import name_forms
@@ -30,6 +31,8 @@ from rollcall.storage import materialize
 PAIR_LIMIT = 250_000
 # Groups over the limit are broadcast up to this number.
 BROADCAST_GROUPS = 100_000
+# Rows of one gram and side that meet in one piece.
+PIECE = 2_000
 # Longest gram used.
 GRAM = 5
 
@@ -48,10 +51,9 @@ def large_groups(
     left: DataFrame, right: DataFrame, keys: Sequence[str], limit: int = PAIR_LIMIT
 ) -> DataFrame | None:
     """Keys of the groups over the limit, or None if there are none."""
-    found = group_sizes(left, right, keys).filter(F.col("pairs") > limit).select(*keys)
+    found = materialize(group_sizes(left, right, keys).filter(F.col("pairs") > limit).select(*keys))
     if found.isEmpty():
         return None
-    found = materialize(found)
     return F.broadcast(found) if found.count() <= BROADCAST_GROUPS else found
 
 
@@ -152,11 +154,35 @@ def _picks(
     )
 
 
-def _spread(grams: DataFrame, group: list[str]) -> DataFrame:
-    """One fixed set of partitions: a few megabytes of grams can meet in millions of pairs, so
-    they must not be put together by size."""
-    partitions = int(grams.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return grams.repartition(partitions, *group, "_gram")
+def _grid(
+    picks: DataFrame, other: DataFrame, keys: list[str], piece: int = PIECE
+) -> tuple[DataFrame, DataFrame]:
+    """Both sides with the pieces in which the rows of a frequent gram meet.
+
+    A gram with many rows is cut into pieces on either side; each piece of one side is copied to
+    all pieces of the other, so every pair meets once and a piece has bounded rows. The sides
+    are partitioned by gram and pieces, in a fixed number of partitions: a few megabytes of
+    grams can meet in millions of pairs, so they must not be put together by size.
+    """
+    n = picks.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    m = other.groupBy(*keys).agg(F.count(F.lit(1)).alias("_m"))
+    frequent = materialize(n.join(m, keys).filter((F.col("_n") > piece) | (F.col("_m") > piece)))
+    partitions = int(picks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def cut(side: DataFrame, own: str, own_rows: str, others: str, other_rows: str) -> DataFrame:
+        pieces = {c: F.coalesce(F.ceil(F.col(c) / piece), F.lit(1)) for c in (own_rows, other_rows)}
+        placed = side.join(frequent, keys, "left").select(
+            *side.columns,
+            F.pmod(F.xxhash64(*[c for c in side.columns if c not in keys and _hashable(side, c)]), pieces[own_rows]).alias(own),
+            F.explode(F.sequence(F.lit(0).cast("bigint"), pieces[other_rows] - 1)).alias(others),
+        )
+        return placed.repartition(partitions, *keys, own, others)
+
+    return cut(picks, "_p", "_n", "_q", "_m"), cut(other, "_q", "_m", "_p", "_n")
+
+
+def _hashable(df: DataFrame, column: str) -> bool:
+    return not isinstance(df.schema[column].dataType, (MapType, VariantType))
 
 
 def _gram_pairs(
@@ -181,7 +207,8 @@ def _gram_pairs(
             kept = F.filter(grams, lambda gram: F.contains(F.col(other_text), gram))
             return F.size(kept) >= F.size(grams) - F.col("_edits")
 
-        met = _spread(picks, group).join(_spread(other, group), [*group, "_gram"])
+        picked, held = _grid(materialize(picks), other, [*group, "_gram"])
+        met = picked.join(held, [*group, "_gram", "_p", "_q"])
         return met.filter(enough("_letters") & enough("_all")).select(*columns)
 
     forward = looked_up(left, left_text, grams(right, right_text), right_text)

@@ -26,8 +26,10 @@ def read_cells(cells: DataFrame, header_rows: int = 1, compat: bool = False) ->
     reading = F.array(read_cell(F.col("value"), compat))
     useful = F.filter(reading, lambda r: r["label"].isNotNull() | r["geo_type"].isNotNull())
     # A generator reads each cell once; a filter after a projection would read it twice.
+    if "sheet_id" not in cells.columns:
+        cells = cells.withColumn("sheet_id", F.col("sheet"))
     return cells.filter(F.col("row") >= header_rows).select(
-        "sheet", "row", "col", F.inline(useful)
+        "sheet_id", "sheet", "row", "col", F.inline(useful)
     )
 
 
@@ -40,21 +42,21 @@ def fill_labels(cells: DataFrame, band_rows: int = BAND_ROWS) -> DataFrame:
     """
     banded = cells.withColumn("band", F.floor(F.col("row") / band_rows))
     place = F.when(F.col("label").isNotNull(), F.struct("row", "col"))
-    bands = banded.groupBy("sheet", "band").agg(F.max_by("label", place).alias("last_label"))
+    bands = banded.groupBy("sheet_id", "band").agg(F.max_by("label", place).alias("last_label"))
     before = (
-        Window.partitionBy("sheet").orderBy("band").rowsBetween(Window.unboundedPreceding, -1)
+        Window.partitionBy("sheet_id").orderBy("band").rowsBetween(Window.unboundedPreceding, -1)
     )
     carried = bands.select(
-        "sheet", "band", F.last("last_label", ignorenulls=True).over(before).alias("carried")
+        "sheet_id", "band", F.last("last_label", ignorenulls=True).over(before).alias("carried")
     )
     so_far = (
-        Window.partitionBy("sheet", "band")
+        Window.partitionBy("sheet_id", "band")
         .orderBy("row", "col")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    in_row = Window.partitionBy("sheet", "band", "row")
+    in_row = Window.partitionBy("sheet_id", "band", "row")
     return (
-        banded.join(carried, ["sheet", "band"])
+        banded.join(carried, ["sheet_id", "band"])
         .withColumn(
             "current_label",
             F.coalesce(F.last("label", ignorenulls=True).over(so_far), F.col("carried")),
@@ -67,7 +69,10 @@ def fill_labels(cells: DataFrame, band_rows: int = BAND_ROWS) -> DataFrame:
 def flatten_tiers(
     cells: DataFrame, header_rows: int = 1, compat: bool = False, band_rows: int = BAND_ROWS
 ) -> GeoTiers:
-    """Flatten cells ``sheet, row, col, value`` (rows and columns from 0)."""
+    """Flatten cells ``sheet, row, col, value`` (rows and columns from 0).
+
+    Sheets of one name are told apart by ``sheet_id``, if there is one.
+    """
     read = read_cells(cells, header_rows, compat)
     tier = F.concat_ws("_", slug(F.col("sheet")), F.col("current_label"))
     filled = fill_labels(read, band_rows).withColumn("tier", tier)

@@ -55,8 +55,10 @@ MATCH_COLUMNS = (*CONSUMER_COLUMNS, *SCORE_COLUMNS, "match_type", "match_overall
 
 _CONSUMER_SIDE = "_rc_c"
 C_FIRST, C_LAST, C_ADDRESS = (_CONSUMER_SIDE + c for c in (FIRST, LAST, ADDRESS))
-ADDRESS_CODES = "_rc_codes"
-C_ADDRESS_CODES = _CONSUMER_SIDE + ADDRESS_CODES
+ADDRESS_CODES, FIRST_CODES, LAST_CODES = "_rc_codes", "_rc_first_codes", "_rc_last_codes"
+C_ADDRESS_CODES, C_FIRST_CODES, C_LAST_CODES = (
+    _CONSUMER_SIDE + c for c in (ADDRESS_CODES, FIRST_CODES, LAST_CODES)
+)
 
 
 @dataclass(frozen=True)
@@ -99,13 +101,21 @@ class MatchRules:
 
 
 def name_score(
-    a: Column, b: Column, is_last_name: bool = False, phonetic: bool = True
+    a: Column,
+    b: Column,
+    is_last_name: bool = False,
+    phonetic: bool = True,
+    agree: Column | None = None,
 ) -> Column:
-    """Score of two normalized names; last names are also compared by their parts."""
+    """Score of two normalized names; last names are also compared by their parts.
+
+    ``agree`` tells whether they sound alike, if that is known from codes per row.
+    """
     edit = name_part_score(a, b) if is_last_name else edit_score(a, b)
     if not phonetic:
         return edit
-    agree = forms_agree(name_forms(a), name_forms(b)) if is_last_name else codes_agree(a, b)
+    if agree is None:
+        agree = forms_agree(name_forms(a), name_forms(b)) if is_last_name else codes_agree(a, b)
     return _raise_to_phonetic(a, b, edit, agree)
 
 
@@ -132,11 +142,20 @@ def _agreement(a: Column, b: Column, agree: Column, rules: MatchRules) -> Column
 
 
 def _raise_to_phonetic(a: Column, b: Column, edit: Column, agree: Column) -> Column:
+    """``edit``, or the phonetic score where that is higher and the texts agree by sound.
+
+    The edit score goes through an array, whose one element has several uses: it is computed
+    once, while Spark would call the scorer for every use of the column.
+    """
     blank = a.isNull() | b.isNull() | (a == "") | (b == "")
-    # Codes are only derived where they can raise the score.
-    return F.when(blank | (edit >= PHONETIC_SCORE), edit).otherwise(
-        F.when(agree, F.lit(PHONETIC_SCORE)).otherwise(edit)
-    )
+
+    def raised(score: Column) -> Column:
+        # Codes are only derived where they can raise the score.
+        return F.when(blank | (score >= PHONETIC_SCORE), score).otherwise(
+            F.when(agree, F.lit(PHONETIC_SCORE)).otherwise(score)
+        )
+
+    return F.get(F.transform(F.array(edit), raised), F.lit(0))
 
 
 def match_type(first: Column, last: Column, address: Column, rules: MatchRules) -> Column:
@@ -184,22 +203,24 @@ def blocked_consumers(
 
 def list_texts(people: DataFrame, source: Mapping[str, str], rules: MatchRules) -> DataFrame:
     """Blocked list rows with the texts to compare."""
-    df = people.select("*", *compared_texts(source, rules.texts))
-    return _address_codes(df, ADDRESS, ADDRESS_CODES, rules)
+    return people.select("*", *compared_texts(source, rules.texts))
 
 
 def consumer_texts(consumers: DataFrame, rules: MatchRules) -> DataFrame:
     """Blocked consumers with the texts to compare."""
     source = dict(zip(PERSON, CONSUMER_COLUMNS[1:]))
-    df = consumers.select("*", *compared_texts(source, rules.texts, _CONSUMER_SIDE))
-    return _address_codes(df, C_ADDRESS, C_ADDRESS_CODES, rules)
+    return consumers.select("*", *compared_texts(source, rules.texts, _CONSUMER_SIDE))
 
 
-def _address_codes(df: DataFrame, text: str, codes: str, rules: MatchRules) -> DataFrame:
-    """Phonetic codes of the address, where they can decide: once per row, not per pair."""
-    if not rules.phonetic_decides:
-        return df
-    return df.withColumn(codes, phonetic_codes(F.array(F.col(text))))
+def _with_codes(df: DataFrame, side: str, rules: MatchRules) -> DataFrame:
+    """Phonetic codes of the texts, where they can decide: once per row, not per pair."""
+    codes = {}
+    if rules.phonetic:
+        codes[side + FIRST_CODES] = phonetic_codes(F.array(F.col(side + FIRST)))
+        codes[side + LAST_CODES] = phonetic_codes(name_forms(F.col(side + LAST)))
+    if rules.phonetic_decides:
+        codes[side + ADDRESS_CODES] = phonetic_codes(F.array(F.col(side + ADDRESS)))
+    return df.withColumns(codes) if codes else df
 
 
 def block_sizes(people: DataFrame, consumers: DataFrame) -> DataFrame:
@@ -218,8 +239,8 @@ def candidate_pairs(
     The list is partitioned by block even where Spark can broadcast the consumers: comparing
     texts costs far more than moving rows, and a short list would be scored by one task.
     """
-    spread = list_texts(people.repartition(*BLOCK_KEYS), source, rules)
-    return spread.join(consumer_texts(consumers, rules), BLOCK_KEYS)
+    spread = _with_codes(list_texts(people.repartition(*BLOCK_KEYS), source, rules), "", rules)
+    return spread.join(_with_codes(consumer_texts(consumers, rules), _CONSUMER_SIDE, rules), BLOCK_KEYS)
 
 
 # ---------------------------------------------------------------- best match
@@ -271,10 +292,14 @@ def _scored(pairs: DataFrame, rules: MatchRules) -> DataFrame:
 
 def _typed(pairs: DataFrame, rules: MatchRules) -> DataFrame:
     first, last, address = SCORE_COLUMNS
+    # Codes come with the rows of blocks; of narrowed blocks only the best pairs get here.
+    coded = FIRST_CODES in pairs.columns
+    first_agree = F.arrays_overlap(FIRST_CODES, C_FIRST_CODES) if coded else None
+    last_agree = F.arrays_overlap(LAST_CODES, C_LAST_CODES) if coded else None
     scored = pairs.withColumns(
         {
-            first: name_score(F.col(FIRST), F.col(C_FIRST), False, rules.phonetic),
-            last: name_score(F.col(LAST), F.col(C_LAST), True, rules.phonetic),
+            first: name_score(F.col(FIRST), F.col(C_FIRST), False, rules.phonetic, first_agree),
+            last: name_score(F.col(LAST), F.col(C_LAST), True, rules.phonetic, last_agree),
         }
     )
     typed = scored.withColumn(
@@ -441,6 +466,24 @@ def best_matches(
     return small.unionByName(narrowed.select(*output))
 
 
+def match_sizes(
+    people: DataFrame,
+    consumers: DataFrame,
+    mapping: Mapping[str, str] | None = None,
+    state: str | None = None,
+    header: Header | None = None,
+    state_exact: bool = False,
+) -> dict[str, int]:
+    """Rows of the list and of the consumers in the state, and pairs that share a block."""
+    source = resolve_mapping(people.columns, mapping, header)
+    state = state_code(state)
+    people = in_state(people, source["state"], state) if state else people
+    chosen = in_state(consumers, "state", state, state_exact)
+    sizes = group_sizes(blocked_list(people, source), blocked_consumers(chosen), BLOCK_KEYS)
+    pairs = sizes.agg(F.sum("pairs").alias("n")).first()["n"]
+    return {"people": people.count(), "consumers": chosen.count(), "comparisons": int(pairs or 0)}
+
+
 def match_people(
     people: DataFrame,
     consumers: DataFrame,

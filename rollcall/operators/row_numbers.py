@@ -1,4 +1,9 @@
-"""Contiguous numbering of lines and rows without collecting them in one task."""
+"""Contiguous numbering of lines and rows without collecting them in one task.
+
+Numbers follow from the position within a piece (an input split or a range of rows) and the sizes
+of the pieces before it. Both passes need the same pieces, and Spark may split the same file
+differently when it is read again, so the rows are stored before the first pass.
+"""
 
 from __future__ import annotations
 
@@ -8,51 +13,47 @@ from pyspark.sql import functions as F
 from rollcall.sources.lines import BLOCK, FILE
 from rollcall.storage import materialize
 
-# Offsets (one small row per input split) are broadcast up to this number of rows.
-BROADCAST_ROWS = 500_000
+# Offsets (one row with a file path per input split) are broadcast up to this number of rows.
+BROADCAST_ROWS = 100_000
 
 
-def _number(rows: DataFrame, within: list[str], pieces: list[str], name: str) -> DataFrame:
-    """Number rows that are consecutive within a piece, the pieces following one another.
+def number_stored_lines(stored: DataFrame, name: str = "line_number") -> DataFrame:
+    """Add the 1-based position of each line in its file, in the order of the splits.
 
-    ``_at`` grows by one from row to row of a piece. The first pass leaves one row per piece,
-    from which the number of rows in all earlier pieces follows.
+    ``stored`` has to keep its partitions from one pass to the next, as :func:`materialize`
+    makes sure; filters and projections of stored lines do too.
     """
-    earlier = (
-        Window.partitionBy(*within).orderBy(*pieces).rowsBetween(Window.unboundedPreceding, -1)
-    )
+    rows = stored.withColumn("_at", F.monotonically_increasing_id())
+    earlier = Window.partitionBy(FILE).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
     offsets = materialize(
-        rows.groupBy(*within, *pieces)
+        rows.groupBy(FILE, BLOCK)
         .agg(F.min("_at").alias("first"), F.count(F.lit(1)).alias("size"))
         .select(
-            *within,
-            *pieces,
+            FILE,
+            BLOCK,
             (F.coalesce(F.sum("size").over(earlier), F.lit(0)) - F.col("first") + 1).alias("_shift"),
         )
     )
     if offsets.count() <= BROADCAST_ROWS:
         offsets = F.broadcast(offsets)
     return (
-        rows.join(offsets, [*within, *pieces])
+        rows.join(offsets, [FILE, BLOCK])
         .withColumn(name, F.col("_at") + F.col("_shift"))
         .drop("_at", "_shift")
     )
 
 
 def number_lines(lines: DataFrame, name: str = "line_number") -> DataFrame:
-    """Add the 1-based position of each line in its file; the lines stay where they are read."""
-    rows = lines.withColumn("_at", F.monotonically_increasing_id())
-    return _number(rows, [FILE], [BLOCK], name)
+    """Add the 1-based position of each line in its file; the lines are read once and stored."""
+    return number_stored_lines(materialize(lines), name)
 
 
-def number_rows(df: DataFrame, *order: str, name: str = "row_number") -> DataFrame:
-    """Add the 1-based position of each row in the order of the given columns.
+def ordered_lines(df: DataFrame, *order: str) -> DataFrame:
+    """Stored rows in the order of the given columns, as the splits of one file."""
+    ranges = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    return materialize(ranges.withColumns({FILE: F.lit(""), BLOCK: F.spark_partition_id()}))
 
-    Rows are range-partitioned on the order and stored, which fixes the partitions for the
-    two passes; the offsets have one row per partition.
-    """
-    ranges = materialize(df.repartitionByRange(*order).sortWithinPartitions(*order))
-    rows = ranges.withColumns(
-        {"_at": F.monotonically_increasing_id(), "_piece": F.spark_partition_id(), "_all": F.lit(0)}
-    )
-    return _number(rows, ["_all"], ["_piece"], name).drop("_piece", "_all")
+
+def number_rows(df: DataFrame, *order: str, name: str = "row_number") -> DataFrame:
+    """Add the 1-based position of each row in the order of the given columns."""
+    return number_stored_lines(ordered_lines(df, *order), name).drop(FILE, BLOCK)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Mapping
-from dataclasses import dataclass, replace
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +18,7 @@ from rollcall.operators.broken_rows import (
     quarantine_text,
 )
 from rollcall.operators.geo_tiers import flatten_tiers, sorted_flat, tier_summary
-from rollcall.operators.matching import MatchRules, match_people
+from rollcall.operators.matching import MatchRules, match_people, match_sizes
 from rollcall.operators.orders import EXPORT_PATTERN, output_name, stamp_orders
 from rollcall.operators.reports import (
     counted,
@@ -30,6 +30,7 @@ from rollcall.operators.zip_split import split_zip_plus4
 from rollcall.sinks.files import (
     register_table,
     write_chunks,
+    write_clean,
     write_csv,
     write_csv_by_name,
     write_lines,
@@ -41,6 +42,7 @@ from rollcall.sources.exports import read_exports
 from rollcall.sources.grid import read_grid
 from rollcall.sources.lines import VALUE, first_line, read_lines
 from rollcall.sources.tables import read_table
+from rollcall.storage import materialize
 
 
 # Rows of the sample in a job report.
@@ -69,6 +71,8 @@ class JobReport:
     reports: dict[str, DataFrame]
     renamed: dict[str, str]
     duplicate_names: list[str]
+    # Of a match: rows of the list and of the consumers, and pairs in the same block.
+    sizes: dict[str, int] = field(default_factory=dict)
 
 
 def import_job(
@@ -107,7 +111,7 @@ def import_job(
 
 def _write_matches(
     spark: SparkSession, matches: DataFrame, counts: dict[str, int], output_path: str,
-    output_table: str | None, renamed: dict[str, str], duplicates: list[str],
+    output_table: str | None, renamed: dict[str, str], duplicates: list[str], sizes: dict[str, int],
 ) -> JobReport:
     """Evaluate the match once, into the output; the reports read it back."""
     rows, seen = counted(matches, "matched")
@@ -125,33 +129,45 @@ def _write_matches(
         },
         renamed,
         duplicates,
+        sizes,
     )
 
 
+def _rules(rules: MatchRules | None, threshold: int | None) -> MatchRules:
+    """The rules, with another threshold only if one is given."""
+    rules = rules or MatchRules()
+    return rules if threshold is None else replace(rules, threshold=int(threshold))
+
+
 def import_and_match_job(
     spark: SparkSession,
     input_path: str,
     match_table: str,
     output_path: str,
     output_table: str | None = None,
-    threshold: int = 92,
+    threshold: int | None = None,
     mapping: Mapping[str, str] | str | None = None,
     delimiter: str | None = None,
     state: str | None = None,
     rules: MatchRules | None = None,
+    state_exact: bool = False,
 ) -> JobReport:
-    """Import a list and match it to a consumer table in one go."""
-    rules = replace(rules or MatchRules(), threshold=int(threshold))
+    """Import a list and match it to a consumer table in one go.
+
+    The import is stored once, so that sizing the blocks reads three columns and not the text.
+    ``state_exact`` compares stored states as they are, which the scan can skip by.
+    """
+    rules = _rules(rules, threshold)
     imported = import_list(spark, input_path, delimiter)
-    matches = match_people(
-        imported.rows, read_table(spark, match_table), column_mapping(mapping), rules, state,
-        imported.header,
-    )
+    people, consumers = materialize(imported.rows), read_table(spark, match_table)
+    source = column_mapping(mapping)
+    matches = match_people(people, consumers, source, rules, state, imported.header, state_exact)
     header = imported.header
     counts = {"files": imported.counts.files, "lines": imported.counts.lines}
+    sizes = match_sizes(people, consumers, source, state, imported.header, state_exact)
     return _write_matches(
         spark, matches, counts, output_path, output_table,
-        dict(zip(header.original, header.names)), header.duplicate_safe_names,
+        dict(zip(header.original, header.names)), header.duplicate_safe_names, sizes,
     )
 
 
@@ -161,18 +177,19 @@ def match_tables_job(
     match_table: str,
     output_path: str,
     output_table: str | None = None,
-    threshold: int = 92,
+    threshold: int | None = None,
     mapping: Mapping[str, str] | str | None = None,
     state: str | None = None,
     rules: MatchRules | None = None,
+    state_exact: bool = False,
 ) -> JobReport:
     """Match a table of people to a consumer table."""
-    rules = replace(rules or MatchRules(), threshold=int(threshold))
-    matches = match_people(
-        read_table(spark, input_table), read_table(spark, match_table), column_mapping(mapping),
-        rules, state,
-    )
-    return _write_matches(spark, matches, {}, output_path, output_table, {}, [])
+    rules = _rules(rules, threshold)
+    people, consumers = read_table(spark, input_table), read_table(spark, match_table)
+    source = column_mapping(mapping)
+    matches = match_people(people, consumers, source, rules, state, state_exact=state_exact)
+    sizes = match_sizes(people, consumers, source, state, state_exact=state_exact)
+    return _write_matches(spark, matches, {}, output_path, output_table, {}, [], sizes)
 
 
 def geo_tiers_job(spark: SparkSession, grid_path: str, output_folder: str, stem: str,
@@ -197,19 +214,24 @@ def clean_and_chunk_job(
     separator: str = ",",
     quote_aware: bool = False,
 ) -> dict[str, str]:
-    """Set broken lines of one file aside and cut the others into chunks with a header each."""
+    """Set broken lines of one file aside; write the others in order, and in chunks with a header each."""
     lines = read_lines(spark, input_path)
     header, counts = first_line(lines)
     if counts.files != 1:
         raise ValueError("chunks are cut from one file at a time")
     paths = {
         "bad_rows": f"{output_folder}/{stem}_bad_rows.log",
+        "clean": f"{output_folder}/{stem}_clean",
         "parts": f"{output_folder}/{stem}_parts",
     }
     fits = fits_header(F.col(VALUE), header, separator, quote_aware)
-    write_lines(quarantine_text(broken_lines(lines, fits)), paths["bad_rows"])
+    # Both passes over the lines, and both outputs, read what is stored here.
+    stored = materialize(lines)
+    write_lines(quarantine_text(broken_lines(stored, fits)), paths["bad_rows"])
     chunk = chunk_of(F.col("position"), chunk_rows).alias("chunk_id")
-    write_chunks(good_lines(lines, fits).select("position", VALUE, chunk), header, paths["parts"])
+    good = good_lines(stored, fits).select("position", VALUE, chunk)
+    write_clean(good, header, paths["clean"])
+    write_chunks(good, header, paths["parts"])
     return paths
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,17 +21,45 @@ def table_name(name: str) -> str:
     return ".".join(quoted(part.strip("`")) for part in name.split("."))
 
 
+def _external_location(spark: SparkSession, table: str) -> str | None:
+    """Location of an external Parquet table, None for any other table or view."""
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()
+    # The details follow the columns, which may have the same names.
+    details = {r["col_name"]: r["data_type"] for r in rows}
+    if details.get("Type") == "EXTERNAL" and details.get("Provider", "").lower() == "parquet":
+        return details.get("Location")
+    return None
+
+
 def register_table(spark: SparkSession, name: str, path: str) -> None:
-    """Make ``name`` an external table over Parquet at ``path``; a stale schema is replaced."""
-    stored = spark.read.parquet(path).schema
-    if spark.catalog.tableExists(name):
-        known = spark.table(table_name(name)).schema
-        if [(f.name, f.dataType) for f in known] == [(f.name, f.dataType) for f in stored]:
-            spark.catalog.refreshTable(table_name(name))
+    """Make ``name`` an external table over the Parquet files at ``path``.
+
+    An external Parquet table of that name is replaced if its location or schema differs, which
+    leaves its files alone. Any other table or view of that name is an error.
+    """
+    table, stored = table_name(name), spark.read.parquet(path).schema
+    if spark.catalog.tableExists(table):
+        location = _external_location(spark, table)
+        if location is None:
+            raise ValueError(f"{name} exists and is no external Parquet table; it is left as it is")
+        known = spark.table(table).schema
+        same = [(f.name, f.dataType) for f in known] == [(f.name, f.dataType) for f in stored]
+        if same and _plain_path(location) == _plain_path(_qualified(spark, path)):
+            spark.catalog.refreshTable(table)
             return
-        spark.sql(f"DROP TABLE {table_name(name)}")
+        spark.sql(f"DROP TABLE {table}")
     location = path.replace("\\", "\\\\").replace("'", "\\'")
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {table_name(name)} USING parquet LOCATION '{location}'")
+    spark.sql(f"CREATE TABLE {table} USING parquet LOCATION '{location}'")
+
+
+def _qualified(spark: SparkSession, path: str) -> str:
+    """The path with its file system, as the catalog stores it."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).makeQualified(hadoop).toString()
+
+
+def _plain_path(location: str) -> str:
+    return re.sub(r"^file:/+", "file:/", location).rstrip("/")
 
 
 def write_table(df: DataFrame, name: str, path: str, partition_keys: Sequence[str] = ()) -> None:
@@ -78,6 +107,17 @@ def write_chunks(lines: DataFrame, header: str, path: str) -> None:
     )
 
 
+def write_clean(lines: DataFrame, header: str, path: str) -> None:
+    """Lines in the order of ``position`` as text files that follow one another by name.
+
+    The header line comes first, at the head of the first file only.
+    """
+    head = lines.sparkSession.range(1).select(F.lit(0).cast("bigint").alias("position"), F.lit(header).alias(VALUE))
+    body = lines.select(F.col("position").cast("bigint").alias("position"), VALUE)
+    ordered = body.unionByName(head).orderBy("position")
+    ordered.select(VALUE).write.mode("overwrite").text(path)
+
+
 def write_lines(df: DataFrame, path: str) -> None:
     """Lines of text (one string column)."""
     df.write.mode("overwrite").text(path)
