@@ -179,6 +179,7 @@ def scan(text: str | None) -> list[tuple]:
     if not text:
         return []
     found: dict[tuple, tuple] = {}
+    hidden: dict[tuple, tuple] = {}
     work = [Layer(text, range(len(text)), range(1, len(text) + 1), "text")]
     seen: set[tuple] = set()
     while work:
@@ -191,8 +192,18 @@ def scan(text: str | None) -> list[tuple]:
         base = layer.path == "text"
         for kind, start, end in plain_findings(layer.text, raw):
             key = (kind, *((start, end) if base else layer.span(start, end)))
-            found.setdefault(key, (*key, base, 1.0, layer.path))
+            if base:
+                found[key] = (*key, True, 1.0, layer.path)
+            else:
+                hidden.setdefault(key, (layer.path, layer.text[start:end]))
         work.extend(below for below in unwrapped(layer, raw) if below.text)
+    # One secret can come out of two runs, one in the other; the wider counts.
+    reached: dict[tuple, int] = {}
+    for key in sorted(hidden.keys() - found.keys(), key=lambda k: (k[1], -k[2])):
+        path, secret = hidden[key]
+        if key[1] >= reached.get((key[0], secret), -1):
+            reached[key[0], secret] = key[2]
+            found[key] = (*key, False, 1.0, path)
     return sorted(found.values(), key=lambda f: (f[1], KINDS.index(f[0]), f[2]))
 
 

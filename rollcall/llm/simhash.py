@@ -176,14 +176,14 @@ def _shingle_column(text: pd.Series) -> pd.Series:
 
 @F.pandas_udf(SIGNATURE)
 def _signature(text: pd.Series) -> pd.DataFrame:
-    words = [t.encode().lower().split() if t else [] for t in text]
-    return pd.DataFrame(
-        {
-            "prints": pd.Series([_signed(word_fingerprints(w)) for w in words], dtype="object"),
-            "sketch": pd.Series([shingle_sketch(w) for w in words], dtype="object"),
-            "node": _signed([xxhash.xxh3_64_intdigest(b" ".join(w)) for w in words]),
-        }
-    )
+    prints, sketches, nodes = [], [], []
+    for one in text:
+        words = one.encode().lower().split() if one else []
+        prints.append(_signed(word_fingerprints(words)))
+        sketches.append(shingle_sketch(words))
+        nodes.append(xxhash.xxh3_64_intdigest(b" ".join(words)))
+    prints, sketches = pd.Series(prints, dtype="object"), pd.Series(sketches, dtype="object")
+    return pd.DataFrame({"prints": prints, "sketch": sketches, "node": _signed(nodes)})
 
 
 def _write_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

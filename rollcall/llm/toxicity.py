@@ -158,7 +158,7 @@ def _with_features(df: DataFrame, lexicon: Lexicon, labelled: bool) -> DataFrame
     names = ["doc_id", *(["toxic", "weight", "part"] if labelled else [])]
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(at, 500) for b in batches for at in range(0, b.num_rows, 500)):
             texts = batch.column("text").to_pylist()
             labels = batch.column("toxic").to_pylist() if labelled else [None] * len(texts)
             rows = [features(t, lexicon, y) for t, y in zip(texts, labels, strict=True)]
@@ -171,8 +171,8 @@ def _with_features(df: DataFrame, lexicon: Lexicon, labelled: bool) -> DataFrame
 
 def _write_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for text, label in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist(), strict=True):
-            own = list(grams(text))
+        for text, label in zip(batch.column("text"), batch.column("toxic").to_pylist(), strict=True):
+            own = list(grams(text.as_py()))
             for at in range(0, len(own), 10_000):
                 part = own[at : at + 10_000]
                 yield pa.RecordBatch.from_arrays([pa.array(part, pa.string()), pa.array([label] * len(part), pa.int32())], names=["gram", "toxic"])
