@@ -180,7 +180,7 @@ def _pack_group(first: int, capacity: int):
     return pack
 
 
-def pack_pieces(pieces: DataFrame, capacity: int = LENGTH, slack: int = LENGTH // 64, group: int = GROUP) -> DataFrame:
+def pack_pieces(pieces: DataFrame, capacity: int = LENGTH, slack: int = LENGTH // 512, group: int = GROUP) -> DataFrame:
     """``pieces`` with sequence_id and offset; every length must be 1 to ``capacity``.
 
     ``pieces`` should be cheap to read twice. An empty table gives no rows.
@@ -200,7 +200,7 @@ def pack_pieces(pieces: DataFrame, capacity: int = LENGTH, slack: int = LENGTH /
         )
         loose = packed.filter(F.col("space") > slack)
         again = loose.count() if shards > 1 else 0
-        if not again or again > n // 2:
+        if not again or again > n * 3 // 4:
             done.append(packed)
             break
         done.append(packed.filter(F.col("space") <= slack))
@@ -213,7 +213,7 @@ def pack_pieces(pieces: DataFrame, capacity: int = LENGTH, slack: int = LENGTH /
 
 def pack_documents(documents: DataFrame, tokenizer: str, length: int = LENGTH, keep_ids: bool = False) -> DataFrame:
     """Every piece of every document with its place: sequence_id and offset, gapless from 0."""
-    return pack_pieces(token_pieces(documents, tokenizer, length, keep_ids), length, length // 64)
+    return pack_pieces(token_pieces(documents, tokenizer, length, keep_ids), length, length // 512)
 
 
 def sequences(packed: DataFrame) -> DataFrame:

@@ -80,7 +80,8 @@ class Lexicon:
         with_, without = count
         toxic, clean = self.toxic, self.clean
         if label is not None:
-            with_, without = with_ - label, without - (1 - label)
+            # A disguised word is looked up though the text was not counted for it.
+            with_, without = max(0, with_ - label), max(0, without - (1 - label))
             toxic, clean = toxic - label, clean - (1 - label)
         if with_ < SUPPORT - 1:
             return 0.0
