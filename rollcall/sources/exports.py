@@ -11,38 +11,33 @@ from pyspark.sql import functions as F
 from rollcall.functions.names import Header, quoted
 from rollcall.operators.orders import EXPORT_PATTERN
 from rollcall.sources.delimited import data_lines, parse_lines
-from rollcall.sources.lines import FILE, file_name, file_profile, read_lines
-
-# Different header lines a folder may have; each is one table.
-MAX_LAYOUTS = 1_000
-
+from rollcall.sources.lines import FILE, file_name, file_profile, read_lines, reader_path
 
 def read_exports(
     spark: SparkSession, folder: str, pattern: str = EXPORT_PATTERN
 ) -> Iterator[tuple[Header, DataFrame]]:
     """Rows of the matching files, all strings, one DataFrame per header line.
 
-    Each has the header's columns under their original names and ``_file_name``.
+    Each has the header's columns under their original names and ``_file_name``. Every file is
+    read twice, for its header line and for its rows, however many layouts there are.
     """
     try:
         lines = read_lines(spark, folder, pattern)
     except AnalysisException as missing:
         raise FileNotFoundError(f"{folder} cannot be read") from missing
-    profile = file_profile(lines)
-    layouts = profile.select("first_line").distinct().limit(MAX_LAYOUTS + 1).collect()
-    if not layouts:
-        raise FileNotFoundError(f"no files in {folder} match {pattern}")
-    if len(layouts) > MAX_LAYOUTS:
-        raise ValueError(f"more than {MAX_LAYOUTS} different header lines in {folder}")
-    for (first_line,) in sorted(layouts):
+    files = F.array_sort(F.collect_list(FILE)).alias("files")
+    layouts = file_profile(lines).groupBy("first_line").agg(files).orderBy("first_line")
+    found = False
+    # Header lines and file names only, one layout at a time.
+    for first_line, paths in layouts.toLocalIterator():
+        found = True
         header = Header.parse(first_line)
-        mine = lines
-        if len(layouts) > 1:
-            files = profile.filter(F.col("first_line") == first_line).select(FILE)
-            mine = lines.join(files, FILE, "left_semi")
+        mine = read_lines(spark, [reader_path(path) for path in paths])
         named = mine.withColumnRenamed(FILE, "_rc_file")
         parsed = parse_lines(data_lines(named, header), header, keep=["_rc_file"])
         yield header, parsed.select(
             *[F.col(quoted(safe)).alias(raw) for safe, raw in zip(header.names, header.original)],
             file_name(F.col("_rc_file")).alias("_file_name"),
         )
+    if not found:
+        raise FileNotFoundError(f"no files in {folder} match {pattern}")

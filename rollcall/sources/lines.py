@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +29,11 @@ def file_name(path: Column) -> Column:
     return F.url_decode(F.replace(encoded, F.lit("+"), F.lit("%2B")))
 
 
+def reader_path(path: str) -> str:
+    """A path that Spark reports (percent-encoded) as its readers take it (a pattern)."""
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", unquote(path))
+
+
 def file_stem(path: Column) -> Column:
     return F.regexp_replace(file_name(path), r"(?<=.)\.[^.]*$", "")
 

@@ -1,0 +1,191 @@
+"""What must hold whatever Spark decides: all lines, one scorer call per score, foreign tables, hot grams."""
+
+import os
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from rollcall.demo import queries as q
+from rollcall.functions.geo import read_cell
+from rollcall.operators import candidates as c
+from rollcall.operators import matching as m
+from rollcall.operators.geo_tiers import flatten_tiers
+from rollcall.operators.row_numbers import number_lines
+from rollcall.plans import jobs
+from rollcall.sinks.files import register_table, write_parquet
+from rollcall.sources.exports import read_exports
+from rollcall.sources.grid import read_grid
+from rollcall.sources.lines import read_lines
+from tests.test_import_and_jobs import LIST, put
+from tests.test_matching import CONSUMER_DDL, CONSUMERS, MAPPING
+
+FOLDER = "/root/testdata/sf0.001"
+
+
+# ------------------------------------------------ line numbers
+
+
+def test_numbers_hold_when_splits_change_between_passes(spark, tmp_path):
+    path = put(tmp_path / "big.txt", "".join(f"line {i}\n" for i in range(1, 20_002)))
+    keys = {"spark.sql.files.maxPartitionBytes": "30000", "spark.sql.files.openCostInBytes": "1"}
+    before = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        numbered = number_lines(read_lines(spark, path))
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "7000")
+        spark.conf.set("spark.sql.files.minPartitionNum", "5")
+        rows = numbered.select("value", "line_number").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.minPartitionNum")
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len(rows) == 20_001
+    assert all(r["value"] == f"line {r['line_number']}" for r in rows)
+
+
+def test_clean_file_follows_the_input(spark, tmp_path):
+    lines = ["a,b", *[f"{i},x" if i % 7 else "broken" for i in range(1, 200)]]
+    path = put(tmp_path / "in.csv", "\n".join(lines) + "\n")
+    paths = jobs.clean_and_chunk_job(spark, path, str(tmp_path / "out"), "in", chunk_rows=50)
+    parts = sorted(p for p in os.listdir(paths["clean"]) if p.startswith("part-"))
+    written = [x for p in parts for x in open(os.path.join(paths["clean"], p)).read().splitlines()]
+    assert written == ["a,b"] + [x for x in lines[1:] if x != "broken"]
+    bad = spark.read.text(paths["bad_rows"]).collect()
+    assert {r[0] for r in bad} == {f"Line {i + 1}: broken" for i in range(1, 200) if i % 7 == 0}
+
+
+# ------------------------------------------------ scorer calls
+
+
+def scorers(df):
+    text = df._jdf.queryExecution().executedPlan().toString()
+    return [len(re.findall(r"column_scorer\(", x)) for x in re.findall(r"ArrowEvalPython \[([^\n]*)\], \[", text)]
+
+
+@pytest.mark.parametrize("query", [q.match_best, q.match_phonetic, q.match_phonetic_low])
+def test_one_scorer_call_per_score(spark, query):
+    assert sorted(scorers(query(spark, FOLDER))) == [1, 2]
+
+
+def test_names_are_coded_per_row(spark):
+    plan = q.match_phonetic(spark, FOLDER)._jdf.queryExecution().optimizedPlan().toString()
+    assert all(name in plan for name in (m.FIRST_CODES, m.C_FIRST_CODES, m.LAST_CODES, m.C_LAST_CODES))
+
+
+# ------------------------------------------------ tables
+
+
+def test_foreign_tables_are_left_alone(spark, tmp_path):
+    spark.range(4).write.saveAsTable("keep_managed")
+    path = str(tmp_path / "out")
+    write_parquet(spark.range(2), path)
+    with pytest.raises(ValueError, match="external"):
+        register_table(spark, "keep_managed", path)
+    assert spark.table("keep_managed").count() == 4
+    spark.range(3).createOrReplaceTempView("keep_view")
+    with pytest.raises(ValueError, match="external"):
+        register_table(spark, "keep_view", path)
+
+
+def test_other_location_is_taken_over_and_the_same_refreshed(spark, tmp_path):
+    old, new = str(tmp_path / "old"), str(tmp_path / "new")
+    write_parquet(spark.range(3), old)
+    write_parquet(spark.range(5), new)
+    register_table(spark, "moved", old)
+    register_table(spark, "moved", new)
+    assert spark.table("moved").count() == 5 and spark.read.parquet(old).count() == 3
+    write_parquet(spark.range(6), new)
+    register_table(spark, "moved", new)
+    assert spark.table("moved").count() == 6
+
+
+# ------------------------------------------------ jobs
+
+
+def test_rules_keep_their_threshold(spark, tmp_path):
+    consumers = str(tmp_path / "consumers")
+    write_parquet(spark.createDataFrame(CONSUMERS, CONSUMER_DDL), consumers)
+    path = put(tmp_path / "list" / "list.csv", LIST)
+    mapping = {**MAPPING, "zip": "ZIPCODE"}
+    strict = jobs.import_and_match_job(
+        spark, path, consumers, str(tmp_path / "a"), mapping=mapping, rules=m.MatchRules(100, phonetic=False)
+    )
+    plain = jobs.import_and_match_job(spark, path, consumers, str(tmp_path / "b"), mapping=mapping)
+    given = jobs.import_and_match_job(
+        spark, path, consumers, str(tmp_path / "c"), mapping=mapping, threshold=100, rules=m.MatchRules(92, phonetic=False)
+    )
+    assert given.counts == strict.counts
+    assert strict.output.agg(F.min("match_address_score")).first()[0] == 100
+    assert plain.counts["matched"] >= strict.counts["matched"]
+    assert plain.sizes["people"] == 7 and plain.sizes["consumers"] == len(CONSUMERS)
+    assert plain.sizes["comparisons"] > 0
+
+
+def test_exact_state_reaches_the_scan_from_the_job(spark, tmp_path):
+    people, consumers = str(tmp_path / "people"), str(tmp_path / "consumers")
+    write_parquet(spark.createDataFrame(CONSUMERS, CONSUMER_DDL), consumers)
+    from rollcall.sources.delimited import import_list
+
+    write_parquet(import_list(spark, put(tmp_path / "l" / "list.csv", LIST)).rows, people)
+    loose, exact = (
+        jobs.match_tables_job(
+            spark, people, consumers, str(tmp_path / f"out{e}"), mapping=MAPPING, state="OH", state_exact=e
+        )
+        for e in (False, True)
+    )
+    assert exact.counts["matched"] <= loose.counts["matched"]
+    assert exact.sizes["consumers"] <= loose.sizes["consumers"]
+
+
+# ------------------------------------------------ hot grams
+
+
+def test_pairs_of_a_hot_gram_are_spread(spark):
+    left = spark.range(3000).select(F.lit(1).alias("g"), F.col("id").alias("l"), F.lit("").alias("_gram"))
+    right = spark.range(900).select(F.lit(1).alias("g"), F.col("id").alias("r"), F.lit("").alias("_gram"))
+    a, b = c._grid(left, right, ["g", "_gram"], piece=100)
+    met = a.join(b, ["g", "_gram", "_p", "_q"])
+    assert met.count() == met.select("l", "r").distinct().count() == 3000 * 900
+    shares = [r["n"] for r in met.groupBy("_p", "_q").agg(F.count(F.lit(1)).alias("n")).collect()]
+    assert len(shares) == 30 * 9 and max(shares) < 3 * 100 * 100
+
+
+@pytest.mark.parametrize("threshold", [92, 80, 60])
+def test_a_hot_block_equals_all_its_pairs(spark, threshold):
+    people, consumers = q.d.people(spark, FOLDER), q.d.consumers(spark, FOLDER)
+    hot = [x.withColumns({z: F.lit("43001"), z4: F.lit("")}) for x, z, z4 in ((people.limit(120), "zipcode", "plus4"), (consumers, "zip", "zip4"))]
+    found = [
+        sorted(map(str, m.match_people(*hot, q.d.MAPPING, m.MatchRules(threshold, phonetic=False, pair_limit=limit)).collect()))
+        for limit in (10, 10**9)
+    ]
+    assert found[0] == found[1] and found[0]
+
+
+# ------------------------------------------------ sheets and exports
+
+
+def test_white_space_of_any_kind_is_stripped(spark):
+    cells = ["\t43002", "43001\u00a0", "MI\u00a0", "43004\n", " 431 ", "4300\n4"]
+    df = spark.createDataFrame([(x,) for x in cells], "v string").select("v", read_cell(F.col("v")).alias("r"))
+    found = {r["v"]: (r["r"]["geo_type"], r["r"]["geo_value"]) for r in df.collect()}
+    assert found == {
+        "\t43002": ("zip", "43002"), "43001\u00a0": ("zip", "43001"), "MI\u00a0": ("state", "MI"),
+        "43004\n": ("zip", "43004"), " 431 ": ("scf", "431"), "4300\n4": (None, None),
+    }
+
+
+def test_sheets_of_one_name_do_not_mix(spark, tmp_path):
+    for folder, state, zip_code in (("a", "OH", "43001"), ("b", "MI", "48001")):
+        put(tmp_path / "in" / folder / "Tier.csv", f"head\nTier 1 {state} - x\n{zip_code}\n")
+    cells = read_grid(spark, [str(tmp_path / "in" / f) for f in "ab"])
+    flat = {(r["geo_value"], r["tier"]) for r in flatten_tiers(cells).flat.collect()}
+    assert flat == {("43001", "tier_tier_1_oh_x"), ("48001", "tier_tier_1_mi_x")}
+
+
+def test_many_layouts(spark, tmp_path):
+    for i in range(30):
+        put(tmp_path / "in" / f"QB{100 + i}_OmitFile_Export_1125.csv", f"a,c{i}\n1,{i}\n2,{i}\n")
+    seen = {tuple(h.original): sorted(map(tuple, rows.select(*h.original).collect())) for h, rows in read_exports(spark, str(tmp_path / "in"))}
+    assert len(seen) == 30 and seen["a", "c7"] == [("1", "7"), ("2", "7")]
