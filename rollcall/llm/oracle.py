@@ -36,7 +36,7 @@ WITH texts AS (
 SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols,
     n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words,
     f0 OR f1 AS base_failed,
-    NOT (f0 OR f1 OR f6 OR f7) AND f2::INT + f3::INT + f4::INT + f5::INT <= 1 AS kept,
+    NOT (f0 OR f1 OR f4 OR f6 OR f7) AND f2::INT + f3::INT + f5::INT <= 1 AS kept,
     (f0::INT + 2 * f1::INT + 4 * f2::INT + 8 * f3::INT + 16 * f4::INT + 32 * f5::INT + 64 * f6::INT
         + 128 * f7::INT)::BIGINT AS failed
 FROM failing

@@ -43,7 +43,7 @@ def compare(spark, texts):
         assert {n: row[n] for n in q.MEASURES} == m, texts[row["doc_id"]]
         assert row["failed"] == failing(m)
         assert row["base_failed"] == bool(row["failed"] & 3)
-        assert row["kept"] == (not row["failed"] & 0b11000011 and bin(row["failed"] & 0b111100).count("1") <= 1)
+        assert row["kept"] == (not row["failed"] & 0b11010011 and bin(row["failed"] & 0b101100).count("1") <= 1)
 
 
 def test_measurements_of_edge_cases(spark):
