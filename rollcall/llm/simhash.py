@@ -317,15 +317,12 @@ def simhash_components(documents: DataFrame, radius: int = 3) -> DataFrame:
     links = fingerprint_links(nodes.select(F.col("print").alias("node"), F.array("print").alias("prints")), radius)
     roots = components(links)
     lowest = _component_minimum(nodes, roots, "print")
-    return (
-        rows.join(nodes, "print")
-        .join(lowest, "print", "left")
-        .select(
-            "doc_id",
-            F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"),
-            F.coalesce("component_least", "least").alias("component_id"),
-        )
+    # Stored, so that the last join has an exchange on both sides and Spark can split hot prints.
+    placed = materialize(
+        nodes.join(lowest, "print", "left").select("print", F.coalesce("component_least", "least").alias("component_id"))
     )
+    fingerprint = F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint")
+    return rows.join(placed, "print").select("doc_id", fingerprint, "component_id")
 
 
 def _component_minimum(nodes: DataFrame, roots: DataFrame, node: str) -> DataFrame:
