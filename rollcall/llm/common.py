@@ -39,8 +39,20 @@ def free_name(df: DataFrame, wanted: str) -> str:
     return wanted
 
 
+#: Rows of the batches in which texts go to Python and back; by default they are sized for numbers.
+TEXT_ROWS = 2_000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bounds the session's Arrow batches by ``TEXT_ROWS``, unless they are smaller already."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= TEXT_ROWS:
+        spark.conf.set(key, str(TEXT_ROWS))
+
+
 def texts(documents: DataFrame) -> DataFrame:
     """Only doc_id and text, so that other columns never clash."""
+    small_batches(documents.sparkSession)
     return documents.select(F.col("doc_id"), F.col("text"))
 
 

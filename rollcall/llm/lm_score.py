@@ -2,7 +2,7 @@
 
 A network looks at the words on both sides of a position and predicts the word there; the sum of
 the log-probabilities of all of a document's words, each predicted from its neighbours, is its
-score. Words are counted over the whole corpus. The most frequent are the vocabulary; a word's
+score. Words are counted over the whole corpus. Those frequent enough are the vocabulary; a word's
 probability is that of its class, by the network, times its share of the class, by the counts.
 
 The network is trained in numpy where the texts lie, on every seventh position of every document,
@@ -14,22 +14,27 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rollcall.llm.common import BLANKS, texts
+from rollcall.llm.common import BLANKS, landed, texts
 
-#: Words of the vocabulary, and words frequent enough for a class of their own.
-VOCABULARY, FREQUENT = 32_768, 64
+#: A word of the vocabulary is at least one in so many words of the corpus, so there are no more.
+VOCABULARY = 65_536
+#: Words with a class of their own.
+FREQUENT = 64
 CLASSES = 128
 #: Words seen on each side.
 WINDOW = 3
 EMBEDDING, HIDDEN = 16, 32
 ROUNDS, MASKED = 2, 7
 BATCH, RATE = 512, 0.01
+#: Positions scored at once.
+BLOCK = 1024
 SEED = 11
 SHAPES = {
     "embed": (CLASSES + 1, EMBEDDING),
@@ -66,17 +71,17 @@ class Vocabulary:
 
     def read(self, text: str | None) -> np.ndarray:
         """Word numbers of a text; 0 is unknown."""
-        get = self.known.get
         words = text.lower().split() if text else []
-        return np.fromiter((get(w, 0) for w in words), dtype=np.int64, count=len(words))
+        return np.array(list(map(self.known.get, words, repeat(0))), dtype=np.int64)
 
 
 def vocabulary(documents: DataFrame) -> Vocabulary:
-    counts = word_counts(documents)
-    whole = counts.agg(F.count(F.lit(1)).alias("kinds"), F.sum("n").alias("total"))
-    best = counts.orderBy(F.desc("n"), "word").limit(VOCABULARY)
-    rows, sizes = best.collect(), whole.first()
-    return Vocabulary([(r["word"], r["n"]) for r in rows], sizes["kinds"], sizes["total"] or 0)
+    counts = landed(word_counts(documents), "words")
+    sizes = counts.agg(F.count(F.lit(1)).alias("kinds"), F.sum("n").alias("total")).first()
+    total = sizes["total"] or 0
+    rows = counts.filter(F.col("n") * VOCABULARY >= total).collect()
+    words = sorted(((r["word"], r["n"]) for r in rows), key=lambda x: (-x[1], x[0]))
+    return Vocabulary(words, sizes["kinds"], total)
 
 
 Weights = dict[str, np.ndarray]
@@ -104,20 +109,21 @@ def shaped(values: np.ndarray) -> Weights:
 _SIDES = np.array([*range(-WINDOW, 0), *range(1, WINDOW + 1)])
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(axis=1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
+def _softmax(x: np.ndarray) -> np.ndarray:
+    x = np.exp(x - x.max(axis=1, keepdims=True))
+    return x / x.sum(axis=1, keepdims=True)
 
 
 def class_log_probabilities(weights: Weights, around: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     """Log-probability of the class wanted at each position, from the classes around it."""
     tables = np.matmul(weights["embed"][None], weights["mix"])
     out = np.empty(len(wanted), dtype=np.float64)
-    for at in range(0, len(wanted), 4096):
-        own, aim = around[at : at + 4096], wanted[at : at + 4096]
-        hidden = sum(tables[side][own[:, side]] for side in range(2 * WINDOW)) + weights["bias"]
-        logs = _log_softmax(np.tanh(hidden) @ weights["out"] + weights["prior"])
-        out[at : at + len(aim)] = logs[np.arange(len(aim)), aim]
+    for at in range(0, len(wanted), BLOCK):
+        own, aim = around[at : at + BLOCK], wanted[at : at + BLOCK]
+        hidden = sum(tables[side].take(own[:, side], axis=0) for side in range(2 * WINDOW)) + weights["bias"]
+        x = np.tanh(hidden) @ weights["out"] + weights["prior"]
+        x -= x.max(axis=1, keepdims=True)
+        out[at : at + len(aim)] = x[np.arange(len(aim)), aim] - np.log(np.exp(x).sum(axis=1))
     return out
 
 
@@ -132,17 +138,20 @@ class Trainer:
 
     def gradients(self, around: np.ndarray, wanted: np.ndarray) -> Weights:
         w = self.weights
-        inputs = w["embed"][around]
-        hidden = np.tanh(np.einsum("nse,seh->nh", inputs, w["mix"], optimize=True) + w["bias"])
-        error = np.exp(_log_softmax(hidden @ w["out"] + w["prior"]))
+        inputs = w["embed"][around].reshape(len(wanted), -1)
+        mix = w["mix"].reshape(-1, HIDDEN)
+        hidden = np.tanh(inputs @ mix + w["bias"])
+        error = _softmax(hidden @ w["out"] + w["prior"])
         error[np.arange(len(wanted)), wanted] -= 1
         error /= len(wanted)
         back = (error @ w["out"].T) * (1 - hidden**2)
-        to_inputs = np.einsum("nh,seh->nse", back, w["mix"], optimize=True)
+        to_inputs = (back @ mix.T).reshape(-1, EMBEDDING)
+        # Sums by class: of each class's run in the order of classes.
+        order = np.argsort(around, axis=None, kind="stable")
+        classes, starts = np.unique(around.ravel()[order], return_index=True)
         embed = np.zeros_like(w["embed"])
-        np.add.at(embed, around, to_inputs)
-        mix = np.einsum("nse,nh->seh", inputs, back, optimize=True)
-        return {"embed": embed, "mix": mix, "bias": back.sum(0), "out": hidden.T @ error, "prior": error.sum(0)}
+        embed[classes] = np.add.reduceat(to_inputs[order], starts)
+        return {"embed": embed, "mix": (inputs.T @ back).reshape(w["mix"].shape), "bias": back.sum(0), "out": hidden.T @ error, "prior": error.sum(0)}
 
     def step(self, around: np.ndarray, wanted: np.ndarray) -> None:
         self.steps += 1
@@ -155,11 +164,11 @@ class Trainer:
             self.weights[n] -= rate * self.first[n] / (1 - 0.9**self.steps) / scale
 
 
-def _positions(classes: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+def _positions(classes: list[np.ndarray], first: int = 0, every: int = 1) -> tuple[np.ndarray, np.ndarray]:
     """Classes around each position, CLASSES beyond a document's ends, and the class there."""
     edge = np.full(WINDOW, CLASSES, dtype=np.int64)
     row = np.concatenate([x for c in classes for x in (edge, c)] + [edge])
-    at = np.flatnonzero(row < CLASSES)
+    at = np.flatnonzero(row < CLASSES)[first::every]
     return row[at[:, None] + _SIDES], row[at]
 
 
@@ -169,8 +178,7 @@ def _train(words: Vocabulary, weights: Weights, turn: int):
         for batch in batches:
             for at in range(0, batch.num_rows, 200):
                 own = [words.classes[words.read(t)] for t in batch.column(0).slice(at, 200).to_pylist()]
-                around, wanted = _positions(own)
-                around, wanted = around[turn % MASKED :: MASKED], wanted[turn % MASKED :: MASKED]
+                around, wanted = _positions(own, turn % MASKED, MASKED)
                 for start in range(0, len(wanted), BATCH):
                     trainer.step(around[start : start + BATCH], wanted[start : start + BATCH])
         if trainer.seen:
@@ -187,7 +195,7 @@ def train(documents: DataFrame, words: Vocabulary) -> Weights:
     """Weights after ROUNDS rounds over all documents."""
     weights = first_weights(words.sums)
     for turn in range(ROUNDS):
-        found = documents.select("text").mapInArrow(_train(words, weights, turn), "place long, value double, seen long")
+        found = texts(documents).select("text").mapInArrow(_train(words, weights, turn), "place long, value double, seen long")
         # Sums of whole numbers do not depend on the order in which tasks end.
         scaled = (F.round(F.col("value") * 1e6).cast("decimal(20,0)") * F.col("seen")).cast("decimal(38,0)")
         sums = found.groupBy("place").agg(F.sum(scaled).cast("double").alias("sum"), F.sum("seen").alias("seen"))

@@ -27,7 +27,7 @@ END = 0
 #: Pieces of one packing group.
 GROUP = 20_000
 #: Words whose ids a worker remembers.
-REMEMBERED = 400_000
+REMEMBERED = 250_000
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 _encoders: dict[str, WordEncoder] = {}

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from rollcall.llm.common import FINDINGS, span_digests, texts
+from rollcall.llm.common import FINDINGS, small_batches, span_digests, texts
 
 KINDS = ("assign", "access", "hex")
 #: Largest output of one compressed run in bytes; longer output is scanned up to here.
@@ -249,6 +249,7 @@ def _redact_column(text: pd.Series) -> pd.Series:
 
 def secrets_redacted(documents: DataFrame) -> DataFrame:
     """The documents with secrets replaced in their texts; n_chars, if there is one, is counted anew."""
+    small_batches(documents.sparkSession)
     clean = documents.withColumn("text", _redact_column("text"))
     if "n_chars" in documents.columns:
         same = F.col("n_chars").isNull() | F.col("text").isNull()

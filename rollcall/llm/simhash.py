@@ -44,6 +44,8 @@ SKETCH = 1 << SKETCH_BITS
 MARGIN = 0.03
 #: Texts of a group that are compared in one task, 512 bytes each.
 CHUNK = 50_000
+#: Rows of whole groups that are linked at once.
+LINKED = 10_000
 GENERATOR = 0b110001110101  # x^11 + x^10 + x^6 + x^5 + x^4 + x^2 + 1
 
 
@@ -261,6 +263,7 @@ def _link_groups(near, unpack):
 
     def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
+        waiting = 0
 
         def linked(upto: int | None) -> pa.RecordBatch | None:
             key, values, nodes = (np.concatenate(x) for x in zip(*held, strict=True))
@@ -275,8 +278,11 @@ def _link_groups(near, unpack):
             if batch.num_rows:
                 key = batch.column(0).to_numpy()
                 held.append((key, unpack(batch.column(1)), batch.column(2).to_numpy()))
-                if held[0][0][:1] != key[-1] and (out := linked(key[-1])):
-                    yield out
+                waiting += len(key)
+                if waiting >= LINKED and held[0][0][:1] != key[-1]:
+                    waiting = 0
+                    if out := linked(key[-1]):
+                        yield out
         if held and (out := linked(None)):
             yield out
 
@@ -347,19 +353,20 @@ def near_copies_removed(documents: DataFrame, similarity: float = 0.8) -> DataFr
     one with the smallest hash of its text stays, of equal rows one. A null id stays only if no
     row of its group has one. All columns are returned as they came.
     """
-    signed = texts(documents).select(F.col("doc_id"), F.xxhash64("text").alias("text_hash"), _signature("text").alias("s"))
-    rows = landed(signed.select("doc_id", "text_hash", "s.*"), "signatures")
-    nodes = rows.groupBy("node").agg(F.first("prints").alias("prints"), F.first("sketch").alias("sketch"))
+    signed = texts(documents).select(_order().alias("order"), _signature("text").alias("s"))
+    texts_ = signed.select("order", "s.*").groupBy("node").agg(
+        F.first("prints").alias("prints"), F.first("sketch").alias("sketch"), F.min("order").alias("best")
+    )
+    # Short ids, fixed by storing them, stand for texts in what is shuffled most.
+    nodes = landed(texts_.drop("node").withColumn("node", F.monotonically_increasing_id()), "signatures")
     near = components(fingerprint_links(nodes, MOST_BITS))
-    groups = _grid(rows.groupBy("node").agg(F.first("sketch").alias("sketch")).join(near, "node"))
+    groups = _grid(nodes.select("node", "sketch").join(near, "node"))
     similar = _link_groups(alike(similarity - MARGIN), _sketches)
     links = groups.repartition("key").sortWithinPartitions("key").mapInArrow(similar, "a long, b long")
     roots = components(links)
-    # The row that stays, of each text first (map-side), then of each group.
-    best = rows.groupBy("node").agg(F.min(_order()).alias("best"))
-    placed = best.join(roots, "node", "left").select(F.coalesce("root", "node").alias("root"), "best")
+    placed = nodes.select("node", "best").join(roots, "node", "left").select(F.coalesce("root", "node").alias("root"), "best")
     stay = placed.groupBy("root").agg(F.min("best").alias("best")).select("best.doc_id", "best.text_hash")
-    repeated = not rows.groupBy("doc_id", "text_hash").count().filter("count > 1").isEmpty()
+    repeated = not documents.groupBy("doc_id").count().filter("count > 1").isEmpty()
     return _rows_of(documents, stay, repeated)
 
 
@@ -375,7 +382,8 @@ def _grid(members: DataFrame) -> DataFrame:
 
 
 def _order() -> Column:
-    return F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
+    """The first row by this order stays."""
+    return F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", F.xxhash64("text").alias("text_hash"))
 
 
 def _rows_of(documents: DataFrame, stay: DataFrame, repeated: bool) -> DataFrame:

@@ -21,7 +21,7 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rollcall.llm.common import free_name, landed
+from rollcall.llm.common import free_name, landed, small_batches
 
 #: Bound of the sample that lexicon, trees and calibration are fitted on: rows of each label.
 FIT_TOXIC, FIT_CLEAN = 4_000, 8_000
@@ -166,6 +166,7 @@ def _with_features(df: DataFrame, lexicon: Lexicon, labelled: bool) -> DataFrame
             columns = [batch.column(n) for n in names] + [pa.array(rows, pa.list_(pa.float64()))]
             yield pa.RecordBatch.from_arrays(columns, names=[*names, "features"])
 
+    small_batches(df.sparkSession)
     schema = "doc_id long" + (", toxic int, weight double, part long" if labelled else "") + ", features array<double>"
     return df.select(*names, "text").mapInArrow(add, schema)
 

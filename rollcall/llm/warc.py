@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollcall.llm.common import landed
+from rollcall.llm.common import landed, small_batches
 
 #: Bytes of a record's block; longer blocks are continued.
 SEGMENT = 4096
@@ -139,6 +139,7 @@ def write_archives(pages: DataFrame, path: str, segment: int = SEGMENT, archive:
     A null html is an empty payload. Of equal payloads of ``LEAST_REPEATED`` bytes or more the one
     with the largest page_id is written, by each row that has that id; the others revisit it.
     """
+    small_batches(pages.sparkSession)
     html = F.coalesce(F.encode(F.col("html"), "UTF-8"), F.lit(b""))
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", html.alias("html"))
     rows = rows.withColumn("digest", F.sha2("html", 256))

@@ -78,8 +78,8 @@ def test_scores_equal_a_word_by_word_sum(spark):
 
 
 def test_vocabulary_counts_everything(spark, monkeypatch):
-    monkeypatch.setattr(m, "VOCABULARY", 2)
-    docs = documents(spark, ["a a a b b c", "a B d", None, ""])
+    monkeypatch.setattr(m, "VOCABULARY", 3)
+    docs = documents(spark, ["a a a b b c", "a B d", None, ""])  # 3 of 9 words and more
     words = m.vocabulary(docs)
     assert set(words.known) == {"a", "b"}
     assert words.shares[0] == pytest.approx(-np.log(2))  # c and d
