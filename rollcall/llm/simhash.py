@@ -237,19 +237,41 @@ def group_stars(values: np.ndarray, near) -> np.ndarray:
     return first
 
 
+def _first_reached(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """For each of n rows the first row it reaches by the pairs (a, b)."""
+    first = np.arange(n)
+    while True:
+        low = np.minimum(first[a], first[b])
+        new = first.copy()
+        np.minimum.at(new, a, low)
+        np.minimum.at(new, b, low)
+        new = new[new]
+        if (new == first).all():
+            return first
+        first = new
+
+
 def group_links(key: np.ndarray, values: np.ndarray, nodes: np.ndarray, near) -> np.ndarray:
-    """Links (n, 2) of whole groups of equal keys that lie one after the other."""
+    """Links (n, 2) of whole groups of equal keys that lie one after the other.
+
+    What is connected in a group is linked to its first row. With groups in the order of nodes
+    that is the smallest node, mostly the same in many groups, so that links repeat and fold.
+    """
     starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
     sizes = np.diff(np.r_[starts, len(key)])
     small = np.repeat(sizes <= SHIFTS, sizes)
-    at, links = np.flatnonzero(small), [np.empty((0, 2), dtype=np.int64)]
+    at, pairs, links = np.flatnonzero(small), [], [np.empty((0, 2), dtype=np.int64)]
     for shift in range(1, SHIFTS):
         at = at[at + shift < len(key)]
         at = at[key[at] == key[at + shift]]
         if not at.size:
             break
         hit = at[near(values[at], values[at + shift])]
-        links.append(np.stack([nodes[hit], nodes[hit + shift]], axis=1))
+        pairs.append(np.stack([hit, hit + shift]))
+    if pairs:
+        first = _first_reached(len(key), *np.concatenate(pairs, axis=1))
+        moved = np.flatnonzero(first != np.arange(len(key)))
+        links.append(np.stack([nodes[first[moved]], nodes[moved]], axis=1))
     for start, size in zip(starts[sizes > SHIFTS], sizes[sizes > SHIFTS], strict=True):
         first = group_stars(values[start : start + size], near)
         moved = np.flatnonzero(first != np.arange(size))
@@ -306,7 +328,7 @@ def fingerprint_links(prints: DataFrame, radius: int) -> DataFrame:
     if radius > MOST_BITS:
         raise ValueError(f"at most {MOST_BITS} bits")
     keys = prints.select("node", "prints").mapInArrow(_write_keys, "key long, print long, node long")
-    grouped = keys.repartition("key").sortWithinPartitions("key", "print")
+    grouped = keys.repartition("key").sortWithinPartitions("key", "node")
     return grouped.mapInArrow(_link_groups(within_bits(radius), _longs), "a long, b long").distinct()
 
 
@@ -362,7 +384,7 @@ def near_copies_removed(documents: DataFrame, similarity: float = 0.8) -> DataFr
     near = components(fingerprint_links(nodes, MOST_BITS))
     groups = _grid(nodes.select("node", "sketch").join(near, "node"))
     similar = _link_groups(alike(similarity - MARGIN), _sketches)
-    links = groups.repartition("key").sortWithinPartitions("key").mapInArrow(similar, "a long, b long")
+    links = groups.repartition("key").sortWithinPartitions("key", "node").mapInArrow(similar, "a long, b long")
     roots = components(links)
     placed = nodes.select("node", "best").join(roots, "node", "left").select(F.coalesce("root", "node").alias("root"), "best")
     stay = placed.groupBy("root").agg(F.min("best").alias("best")).select("best.doc_id", "best.text_hash")
