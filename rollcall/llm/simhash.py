@@ -46,6 +46,11 @@ MARGIN = 0.03
 CHUNK = 50_000
 #: Rows of whole groups that are linked at once.
 LINKED = 10_000
+#: MinHashes of a text's five-word shingles: so many bands of so many. A pair at a similarity of 0.8
+#: shares none with a probability of (1 - 0.8 ** BAND) ** BANDS, which is 5e-7.
+BANDS, BAND = 48, 6
+#: Shingles whose MinHashes are computed at once.
+MIXED = 256
 GENERATOR = 0b110001110101  # x^11 + x^10 + x^6 + x^5 + x^4 + x^2 + 1
 
 
@@ -148,23 +153,46 @@ def word_fingerprints(words: list[bytes], kinds: int = 4) -> list[int]:
     return majority(blocks(), 64 * kinds).tolist()
 
 
+def shingle_hashes(words: list[bytes], size: int = 5) -> np.ndarray:
+    """Hashes of a text's different word shingles in order; fewer words: one shingle; no words: none."""
+    shingles = zip(*(words[i:] for i in range(min(size, len(words)))), strict=False)
+    return np.unique(np.fromiter((xxhash.xxh3_64_intdigest(b" ".join(s)) for s in shingles), dtype=np.uint64))
+
+
+_MIX = np.random.default_rng(17).integers(0, 1 << 31, (2, BANDS * BAND), dtype=np.uint32) << np.uint32(1) | np.uint32(1)
+_JOIN = np.random.default_rng(18).integers(0, 1 << 63, BANDS * BAND, dtype=np.uint64) << np.uint64(1) | np.uint64(1)
+
+
+def band_keys(hashes: np.ndarray) -> np.ndarray:
+    """A key per band of MinHashes; two sets share a MinHash with the probability of their similarity."""
+    least = np.full(BANDS * BAND, np.iinfo(np.uint32).max, dtype=np.uint32)
+    short = (hashes >> np.uint64(32)).astype(np.uint32)
+    for at in range(0, len(short), MIXED):
+        np.minimum(least, (short[at : at + MIXED, None] * _MIX[0] + _MIX[1]).min(axis=0), out=least)
+    return (least * _JOIN).reshape(BANDS, BAND).sum(axis=1, dtype=np.uint64)
+
+
 def shingle_sketch(words: list[bytes], size: int = 5) -> bytes:
+    """As ``hash_sketch`` of the word shingles."""
+    return hash_sketch(shingle_hashes(words, size))
+
+
+def hash_sketch(hashes: np.ndarray) -> bytes:
     """MinHash by one permutation: a byte, never 0, of the smallest hash in each of SKETCH bins."""
     sketch = np.zeros(SKETCH, dtype=np.uint8)
-    for at in range(0, max(1, len(words) - size + 1), BLOCK):
-        part = words[at : at + BLOCK + size - 1]
-        shingles = zip(*(part[i:] for i in range(min(size, len(part)))), strict=False)
-        hashes = [xxhash.xxh3_64_intdigest(b" ".join(s)) for s in shingles]
-        low = np.sort(np.array(hashes, dtype=np.uint64))
-        least = low if not at else np.sort(np.r_[least, low])
-        bins = least >> np.uint64(64 - SKETCH_BITS)
-        least = least[np.r_[True, bins[1:] != bins[:-1]]] if least.size else least
-    if words:
-        sketch[least >> np.uint64(64 - SKETCH_BITS)] = least % np.uint64(255) + np.uint64(1)
+    bins = hashes >> np.uint64(64 - SKETCH_BITS)
+    least = hashes[np.diff(bins, prepend=bins[:1] + np.uint64(1)) != 0]
+    sketch[least >> np.uint64(64 - SKETCH_BITS)] = least % np.uint64(255) + np.uint64(1)
     return sketch.tobytes()
 
 
-SIGNATURE = StructType().add("prints", ArrayType(LongType())).add("sketch", BinaryType()).add("node", LongType())
+SIGNATURE = (
+    StructType()
+    .add("prints", ArrayType(LongType()))
+    .add("bands", ArrayType(LongType()))
+    .add("sketch", BinaryType())
+    .add("node", LongType())
+)
 
 
 def _signed(values: list) -> np.ndarray:
@@ -178,14 +206,16 @@ def _shingle_column(text: pd.Series) -> pd.Series:
 
 @F.pandas_udf(SIGNATURE)
 def _signature(text: pd.Series) -> pd.DataFrame:
-    prints, sketches, nodes = [], [], []
+    prints, bands, sketches, nodes = [], [], [], []
     for one in text:
         words = one.encode().lower().split() if one else []
         prints.append(_signed(word_fingerprints(words)))
-        sketches.append(shingle_sketch(words))
+        hashes = shingle_hashes(words)
+        bands.append(band_keys(hashes).view(np.int64))
+        sketches.append(hash_sketch(hashes))
         nodes.append(xxhash.xxh3_64_intdigest(b" ".join(words)))
-    prints, sketches = pd.Series(prints, dtype="object"), pd.Series(sketches, dtype="object")
-    return pd.DataFrame({"prints": prints, "sketch": sketches, "node": _signed(nodes)})
+    prints, bands, sketches = (pd.Series(x, dtype="object") for x in (prints, bands, sketches))
+    return pd.DataFrame({"prints": prints, "bands": bands, "sketch": sketches, "node": _signed(nodes)})
 
 
 def _write_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -332,6 +362,13 @@ def fingerprint_links(prints: DataFrame, radius: int) -> DataFrame:
     return grouped.mapInArrow(_link_groups(within_bits(radius), _longs), "a long, b long").distinct()
 
 
+def band_links(nodes: DataFrame) -> DataFrame:
+    """Links (a, b) that connect all nodes (node, bands) that share a key of a band."""
+    keys = nodes.select("node", F.explode("bands").alias("key"))
+    groups = keys.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("last")).filter("a < last")
+    return keys.join(groups.select("key", "a"), "key").filter("a < node").select("a", F.col("node").alias("b")).distinct()
+
+
 def simhash_components(documents: DataFrame, radius: int = 3) -> DataFrame:
     """doc_id, fingerprint (16 hex digits) and component_id of every row.
 
@@ -363,9 +400,9 @@ def _component_minimum(nodes: DataFrame, roots: DataFrame, node: str) -> DataFra
 def near_copies_removed(documents: DataFrame, similarity: float = 0.8) -> DataFrame:
     """The documents without near copies: of each group the row with the smallest doc_id stays.
 
-    Candidates are texts of which one of four SimHashes of their different words differs in at
-    most five bits (measured: 99 % of the pairs whose five-word shingles have a similarity of 0.8,
-    more above it; fingerprints of the shingles themselves differ in up to 17 bits there). In the
+    Candidates are texts that share a band of MinHashes of their five-word shingles, which finds
+    pairs by their similarity alone, whatever the edit, and texts of which one of four SimHashes of
+    their different words differs in at most five bits. In the
     groups that candidates connect, sketches of the five-word shingles are compared, as by
     ``alike``; a sketch's standard error is 0.018 at most, and ``MARGIN`` is allowed for it.
     Similar texts are linked, and groups are closed under links.
@@ -377,11 +414,11 @@ def near_copies_removed(documents: DataFrame, similarity: float = 0.8) -> DataFr
     """
     signed = texts(documents).select(_order().alias("order"), _signature("text").alias("s"))
     texts_ = signed.select("order", "s.*").groupBy("node").agg(
-        F.first("prints").alias("prints"), F.first("sketch").alias("sketch"), F.min("order").alias("best")
+        F.first("prints").alias("prints"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"), F.min("order").alias("best")
     )
     # Short ids, fixed by storing them, stand for texts in what is shuffled most.
     nodes = landed(texts_.drop("node").withColumn("node", F.monotonically_increasing_id()), "signatures")
-    near = components(fingerprint_links(nodes, MOST_BITS))
+    near = components(fingerprint_links(nodes, MOST_BITS).unionByName(band_links(nodes)))
     groups = _grid(nodes.select("node", "sketch").join(near, "node"))
     similar = _link_groups(alike(similarity - MARGIN), _sketches)
     links = groups.repartition("key").sortWithinPartitions("key", "node").mapInArrow(similar, "a long, b long")

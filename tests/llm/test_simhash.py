@@ -176,3 +176,26 @@ def test_near_copies_of_the_small_tables(spark):
     pairs = [(a, b) for i, a in enumerate(rows) for b in rows[:i] if a["doc_id"] in kept and b["doc_id"] in kept and similarity(a["text"], b["text"]) >= 0.85]
     assert not pairs
     assert docs.filter(F.col("doc_id").isin(list(kept))).count() == len(kept)
+
+
+def copies_of(kind, words, rng, wanted):
+    """A copy by one kind of edit whose similarity to ``words`` is just ``wanted`` or more."""
+    best = words
+    for n in range(1, len(words)):
+        new = [f"n{rng.random()}" for _ in range(n)]
+        copy = {"append": words + new, "prepend": new + words, "truncate": words[:-n], "behead": words[n:]}[kind]
+        if similarity(" ".join(words), " ".join(copy)) < wanted:
+            break
+        best = copy
+    return best
+
+
+@pytest.mark.parametrize("kind", ["append", "prepend", "truncate", "behead"])
+def test_contiguous_edits_are_candidates(spark, kind):
+    rng, texts = random.Random(kind), []
+    for i in range(60):
+        words = [f"w{rng.random()}" for _ in range(rng.randint(60, 300))]
+        texts += [" ".join(words), " ".join(copies_of(kind, words, rng, (0.8, 0.85, 0.9)[i % 3]))]
+    nodes = documents(spark, texts).select(F.col("doc_id").alias("node"), s._signature("text").alias("s")).select("node", "s.bands")
+    found = {(r["a"], r["b"]) for r in s.band_links(nodes).collect()}
+    assert found == {(i, i + 1) for i in range(0, 120, 2)}
