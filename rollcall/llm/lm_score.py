@@ -2,8 +2,10 @@
 
 A network looks at the words on both sides of a position and predicts the word there; the sum of
 the log-probabilities of all of a document's words, each predicted from its neighbours, is its
-score. Words are counted over the whole corpus. Those frequent enough are the vocabulary; a word's
-probability is that of its class, by the network, times its share of the class, by the counts.
+score. Words are counted over the whole corpus. Those frequent enough are the vocabulary; all others
+are one of the classes. A word's probability is that of its class, by the network, times its share
+of the class, by the counts. The counts of the words outside the vocabulary stay a table, which
+grows with the corpus and is joined to the words of each text.
 
 The network is trained in numpy where the texts lie, on every seventh position of every document,
 another one in each round. After a round the weights of all tasks are averaged by Spark, in
@@ -13,6 +15,7 @@ proportion to what each has seen; only averages reach the driver. All sizes but
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from itertools import repeat
 
@@ -21,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rollcall.llm.common import BLANKS, landed, texts
+from rollcall.llm.common import landed, texts
 
 #: A word of the vocabulary is at least one in so many words of the corpus, so there are no more.
 VOCABULARY = 65_536
@@ -46,15 +49,26 @@ SHAPES = {
 UNKNOWN = CLASSES - 1
 
 
+def words_of(text: str | None) -> list[str]:
+    return text.lower().split() if text else []
+
+
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        counts = Counter(w for t in batch.column(0).to_pylist() for w in words_of(t))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(counts.keys(), pa.string()), pa.array(counts.values(), pa.int64())], names=["word", "n"]
+        )
+
+
 def word_counts(documents: DataFrame) -> DataFrame:
-    """(word, n) over all texts, in lower case."""
-    lowered = F.trim(F.regexp_replace(F.lower("text"), f"[{BLANKS}]+", " "))
-    words = texts(documents).select(F.explode(F.split(lowered, " ")).alias("word"))
-    return words.filter("word <> ''").groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    """(word, n) over all texts, in lower case, split as ``words_of`` does."""
+    found = texts(documents).select("text").mapInArrow(_count, "word string, n long")
+    return found.groupBy("word").agg(F.sum("n").alias("n"))
 
 
 class Vocabulary:
-    """Class and log share of each word; all others are one class, evenly shared by their kinds."""
+    """Class and log share of each word; all others are one class, number 0, with the share of an average one."""
 
     def __init__(self, words: list[tuple[str, int]], kinds: int, total: int) -> None:
         classes = np.array(
@@ -71,12 +85,12 @@ class Vocabulary:
 
     def read(self, text: str | None) -> np.ndarray:
         """Word numbers of a text; 0 is unknown."""
-        words = text.lower().split() if text else []
-        return np.array(list(map(self.known.get, words, repeat(0))), dtype=np.int64)
+        return np.array(list(map(self.known.get, words_of(text), repeat(0))), dtype=np.int64)
 
 
-def vocabulary(documents: DataFrame) -> Vocabulary:
-    counts = landed(word_counts(documents), "words")
+def vocabulary(documents: DataFrame, counts: DataFrame | None = None) -> Vocabulary:
+    """The vocabulary by the ``counts`` of the documents' words, which are taken if not given."""
+    counts = landed(word_counts(documents), "words") if counts is None else counts
     sizes = counts.agg(F.count(F.lit(1)).alias("kinds"), F.sum("n").alias("total")).first()
     total = sizes["total"] or 0
     rows = counts.filter(F.col("n") * VOCABULARY >= total).collect()
@@ -208,33 +222,62 @@ def train(documents: DataFrame, words: Vocabulary) -> Weights:
     return weights
 
 
+RARE = "rare array<struct<word: string, times: long>>"
+
+
 def _score(words: Vocabulary, weights: Weights):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 100):
                 part = batch.slice(at, 100)
-                numbers = [words.read(t) for t in part.column(1).to_pylist()]
+                own = part.column(1).to_pylist()
+                numbers = [words.read(t) for t in own]
+                rare = [list(Counter(w for w in words_of(t) if w not in words.known).items()) for t in own]
                 sizes = np.array([len(n) for n in numbers], dtype=np.int64)
                 logs = class_log_probabilities(weights, *_positions([words.classes[n] for n in numbers]))
-                logs += words.shares[np.concatenate(numbers)]
+                every = np.concatenate(numbers)
+                logs += np.where(every, words.shares[every], 0)  # those of rare words come from their table
                 ends = np.cumsum(sizes)
                 sums = np.r_[0.0, np.cumsum(logs)]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(sizes), pa.array(sums[ends] - sums[ends - sizes])],
-                    names=["doc_id", "n_words", "log_probability"],
+                    [
+                        part.column(0),
+                        pa.array(sizes),
+                        pa.array(sums[ends] - sums[ends - sizes]),
+                        pa.array(
+                            [[{"word": w, "times": n} for w, n in r] for r in rare],
+                            pa.list_(pa.struct([("word", pa.string()), ("times", pa.int64())])),
+                        ),
+                    ],
+                    names=["doc_id", "n_words", "known", "rare"],
                 )
 
     return score
 
 
+def rare_shares(scored: DataFrame, counts: DataFrame, words: Vocabulary) -> DataFrame:
+    """(row, others): the log shares of all words of a row outside the vocabulary, by their counts.
+
+    Such a word is less than one in VOCABULARY words, so no key of the join is hot.
+    """
+    rare = scored.select("row", F.explode("rare").alias("r")).select("row", "r.*").join(counts, "word")
+    share = F.round(F.col("times") * (F.log("n") - F.lit(float(np.log(words.sums[UNKNOWN])))), 9)
+    # Sums of whole numbers do not depend on the order in which tasks end.
+    return rare.groupBy("row").agg(F.sum(share.cast("decimal(28,9)")).cast("double").alias("others"))
+
+
 def pseudo_likelihood(documents: DataFrame) -> DataFrame:
     """doc_id, n_words, log_probability (of all words, natural) and per_word of every document.
 
     Counts and weights come from ``documents`` themselves. Null, empty and blank texts have no
     words, log_probability 0 and per_word null. Repeated rows and null ids stay rows.
     """
-    words = vocabulary(documents)
+    counts = landed(word_counts(documents), "words")
+    words = vocabulary(documents, counts)
     weights = train(documents, words)
     rows = texts(documents).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    scored = rows.mapInArrow(_score(words, weights), "doc_id long, n_words long, log_probability double")
+    found = rows.mapInArrow(_score(words, weights), f"doc_id long, n_words long, known double, {RARE}")
+    found = landed(found.withColumn("row", F.monotonically_increasing_id()), "scores")
+    both = found.drop("rare").join(rare_shares(found, counts, words), "row", "left")
+    scored = both.select("doc_id", "n_words", (F.col("known") + F.coalesce("others", F.lit(0.0))).alias("log_probability"))
     return scored.withColumn("per_word", F.when(F.col("n_words") > 0, F.col("log_probability") / F.col("n_words")))

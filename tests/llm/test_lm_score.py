@@ -106,3 +106,24 @@ def test_odd_rows(spark):
     assert all(r["log_probability"] == 0 for r in rows if not r["n_words"])
     assert m.pseudo_likelihood(odd.limit(0)).count() == 0
     assert m.pseudo_likelihood(documents(spark, [None, ""])).count() == 2
+
+
+def test_rare_words_have_the_share_of_their_count(spark):
+    common = " ".join(["a"] * 70_000)
+    docs = documents(spark, [common, "b b\u00a0B c", "\u0130x c", "b", "c", None])
+    counts = m.word_counts(docs)
+    words = m.vocabulary(docs, counts)
+    words.known, words.sums = {"a": 1}, words.sums.copy()
+    words.sums[m.UNKNOWN] = 8
+    score = m._score(words, m.first_weights(words.sums))
+    found = docs.select("doc_id", "text").mapInArrow(score, f"doc_id long, n_words long, known double, {m.RARE}")
+    shares = {r["row"]: r["others"] for r in m.rare_shares(found.withColumnRenamed("doc_id", "row"), counts, words).collect()}
+    b, c, x = np.log(4 / 8), np.log(3 / 8), np.log(1 / 8)
+    assert shares == {1: pytest.approx(3 * b + c), 2: pytest.approx(x + c), 3: pytest.approx(b), 4: pytest.approx(c)}
+
+
+def test_counts_of_rare_words_change_the_score(spark, monkeypatch):
+    monkeypatch.setattr(m, "VOCABULARY", 3)  # on the driver, which chooses the vocabulary
+    docs = documents(spark, ["a a a a a a a a", "often", "often", "often", "seldom"])
+    rows = {r["doc_id"]: r["log_probability"] for r in m.pseudo_likelihood(docs).collect()}
+    assert rows[1] - rows[4] == pytest.approx(np.log(3), abs=1e-6)
