@@ -7,8 +7,8 @@ are one of the classes. A word's probability is that of its class, by the networ
 of the class, by the counts. The counts of the words outside the vocabulary stay a table, which
 grows with the corpus and is joined to the words of each text.
 
-The network is trained in numpy where the texts lie, on every seventh position of every document,
-another one in each round. After a round the weights of all tasks are averaged by Spark, in
+The network is trained in numpy where the texts lie, on every position of every document in
+every round. After a round the weights of all tasks are averaged by Spark, in
 proportion to what each has seen; only averages reach the driver. All sizes but the counts are fixed.
 """
 
@@ -34,7 +34,7 @@ CLASSES = 128
 #: Words seen on each side.
 WINDOW = 3
 EMBEDDING, HIDDEN = 16, 32
-ROUNDS, MASKED = 2, 7
+ROUNDS = 2
 BATCH, RATE = 512, 0.01
 #: Positions scored at once.
 BLOCK = 1024
@@ -178,21 +178,21 @@ class Trainer:
             self.weights[n] -= rate * self.first[n] / (1 - 0.9**self.steps) / scale
 
 
-def _positions(classes: list[np.ndarray], first: int = 0, every: int = 1) -> tuple[np.ndarray, np.ndarray]:
+def _positions(classes: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Classes around each position, CLASSES beyond a document's ends, and the class there."""
     edge = np.full(WINDOW, CLASSES, dtype=np.int64)
     row = np.concatenate([x for c in classes for x in (edge, c)] + [edge])
-    at = np.flatnonzero(row < CLASSES)[first::every]
+    at = np.flatnonzero(row < CLASSES)
     return row[at[:, None] + _SIDES], row[at]
 
 
-def _train(words: Vocabulary, weights: Weights, turn: int):
+def _train(words: Vocabulary, weights: Weights):
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trainer = Trainer(weights)
         for batch in batches:
             for at in range(0, batch.num_rows, 200):
                 own = [words.classes[words.read(t)] for t in batch.column(0).slice(at, 200).to_pylist()]
-                around, wanted = _positions(own, turn % MASKED, MASKED)
+                around, wanted = _positions(own)
                 for start in range(0, len(wanted), BATCH):
                     trainer.step(around[start : start + BATCH], wanted[start : start + BATCH])
         if trainer.seen:
@@ -208,8 +208,8 @@ def _train(words: Vocabulary, weights: Weights, turn: int):
 def train(documents: DataFrame, words: Vocabulary) -> Weights:
     """Weights after ROUNDS rounds over all documents."""
     weights = first_weights(words.sums)
-    for turn in range(ROUNDS):
-        found = texts(documents).select("text").mapInArrow(_train(words, weights, turn), "place long, value double, seen long")
+    for _ in range(ROUNDS):
+        found = texts(documents).select("text").mapInArrow(_train(words, weights), "place long, value double, seen long")
         # Sums of whole numbers do not depend on the order in which tasks end.
         scaled = (F.round(F.col("value") * 1e6).cast("decimal(20,0)") * F.col("seen")).cast("decimal(38,0)")
         sums = found.groupBy("place").agg(F.sum(scaled).cast("double").alias("sum"), F.sum("seen").alias("seen"))

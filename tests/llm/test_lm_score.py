@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from rollcall.llm import lm_score as m
@@ -127,3 +128,15 @@ def test_counts_of_rare_words_change_the_score(spark, monkeypatch):
     docs = documents(spark, ["a a a a a a a a", "often", "often", "often", "seldom"])
     rows = {r["doc_id"]: r["log_probability"] for r in m.pseudo_likelihood(docs).collect()}
     assert rows[1] - rows[4] == pytest.approx(np.log(3), abs=1e-6)
+
+
+def test_every_position_is_a_target_in_a_round(monkeypatch):
+    words = m.Vocabulary([(f"w{i}", 9) for i in range(50)], 50, 450)
+    texts = ["w1", None, "w2 w3", *(" ".join(f"w{(i * k) % 50}" for i in range(k)) for k in range(1, 60))]
+    wanted = np.concatenate([words.classes[words.read(t)] for t in texts])
+    seen = []
+    step = m.Trainer.step
+    monkeypatch.setattr(m.Trainer, "step", lambda self, around, aim: (seen.append(aim), step(self, around, aim))[1])
+    out = list(m._train(words, m.first_weights(words.sums))(iter([pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])])))
+    assert np.concatenate(seen).tolist() == wanted.tolist()
+    assert out[0].column(2)[0].as_py() == len(wanted)
