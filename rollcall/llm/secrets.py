@@ -12,6 +12,10 @@ from __future__ import annotations
 import base64
 import binascii
 import bz2
+import codecs
+import gzip
+import hashlib
+import io
 import lzma
 import re
 import zlib
@@ -26,8 +30,13 @@ from pyspark.sql.types import StringType
 from rollcall.llm.common import FINDINGS, small_batches, span_digests, texts
 
 KINDS = ("assign", "access", "hex")
-#: Largest output of one compressed run in bytes; longer output is scanned up to here.
-MOST_INFLATED = 1 << 24
+#: Bytes inflated at once, and the first bytes of a stream that tell what it is.
+PIECE = 1 << 16
+#: Characters of a window of inflated text, before it is cut at the end of a sentence, and the most
+#: of one that has no such end.
+WINDOW, LONGEST = 1 << 20, 1 << 24
+#: Characters of a window that the next one starts with: after an end, and inside a run that is LONGEST.
+OVERLAP, INSIDE = 1 << 8, 1 << 16
 
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 _ASSIGN_HINTS = ("passw", "secret", "token", "apikey", "api_key")
@@ -36,6 +45,7 @@ _HEX = re.compile(r"[0-9a-f]{24,}")  # the runs of [0-9a-f]+ that are long enoug
 _URL_RUN = re.compile(r"[^\s%]*(?:%[0-9A-Fa-f]{2}[^\s%]*)+")
 _ESCAPE_RUN = re.compile(r"(?:\\u[0-9A-Fa-f]{4}|\\u\{[0-9A-Fa-f]{1,6}\}|\\x[0-9A-Fa-f]{2}|[^\s\\])*\\[ux](?:[^\s\\]|\\[ux])*")
 _ESCAPE = re.compile(r"\\u([0-9A-Fa-f]{4})|\\u\{([0-9A-Fa-f]{1,6})\}|\\x([0-9A-Fa-f]{2})")
+_END = re.compile(r"[^A-Za-z0-9+/=_\-\s%\\]\s")  # no run of base64, wrapped or not, goes on here
 _BASE64_RUN = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}")
 
 
@@ -78,49 +88,131 @@ class Layer:
         return Layer(text, [a] * len(text), [b] * len(text), f"{self.path}>{how}")
 
 
+def _is_text(text: str) -> bool:
+    """Whether there are few control characters, or bytes that are no character, in a text."""
+    return sum(not (c.isprintable() or c in "\t\n\r") for c in text) * 20 <= len(text)
+
+
 def _decoded(data: bytes) -> str | None:
-    """Text of bytes that are text, by their share of control characters."""
+    """Text of bytes that are text."""
     try:
         text = data.decode()
     except UnicodeDecodeError:
         return None
-    odd = sum(not (c.isprintable() or c in "\t\n\r") for c in text)
-    return text if text and odd * 20 <= len(text) else None
-
-
-def _inflated(data: bytes) -> bytes | None:
-    """Content of compressed data, recognized by its first bytes."""
-    try:
-        if data[:2] == b"\x1f\x8b":
-            return zlib.decompressobj(31).decompress(data, MOST_INFLATED)
-        if data[:1] == b"x" and len(data) > 2 and (data[0] << 8 | data[1]) % 31 == 0:
-            return zlib.decompressobj().decompress(data, MOST_INFLATED)
-        if data[:3] == b"BZh":
-            return bz2.BZ2Decompressor().decompress(data, MOST_INFLATED)
-        if data[:6] == b"\xfd7zXZ\x00":
-            return lzma.LZMADecompressor().decompress(data, MOST_INFLATED)
-        if data[:4] == b"\x28\xb5\x2f\xfd":
-            with zstandard.ZstdDecompressor().stream_reader(data) as reader:
-                return reader.read(MOST_INFLATED)
-    except (zlib.error, OSError, EOFError, ValueError, lzma.LZMAError, zstandard.ZstdError):
-        return None
+    return text if text and _is_text(text) else None
+
+
+class _Source:
+    """A stream whose first bytes can be looked at."""
+
+    def __init__(self, read) -> None:
+        self.more, self.head = read, b""
+        while len(self.head) < PIECE and (piece := self._next(PIECE)):
+            self.head += piece
+        self.rest = self.head
+
+    def _next(self, n: int) -> bytes:
+        """What can still be read; damaged data ends where the damage is."""
+        try:
+            return self.more(n)
+        except (zlib.error, OSError, EOFError, ValueError, lzma.LZMAError, zstandard.ZstdError):
+            self.more = lambda _: b""
+            return b""
+
+    def read(self, n: int = PIECE) -> bytes:
+        out, self.rest = self.rest[:n], self.rest[n:]
+        return out or self._next(n)
+
+
+class _Inflater:
+    """zlib streams, one after the other."""
+
+    def __init__(self, source: _Source) -> None:
+        self.source, self.one, self.left = source, zlib.decompressobj(), b""
+
+    def read(self, n: int) -> bytes:
+        while True:
+            if self.one.eof:
+                self.left, self.one = self.one.unused_data or self.source.read(), zlib.decompressobj()
+                if not _is_zlib(self.left):
+                    return b""
+            self.left = self.left or self.source.read()
+            if out := self.one.decompress(self.left, n):
+                self.left = self.one.unconsumed_tail
+                return out
+            self.left = self.one.unconsumed_tail
+            if not self.one.eof and not self.left:
+                self.left = self.source.read()
+                if not self.left:
+                    return b""
+
+
+def _is_zlib(head: bytes) -> bool:
+    return head[:1] == b"x" and len(head) > 2 and (head[0] << 8 | head[1]) % 31 == 0
+
+
+def _opened(source: _Source):
+    """Reads the content of compressed data, all its members, recognized by its first bytes."""
+    head = source.head
+    if head[:2] == b"\x1f\x8b":
+        return gzip.GzipFile(fileobj=source).read1
+    if _is_zlib(head):
+        return _Inflater(source).read
+    if head[:3] == b"BZh":
+        return bz2.BZ2File(source).read1
+    if head[:6] == b"\xfd7zXZ\x00":
+        return lzma.LZMAFile(source).read1
+    if head[:4] == b"\x28\xb5\x2f\xfd":
+        return zstandard.ZstdDecompressor().stream_reader(source, read_across_frames=True).read1
     return None
 
 
-def _from_base64(run: str) -> tuple[str, str] | None:
+def _inflated(data: bytes) -> _Source | None:
+    """Content of compressed data, if it is."""
+    source = _Source(io.BytesIO(data).read)
+    if (read := _opened(source)) is None:
+        return None
+    inner = _Source(read)
+    return inner if inner.head else None
+
+
+def windows(source: _Source) -> Iterator[str]:
+    """The text of a stream in parts that overlap, cut where neither a secret nor an encoded run is."""
+    decoder = codecs.getincrementaldecoder("utf-8")("surrogateescape")
+    held, more, wanted = "", True, WINDOW
+    while more:
+        piece = source.read()
+        more = bool(piece)
+        held += decoder.decode(piece, not more)
+        if more and len(held) < wanted:
+            continue
+        cut, again = len(held), 0
+        if more:
+            ends = [m.end() for m in _END.finditer(held, len(held) - WINDOW // 2)]
+            if not ends and len(held) < LONGEST:
+                wanted = len(held) + WINDOW // 2
+                continue
+            cut, again = (ends[-1], OVERLAP) if ends else (len(held), INSIDE)
+        if held[:cut] and _is_text(held[:cut]):
+            yield held[:cut]
+        held, wanted = held[max(0, cut - again) :], WINDOW
+
+
+def _from_base64(run: str) -> Iterator[tuple[str, str]]:
     """(text, how) of a base64 run in either alphabet, with or without padding."""
     body = run.rstrip("=").translate({45: 43, 95: 47})
     if len(body) % 4 == 1:
-        return None
+        return
     try:
         data = base64.b64decode(body + "=" * (-len(body) % 4), validate=True)
     except (binascii.Error, ValueError):
-        return None
+        return
     inner = _inflated(data)
-    text = _decoded(data if inner is None else inner)
-    if text is None:
-        return None
-    return text, "base64" if inner is None else "base64>inflate"
+    if inner is not None:
+        for text in windows(inner):
+            yield text, "base64>inflate"
+    elif text := _decoded(data):
+        yield text, "base64"
 
 
 def _unescaped(layer: Layer, start: int, end: int, pattern: re.Pattern, value, how: str) -> Layer | None:
@@ -170,7 +262,7 @@ def unwrapped(layer: Layer, raw: bytes) -> Iterator[Layer]:
                 yield found
     if b"x" * 16 in raw.translate(_BASE64_MARKS):
         for m in _BASE64_RUN.finditer(layer.text):
-            if found := _from_base64(m[0]):
+            for found in _from_base64(m[0]):
                 yield layer.whole(m.start(), m.end(), *found)
 
 
@@ -180,11 +272,17 @@ def scan(text: str | None) -> list[tuple]:
         return []
     found: dict[tuple, tuple] = {}
     hidden: dict[tuple, tuple] = {}
-    work = [Layer(text, range(len(text)), range(1, len(text) + 1), "text")]
+    # Layers are made one at a time, so that only one window of inflated text is held at each depth.
+    work = [iter([Layer(text, range(len(text)), range(1, len(text) + 1), "text")])]
     seen: set[tuple] = set()
     while work:
-        layer = work.pop()
-        place = (layer.text, layer.starts[0], layer.ends[-1])
+        if (layer := next(work[-1], None)) is None:
+            work.pop()
+            continue
+        if not layer.text:
+            continue
+        content = hashlib.blake2b(layer.text.encode("utf-8", "surrogatepass"), digest_size=16).digest()
+        place = (content, layer.starts[0], layer.ends[-1])
         if place in seen:
             continue
         seen.add(place)
@@ -196,7 +294,7 @@ def scan(text: str | None) -> list[tuple]:
                 found[key] = (*key, True, 1.0, layer.path)
             else:
                 hidden.setdefault(key, (layer.path, layer.text[start:end]))
-        work.extend(below for below in unwrapped(layer, raw) if below.text)
+        work.append(unwrapped(layer, raw))
     # One secret can come out of two runs, one in the other; the wider counts.
     reached: dict[tuple, int] = {}
     for key in sorted(hidden.keys() - found.keys(), key=lambda k: (k[1], -k[2])):

@@ -105,3 +105,30 @@ def test_documents_are_redacted(spark):
     assert s.secrets_redacted(docs).columns == docs.columns
     assert [rows[i]["text"] for i in range(4)] == [None, "", "clean", "x [assign] y"]
     assert [rows[i]["n_chars"] for i in range(4)] == [None, 0, 5, 12]
+
+
+COMPRESS = [gzip.compress, zlib.compress, bz2.compress, lzma.compress, zstandard.compress]
+
+
+def kinds_in(data):
+    return [f[0] for f in s.scan(f"see {b64(data)} end") if f[0] == "assign"]
+
+
+@pytest.mark.parametrize("compress", COMPRESS)
+def test_all_of_long_compressed_data_is_scanned(compress):
+    long = "é word, ".encode() * ((17 << 20) // 9)
+    assert kinds_in(compress(long + SECRET.encode())) == ["assign"]
+    assert kinds_in(compress(b"x" + SECRET.encode() + b" " + "é".encode() * (9 << 20))) == ["assign"]
+
+
+@pytest.mark.parametrize("compress", COMPRESS)
+def test_all_members_are_scanned(compress):
+    assert kinds_in(compress(b"first, ") + compress(SECRET.encode())) == ["assign"]
+
+
+def test_windows_hold_runs_whole():
+    run = b64(SECRET.encode() * 3)
+    text = "some prose, " * 200_000 + run + " and. " + "more, " * 200_000
+    for shift in (0, 7, 1 << 19):
+        parts = list(s.windows(s._Source(s.io.BytesIO(b"." * shift + text.encode()).read)))
+        assert len(parts) > 2 and any(run in p for p in parts)
