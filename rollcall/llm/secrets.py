@@ -2,7 +2,8 @@
 
 A worklist holds layers of a text. Each layer is scanned by the plain patterns; then every encoded
 run in it is unwrapped: URL escapes, Unicode escapes, base64, and gzip, zlib, bzip2, xz or
-Zstandard data inside base64. What comes out is a new layer, until no layer is new; a layer whose
+Zstandard data inside base64, one in the other. Base64 is also read over line breaks and behind
+what is glued to it. What comes out is a new layer, until no layer is new; a layer whose
 content was seen at the same place before is not scanned again, so cycles end. Every layer keeps,
 for each of its characters, where that character came from in the text, so findings are spans of it.
 """
@@ -48,6 +49,13 @@ _ESCAPE = re.compile(r"\\u([0-9A-Fa-f]{4})|\\u\{([0-9A-Fa-f]{1,6})\}|\\x([0-9A-F
 _END = re.compile(r"[^A-Za-z0-9+/=_\-\s%\\]\s")  # no run of base64, wrapped or not, goes on here
 _BASE64_RUN = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}")
 
+#: Lines of base64, each but the first and last as a whole; the last one may be short.
+_BASE64_WRAPPED = re.compile(
+    r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}\r?\n(?:[ \t]*[A-Za-z0-9+/_-]{16,}\r?\n)*[ \t]*[A-Za-z0-9+/_-]+={0,2}"
+)
+_BASE64_LINE = re.compile(r"[A-Za-z0-9+/_-]+={0,2}")
+_SIGN = re.compile(r"[+/_-]")
+
 
 def _marks(characters: bytes) -> bytes:
     return bytes(120 if b in characters else 32 for b in range(256))
@@ -105,9 +113,9 @@ def _decoded(data: bytes) -> str | None:
 class _Source:
     """A stream whose first bytes can be looked at."""
 
-    def __init__(self, read) -> None:
+    def __init__(self, read, first: int = PIECE) -> None:
         self.more, self.head = read, b""
-        while len(self.head) < PIECE and (piece := self._next(PIECE)):
+        while len(self.head) < first and (piece := self._next(first)):
             self.head += piece
         self.rest = self.head
 
@@ -167,13 +175,22 @@ def _opened(source: _Source):
     return None
 
 
-def _inflated(data: bytes) -> _Source | None:
-    """Content of compressed data, if it is."""
-    source = _Source(io.BytesIO(data).read)
-    if (read := _opened(source)) is None:
-        return None
-    inner = _Source(read)
-    return inner if inner.head else None
+def _inflates(head: bytes) -> bool:
+    """Whether anything comes out of data with this beginning."""
+    read = _opened(_Source(io.BytesIO(head).read))
+    return read is not None and bool(_Source(read, 1).head)
+
+
+def _inflated(data: bytes) -> tuple[_Source, int] | None:
+    """Innermost content of compressed data, if it is, and how often it was compressed.
+
+    Data that holds itself, as far as its beginning tells, is not opened again.
+    """
+    source, seen = _Source(io.BytesIO(data).read), set()
+    while source.head not in seen and _inflates(source.head):
+        seen.add(source.head)
+        source = _Source(_opened(source))
+    return (source, len(seen)) if seen else None
 
 
 def windows(source: _Source) -> Iterator[str]:
@@ -209,12 +226,47 @@ def _from_base64(run: str) -> Iterator[tuple[str, str]]:
         return
     inner = _inflated(data)
     if inner is not None:
-        for text in windows(inner):
-            yield text, "base64>inflate"
+        for text in windows(inner[0]):
+            yield text, "base64" + ">inflate" * inner[1]
     elif text := _decoded(data):
         yield text, "base64"
 
 
+def _glued(run: str) -> Iterator[tuple[int, str, str]]:
+    """(start, text, how) of base64 behind a sign of the run, if it is out of step with what went before."""
+    done = {0} if any(True for _ in _from_base64(run)) else set()
+    for m in _SIGN.finditer(run, 0, len(run) - 16):
+        at = m.end()
+        if at % 4 not in done and _starts_well(run[at : at + 16]):
+            for text, how in _from_base64(run[at:]):
+                done.add(at % 4)
+                yield at, text, how
+
+
+def _starts_well(run: str) -> bool:
+    """Whether 16 characters of base64 can begin a text or compressed data."""
+    if "=" in run.rstrip("=") or len(run) < 16:
+        return False
+    data = base64.b64decode(run.rstrip("=").translate({45: 43, 95: 47}) + "=" * (-len(run.rstrip("=")) % 4))
+    if data[:2] == b"\x1f\x8b" or _is_zlib(data) or data[:3] == b"BZh" or data[:4] in (b"\xfd7zX", b"\x28\xb5\x2f\xfd"):
+        return True
+    return _is_text(codecs.getincrementaldecoder("utf-8")("surrogateescape").decode(data))
+
+
+def _wrapped(layer: Layer, start: int, end: int) -> Iterator[Layer]:
+    """Layers of base64 in lines; words in the first and last line may not belong to it."""
+    lines = [m.span() for m in _BASE64_LINE.finditer(layer.text, start, end)]
+    for first, last in ((0, 0), (0, 1), (1, 0), (1, 1)):
+        part = lines[first : len(lines) - last]
+        if len(part) > 1 or (part and len(lines) > 1 and first):
+            found = False
+            for text, how in _from_base64("".join(layer.text[a:b] for a, b in part)):
+                found = True
+                yield layer.whole(part[0][0], part[-1][1], text, how)
+            if found:
+                return
+
+
 def _unescaped(layer: Layer, start: int, end: int, pattern: re.Pattern, value, how: str) -> Layer | None:
     """The run with escapes replaced, character by character."""
     text, starts, ends, at = [], [], [], start
@@ -264,6 +316,11 @@ def unwrapped(layer: Layer, raw: bytes) -> Iterator[Layer]:
         for m in _BASE64_RUN.finditer(layer.text):
             for found in _from_base64(m[0]):
                 yield layer.whole(m.start(), m.end(), *found)
+            for at, *found in _glued(m[0]):
+                yield layer.whole(m.start() + at, m.end(), *found)
+        if "\n" in layer.text:
+            for m in _BASE64_WRAPPED.finditer(layer.text):
+                yield from _wrapped(layer, m.start(), m.end())
 
 
 def scan(text: str | None) -> list[tuple]:

@@ -132,3 +132,35 @@ def test_windows_hold_runs_whole():
     for shift in (0, 7, 1 << 19):
         parts = list(s.windows(s._Source(s.io.BytesIO(b"." * shift + text.encode()).read)))
         assert len(parts) > 2 and any(run in p for p in parts)
+
+
+@pytest.mark.parametrize("outer", COMPRESS)
+@pytest.mark.parametrize("inner", COMPRESS)
+def test_compressed_in_compressed(outer, inner):
+    assert kinds_in(outer(inner(SECRET.encode()))) == kinds_in(outer(inner(outer(SECRET.encode())))) == ["assign"]
+
+
+@pytest.mark.parametrize("width", [64, 76])
+@pytest.mark.parametrize("end", ["\n", "\r\n", "\n    "])
+@pytest.mark.parametrize("compress", [bytes, *COMPRESS])
+@pytest.mark.parametrize("frame", ["{}", "key: {} end", "-----BEGIN CERTIFICATE-----\n{}\n-----END CERTIFICATE-----", "a\n{}\nafter"])
+def test_wrapped_base64(width, end, compress, frame):
+    noise = hashlib.sha512(b"1").hexdigest().upper()
+    run = b64(compress(f"{noise[:90]} {SECRET} {noise} {noise[:70]}.".encode()))
+    text = frame.format(end.join(run[i : i + width] for i in range(0, len(run), width)))
+    found = [f for f in s.scan(text) if f[0] == "assign"]
+    assert len(found) == 1
+    assert text[found[0][1] : found[0][2]].split()[0][:8] == (run[:8] if found[0][1] == text.index(run[:8]) else found[0])
+
+
+@pytest.mark.parametrize("glue", ["/x/", "/ab/c/", "url/path/to/", "/x_y/"])
+@pytest.mark.parametrize("compress", [bytes, *COMPRESS])
+def test_base64_glued_to_a_path(glue, compress):
+    for text in (SECRET, SECRET + "?>?>?>?"):
+        found = s.scan(f"at {glue}{b64(compress(text.encode()))} end")
+        assert [f[0] for f in found] == ["assign"]
+
+
+def test_data_that_holds_itself_ends(monkeypatch):
+    monkeypatch.setattr(s, "_opened", lambda source: s.io.BytesIO(source.head).read)
+    assert s._inflated(b"itself")[1] == 1
