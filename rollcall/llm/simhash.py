@@ -40,12 +40,14 @@ SHIFTS = 64
 #: Bins of a sketch, a power of two.
 SKETCH_BITS = 9
 SKETCH = 1 << SKETCH_BITS
-#: By how much an estimated similarity may fall short.
-MARGIN = 0.03
-#: Texts of a group that are compared in one task, 512 bytes each.
-CHUNK = 50_000
-#: Rows of whole groups that are linked at once.
-LINKED = 10_000
+#: Sketches that estimate less than the similarity by this are clear misses: eight standard errors.
+MARGIN = 0.15
+#: Sketches with fewer bins in use tell too little.
+FILLED = 64
+#: Texts of a group that are compared in one task, and the bytes of their sketches and shingles.
+CHUNK, CHUNK_BYTES = 50_000, 64 << 20
+#: Rows of whole groups that are linked at once; larger ones count once per ROW bytes.
+LINKED, ROW = 10_000, 4_096
 #: MinHashes of a text's five-word shingles: so many bands of so many. A pair at a similarity of 0.8
 #: shares none with a probability of (1 - 0.8 ** BAND) ** BANDS, which is 5e-7.
 BANDS, BAND = 48, 6
@@ -204,6 +206,11 @@ def _shingle_column(text: pd.Series) -> pd.Series:
     return pd.Series(_signed([shingle_fingerprint(t) for t in text]), dtype="int64")
 
 
+@F.pandas_udf(BinaryType())
+def _shingles(text: pd.Series) -> pd.Series:
+    return pd.Series([shingle_hashes(t.encode().lower().split() if t else []).tobytes() for t in text], dtype="object")
+
+
 @F.pandas_udf(SIGNATURE)
 def _signature(text: pd.Series) -> pd.DataFrame:
     prints, bands, sketches, nodes = [], [], [], []
@@ -250,6 +257,29 @@ def alike(least: float):
     return near
 
 
+def similar(least: float):
+    """Tells which sets of shingles have a similarity of ``least`` or more, by the sets themselves.
+
+    Sketches only tell clear misses.
+    """
+    rough = alike(least - MARGIN)
+
+    def near(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        one, two = a["sketch"], b["sketch"]
+        hit = rough(one, two) | (((one | two) != 0).sum(axis=1) < FILLED)
+        for i in np.flatnonzero(hit):
+            hit[i] = similarity_of(a["shingles"][i], b["shingles"][i if len(b) > 1 else 0]) >= least
+        return hit
+
+    return near
+
+
+def similarity_of(a: np.ndarray, b: np.ndarray) -> float:
+    """Jaccard similarity of two sets of hashes in order; two empty ones are alike."""
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return both / (len(a) + len(b) - both) if both else float(not len(a) + len(b))
+
+
 def group_stars(values: np.ndarray, near) -> np.ndarray:
     """For each row the index of the first one that it reaches by steps that are ``near``."""
     first = np.arange(len(values))
@@ -330,7 +360,7 @@ def _link_groups(near, unpack):
             if batch.num_rows:
                 key = batch.column(0).to_numpy()
                 held.append((key, unpack(batch.column(1)), batch.column(2).to_numpy()))
-                waiting += len(key)
+                waiting += max(len(key), batch.nbytes // ROW)
                 if waiting >= LINKED and held[0][0][:1] != key[-1]:
                     waiting = 0
                     if out := linked(key[-1]):
@@ -345,8 +375,17 @@ def _longs(column: pa.Array) -> np.ndarray:
     return column.to_numpy().view(np.uint64)[:, None]
 
 
-def _sketches(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint8).reshape(-1, SKETCH)
+_SETS = np.dtype([("sketch", np.uint8, SKETCH), ("shingles", object)])
+
+
+def _sets(column: pa.Array) -> np.ndarray:
+    """Sketches and shingles of structs (sketch, shingles)."""
+    out = np.empty(len(column), dtype=_SETS)
+    sketch, shingles = column.flatten()
+    out["sketch"] = np.frombuffer(b"".join(sketch.to_pylist()), dtype=np.uint8).reshape(-1, SKETCH)
+    for i, one in enumerate(shingles.to_pylist()):
+        out["shingles"][i] = np.frombuffer(one, dtype=np.uint64)
+    return out
 
 
 def fingerprint_links(prints: DataFrame, radius: int) -> DataFrame:
@@ -403,9 +442,9 @@ def near_copies_removed(documents: DataFrame, similarity: float = 0.8) -> DataFr
     Candidates are texts that share a band of MinHashes of their five-word shingles, which finds
     pairs by their similarity alone, whatever the edit, and texts of which one of four SimHashes of
     their different words differs in at most five bits. In the
-    groups that candidates connect, sketches of the five-word shingles are compared, as by
-    ``alike``; a sketch's standard error is 0.018 at most, and ``MARGIN`` is allowed for it.
-    Similar texts are linked, and groups are closed under links.
+    groups that candidates connect, texts are linked if the similarity of their whole sets of
+    shingles is ``similarity`` or more. Sketches, with a standard error of 0.018 at most, only leave
+    out pairs that are ``MARGIN`` below it. Groups are closed under links.
 
     Case is ignored, as is the space between words. Texts with fewer than five words are one
     shingle; null, empty and blank texts are copies of each other. Of rows that tie on doc_id the
@@ -419,25 +458,37 @@ def near_copies_removed(documents: DataFrame, similarity: float = 0.8) -> DataFr
     # Short ids, fixed by storing them, stand for texts in what is shuffled most.
     nodes = landed(texts_.drop("node").withColumn("node", F.monotonically_increasing_id()), "signatures")
     near = components(fingerprint_links(nodes, MOST_BITS).unionByName(band_links(nodes)))
-    groups = _grid(nodes.select("node", "sketch").join(near, "node"))
-    similar = _link_groups(alike(similarity - MARGIN), _sketches)
-    links = groups.repartition("key").sortWithinPartitions("key", "node").mapInArrow(similar, "a long, b long")
+    members = nodes.select("node", "sketch", "best.doc_id", "best.text_hash").join(near, "node")
+    repeated = not documents.groupBy("doc_id").count().filter("count > 1").isEmpty()
+    # Stored, so that sets are made once.
+    groups = _grid(landed(_with_shingles(texts(documents), members, repeated), "shingles"))
+    linked = _link_groups(similar(similarity), _sets)
+    links = groups.repartition("key").sortWithinPartitions("key", "node").mapInArrow(linked, "a long, b long")
     roots = components(links)
     placed = nodes.select("node", "best").join(roots, "node", "left").select(F.coalesce("root", "node").alias("root"), "best")
     stay = placed.groupBy("root").agg(F.min("best").alias("best")).select("best.doc_id", "best.text_hash")
-    repeated = not documents.groupBy("doc_id").count().filter("count > 1").isEmpty()
     return _rows_of(documents, stay, repeated)
 
 
+def _with_shingles(documents: DataFrame, members: DataFrame, repeated: bool) -> DataFrame:
+    """(node, root, value) of ``members``: sketch and shingles, made of the text of a row of the node."""
+    own = documents.select(F.col("doc_id").alias("own_id"), F.xxhash64("text").alias("own_hash"), "text")
+    same = F.col("own_id").eqNullSafe(F.col("doc_id")) & (F.col("own_hash") == F.col("text_hash"))
+    found = own.join(members, same)
+    found = found.dropDuplicates(["node"]) if repeated else found
+    return found.select("node", "root", F.struct("sketch", _shingles("text").alias("shingles")).alias("value"))
+
+
 def _grid(members: DataFrame) -> DataFrame:
-    """(key, sketch, node): groups over CHUNK nodes as all pairs of chunks, others as one chunk."""
-    chunks = members.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / CHUNK).alias("chunks"))
+    """(key, value, node): groups over CHUNK nodes or CHUNK_BYTES as all pairs of chunks, others as one chunk."""
+    size = F.sum(F.length("value.shingles") + SKETCH) / CHUNK_BYTES
+    chunks = members.groupBy("root").agg(F.ceil(F.greatest(F.count(F.lit(1)) / CHUNK, size)).alias("chunks"))
     chunk = F.pmod(F.xxhash64("node"), F.col("chunks"))
     others = F.transform(
         F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1),
         lambda other: F.xxhash64("root", F.least(chunk, other), F.greatest(chunk, other)),
     )
-    return members.join(chunks, "root").select(F.explode(others).alias("key"), "sketch", "node")
+    return members.join(chunks, "root").select(F.explode(others).alias("key"), "value", "node")
 
 
 def _order() -> Column:

@@ -199,3 +199,16 @@ def test_contiguous_edits_are_candidates(spark, kind):
     nodes = documents(spark, texts).select(F.col("doc_id").alias("node"), s._signature("text").alias("s")).select("node", "s.bands")
     found = {(r["a"], r["b"]) for r in s.band_links(nodes).collect()}
     assert found == {(i, i + 1) for i in range(0, 120, 2)}
+
+
+def test_only_pairs_of_the_stated_similarity_are_removed(spark):
+    rng, texts, far = random.Random(12), [], []
+    for i in range(120):
+        words = [f"w{rng.random()}" for _ in range(rng.randint(100, 400))]
+        low = words
+        while similarity(" ".join(words), " ".join(low)) >= 0.8:  # the last copy that is below
+            low = low + [f"n{rng.random()}"]
+        texts += [" ".join(words), " ".join(low if i % 2 else low[:-1])]
+        far += [2 * i + 1] if i % 2 else []
+    kept = {r["doc_id"] for r in s.near_copies_removed(documents(spark, texts)).collect()}
+    assert kept == {*range(0, 240, 2), *far}
