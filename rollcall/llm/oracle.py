@@ -80,8 +80,29 @@ SELECT doc_id, item_id, n::BIGINT AS n_shingles, n_found::BIGINT AS n_found, n_f
 FROM found JOIN sizes USING (q) WHERE 100 * n_found >= 80 * n
 """
 
+LINE_DEDUP = r"""
+WITH docs AS (
+    SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents
+), lines AS (
+    SELECT r, doc_id, unnest(l) AS line, unnest(range(len(l))) AS place FROM docs
+), keyed AS (
+    SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k FROM lines
+), shared AS (
+    SELECT k, max(doc_id) AS keep FROM keyed WHERE length(k) >= 20
+    GROUP BY k HAVING count(DISTINCT doc_id) + max((doc_id IS NULL)::INT) >= 3
+), marked AS (
+    SELECT r, doc_id, line, place, shared.k IS NOT NULL AND doc_id IS DISTINCT FROM keep AS lost
+    FROM keyed LEFT JOIN shared USING (k)
+)
+SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (lost)::BIGINT AS n_dropped,
+    sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT lost), '')) AS kept_sha256
+FROM marked GROUP BY r, doc_id
+"""
+
 ORACLE: dict[str, str] = {
     "op1_quality_rules": QUALITY_RULES,
     "op3_warc": WARC,
     "op10_decontamination": DECONTAMINATION,
+    "op13_line_dedup": LINE_DEDUP,
 }

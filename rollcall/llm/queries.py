@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollcall.llm import decontaminate, licenses, lm_score, packing, pii, quality_rules, secrets, simhash, toxicity, warc
+from rollcall.llm import decontaminate, licenses, line_dedup, lm_score, packing, pii, quality_rules, secrets, simhash, toxicity, warc
 from rollcall.llm.common import shared_path, table
 from rollcall.llm.oracle import ORACLE as ORACLE
 
@@ -76,6 +76,10 @@ def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op13_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return line_dedup.line_digests(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_toxicity": op2_toxicity,
@@ -87,4 +91,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash": op8_simhash,
     "op9_pii": op9_pii,
     "op10_decontamination": op10_decontamination,
+    "op13_line_dedup": op13_line_dedup,
 }
