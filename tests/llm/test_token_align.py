@@ -1,0 +1,149 @@
+"""Alignment of two tokenizers against a plain version."""
+
+import hashlib
+import random
+from collections import Counter, defaultdict
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from rollcall.llm import token_align as ta
+from rollcall.llm.queries import tokenizer_path
+from tests.llm.helpers import DOCUMENTS, SMALL, clashing, documents, odd_documents
+
+A, B = tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model")
+ODD = [
+    "Hello world, it's 2024!", "héllo wörld — naïve ﬁ ½", "中文 テスト 한국어", "<|endoftext|> and <s> </s> <unk>", "▁ is lost", "tab\tand\n\nlines \r\n",
+    " leading and trailing ", "   ", "\n", "\x00\x01", "🙂🙃 👩‍👩‍👧", "a" * 5000, "-" * 3000 + " " * 3000, "é combining", "﻿ mark", "<0x41>", "x y\u0085z", "ab" * 2000,
+]
+
+
+@pytest.fixture(scope="module")
+def plain_encoders():
+    import sentencepiece
+    from tokenizers import Tokenizer
+
+    a = Tokenizer.from_file(A)
+    a.encode_special_tokens = True
+    return a, sentencepiece.SentencePieceProcessor(model_file=B)
+
+
+def plain_groups(text, encoders):
+    """Groups [(a ids, b ids)] of one text, token by token."""
+    a, b = encoders
+    if not text:
+        return []
+    letters = ta.byte_letters()
+    one, two = a.encode(" " + text, add_special_tokens=False).ids, b.encode(text)
+    bytes_a = [bytes(letters[c] for c in a.id_to_token(i)) for i in one]
+    bytes_b = []
+    for i in two:
+        piece = b.id_to_piece(i)
+        bytes_b.append(bytes([int(piece[3:5], 16)]) if b.is_byte(i) else piece.replace("▁", " ").encode())
+    if not b"".join(bytes_a) == b"".join(bytes_b) == b" " + text.encode():
+        return []
+    ends = []
+    for tokens in (bytes_a, bytes_b):
+        at, own = 0, []
+        for t in tokens:
+            at += len(t)
+            own.append(at)
+        ends.append(own)
+    shared, groups, i, j = sorted(set(ends[0]) & set(ends[1])), [], 0, 0
+    for end in shared:
+        left, right = [], []
+        while i < len(ends[0]) and ends[0][i] <= end:
+            left.append(one[i])
+            i += 1
+        while j < len(ends[1]) and ends[1][j] <= end:
+            right.append(two[j])
+            j += 1
+        groups.append((left, right))
+    return groups
+
+
+def plain(rows, encoders):
+    each = [(doc_id, plain_groups(text, encoders)) for doc_id, text in rows]
+    links = [Counter((a, b) for left, right in g for a in left for b in right) for _, g in each]
+    held = Counter(pair for own in links for pair in own)
+    most = defaultdict(int)
+    for (a, _), n in held.items():
+        most[a] = max(most[a], n)
+    out = []
+    for (doc_id, groups), own in zip(each, links, strict=True):
+        text = ";".join(",".join(map(str, x)) + "|" + ",".join(map(str, y)) for x, y in groups)
+        best = sum(n for (a, b), n in own.items() if held[a, b] == most[a])
+        out.append(
+            (doc_id, sum(len(x) for x, _ in groups), sum(len(y) for _, y in groups), len(groups), sum(own.values()), best,
+             sum(n * held[p] for p, n in own.items()), hashlib.sha256(text.encode()).hexdigest() if groups else "")
+        )
+    return sorted(out, key=repr)
+
+
+COLUMNS = ("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
+def found(df):
+    return sorted((tuple(r[c] for c in COLUMNS) for r in ta.alignment_scores(df, A, B).collect()), key=repr)
+
+
+def rows_of(df):
+    return [(r.doc_id, r.text) for r in df.select("doc_id", "text").collect()]
+
+
+def test_odd_texts(spark, plain_encoders, monkeypatch):
+    df = odd_documents(spark, ODD).repartition(3)
+    expected = plain(rows_of(df), plain_encoders)
+    assert found(df) == expected
+    lost = {r[0]: r for r in expected}
+    assert lost[104][1:] == (0, 0, 0, 0, 0, 0, "") and lost[103][1] > 0
+    monkeypatch.setattr(ta, "FEW_LINKS", 0)
+    assert found(df) == expected
+
+
+def test_all_documents_of_the_folder(spark, plain_encoders, monkeypatch):
+    df = spark.read.parquet(SMALL + "/documents.parquet")
+    expected = plain(rows_of(df), plain_encoders)
+    assert found(df) == expected
+    # Small slices and blocks, so that counts of many blocks are summed.
+    monkeypatch.setattr(ta, "SLICE_BYTES", 5_000)
+    monkeypatch.setattr(ta, "BLOCK_BYTES", 20_000)
+    assert found(df.repartition(5)) == expected
+
+
+def test_groups_and_counts_of_pairs(spark, plain_encoders):
+    df = documents(spark, ["one two three", "one two", None, "", "three é one", "one two"])
+    groups = {r.doc_id: r.groups for r in ta.aligned_texts(df, A, B).collect()}
+    for doc_id, text in rows_of(df):
+        own = plain_groups(text, plain_encoders)
+        assert groups[doc_id] == ";".join(",".join(map(str, x)) + "|" + ",".join(map(str, y)) for x, y in own)
+    held = Counter(p for _, t in rows_of(df) for p in {(a, b) for x, y in plain_groups(t, plain_encoders) for a in x for b in y})
+    counts = ta.link_counts(ta.aligned_blocks(df, A, B)).collect()
+    assert {(r.a, r.b): r.documents for r in counts} == dict(held)
+    assert all(r.best == (r.documents == max(n for (a, _), n in held.items() if a == r.a)) for r in counts)
+
+
+def test_empty_table_and_clashing_columns(spark, plain_encoders):
+    assert found(spark.createDataFrame([], DOCUMENTS)) == []
+    df = clashing(documents(spark, ["some words", None]), "block", "keys", "links", "n_a", "known", "place", "row")
+    assert found(df) == plain(rows_of(df), plain_encoders)
+
+
+def test_a_very_long_text(spark, plain_encoders):
+    random.seed(5)
+    words = ["alpha", "Beta", "gamma7", "δέλτα", "—", "x" * 40]
+    df = documents(spark, [" ".join(random.choice(words) for _ in range(300_000)), " " * 1_500_000])
+    rows = {r[0]: r for r in found(df)}
+    assert rows[0][1] > 600_000 and rows[1][1] > 1_000_000 and rows[1][3] > 0
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet=st.characters(exclude_categories=("Cs",)), max_size=60))
+def test_ranks_give_the_ids_of_the_tokenizer(text):
+    from tokenizers import Tokenizer
+
+    tokens = ta._load(A, B)[0].tokens
+    plain_a = test_ranks_give_the_ids_of_the_tokenizer.__dict__.setdefault("plain", Tokenizer.from_file(A))
+    plain_a.encode_special_tokens = True
+    assert tokens.encode(" " + text) == plain_a.encode(" " + text, add_special_tokens=False).ids
