@@ -80,6 +80,32 @@ SELECT doc_id, item_id, n::BIGINT AS n_shingles, n_found::BIGINT AS n_found, n_f
 FROM found JOIN sizes USING (q) WHERE 100 * n_found >= 80 * n
 """
 
+RANKED_SEARCH = r"""
+WITH docs AS (
+    SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents
+), items AS (
+    SELECT row_number() OVER () AS q, item_id, unnest(list_distinct(regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'))) AS t FROM benchmark
+), totals AS (
+    SELECT count(*) FILTER (len(w) > 0) AS n, sum(len(w))::BIGINT AS l FROM docs
+), held AS (
+    SELECT r, t, count(*) AS tf FROM (SELECT r, unnest(w) AS t FROM docs)
+    WHERE t IN (SELECT t FROM items) GROUP BY r, t
+), weights AS (
+    SELECT t, floor(1000 * ln((2 * n + 2) / (2 * count(*) + 1)))::BIGINT AS weight FROM held, totals GROUP BY t, n
+), lengths AS (
+    SELECT r, doc_id, 100 - 50 + (50 * len(w) * n) // l AS m FROM docs, totals WHERE len(w) > 0
+), scored AS (
+    SELECT q, item_id, doc_id, sum(weight * ((1000000000 * tf) // (1000 * tf + 20 * m)))::BIGINT AS score
+    FROM items JOIN held USING (t) JOIN weights USING (t) JOIN lengths USING (r) GROUP BY q, item_id, r, doc_id
+)
+SELECT item_id, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score
+FROM scored WHERE score > 0 QUALIFY rank <= 50
+"""
+
 LINE_DEDUP = r"""
 WITH docs AS (
     SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents
@@ -104,5 +130,6 @@ ORACLE: dict[str, str] = {
     "op1_quality_rules": QUALITY_RULES,
     "op3_warc": WARC,
     "op10_decontamination": DECONTAMINATION,
+    "op11_ranked_search": RANKED_SEARCH,
     "op13_line_dedup": LINE_DEDUP,
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollcall.llm import decontaminate, licenses, line_dedup, lm_score, packing, pii, quality_rules, secrets, simhash, token_align, toxicity, warc
+from rollcall.llm import decontaminate, licenses, line_dedup, lm_score, packing, pii, quality_rules, ranked_search, secrets, simhash, token_align, toxicity, warc
 from rollcall.llm.common import shared_path, table
 from rollcall.llm.oracle import ORACLE as ORACLE
 
@@ -76,6 +76,10 @@ def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op11_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    return ranked_search.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def op12_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents")
     return token_align.alignment_scores(documents, tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
@@ -96,6 +100,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash": op8_simhash,
     "op9_pii": op9_pii,
     "op10_decontamination": op10_decontamination,
+    "op11_ranked_search": op11_ranked_search,
     "op12_token_alignment": op12_token_alignment,
     "op13_line_dedup": op13_line_dedup,
 }

@@ -3,6 +3,7 @@
 import hashlib
 import random
 from collections import Counter, defaultdict
+from functools import lru_cache
 
 import pytest
 from hypothesis import given, settings
@@ -19,14 +20,20 @@ ODD = [
 ]
 
 
+@lru_cache
+def tokenizer_a():
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(A)
+    tokenizer.encode_special_tokens = True
+    return tokenizer
+
+
 @pytest.fixture(scope="module")
 def plain_encoders():
     import sentencepiece
-    from tokenizers import Tokenizer
 
-    a = Tokenizer.from_file(A)
-    a.encode_special_tokens = True
-    return a, sentencepiece.SentencePieceProcessor(model_file=B)
+    return tokenizer_a(), sentencepiece.SentencePieceProcessor(model_file=B)
 
 
 def plain_groups(text, encoders):
@@ -141,9 +148,5 @@ def test_a_very_long_text(spark, plain_encoders):
 @settings(max_examples=300, deadline=None)
 @given(st.text(alphabet=st.characters(exclude_categories=("Cs",)), max_size=60))
 def test_ranks_give_the_ids_of_the_tokenizer(text):
-    from tokenizers import Tokenizer
-
     tokens = ta._load(A, B)[0].tokens
-    plain_a = test_ranks_give_the_ids_of_the_tokenizer.__dict__.setdefault("plain", Tokenizer.from_file(A))
-    plain_a.encode_special_tokens = True
-    assert tokens.encode(" " + text) == plain_a.encode(" " + text, add_special_tokens=False).ids
+    assert tokens.encode(" " + text) == tokenizer_a().encode(" " + text, add_special_tokens=False).ids
