@@ -57,6 +57,44 @@ def large_groups(
     return F.broadcast(found) if found.count() <= BROADCAST_GROUPS else found
 
 
+# Hash values of the groups of one side, which bound what is broadcast of them.
+BUCKETS = 1 << 20
+# Rows from which on a group that occurs on one side only is left out by name.
+LONELY_ROWS = 10_000
+
+
+def group_table(left: DataFrame, right: DataFrame, keys: Sequence[str], fits: str) -> DataFrame:
+    """Stored sizes of every group: rows of both sides, those that fit, and the pairs of these."""
+
+    def sizes(side: DataFrame, name: str) -> DataFrame:
+        counts = F.count_if(fits).alias(f"{name}_rows"), F.count(F.lit(1)).alias(f"{name}_all")
+        return side.groupBy(*keys).agg(*counts)
+
+    joined = sizes(left, "left").join(sizes(right, "right"), list(keys), "full").na.fill(0)
+    return materialize(joined.withColumn("pairs", F.col("left_rows").cast("double") * F.col("right_rows")))
+
+
+def chosen_groups(groups: DataFrame, condition: Column, n: int, keys: Sequence[str]) -> DataFrame | None:
+    """Keys of the ``n`` stored groups that meet a condition, or None if none does; few are broadcast."""
+    if not n:
+        return None
+    found = groups.filter(condition).select(*keys)
+    return F.broadcast(found) if n <= BROADCAST_GROUPS else found
+
+
+def with_partners(left: DataFrame, right: DataFrame, keys: Sequence[str], lonely: DataFrame | None = None) -> DataFrame:
+    """Rows of the left side without most that no row of the right side shares a group with.
+
+    A row stays if the hash of its group is among those of the right side, of which there are at most
+    ``BUCKETS``; they are broadcast, so rows go before anything is shuffled. ``lonely`` names groups
+    that go in any case.
+    """
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).cast("int")
+    known = F.broadcast(right.select(bucket.alias("_rc_bucket")).distinct())
+    kept = left.withColumn("_rc_bucket", bucket).join(known, "_rc_bucket", "left_semi").drop("_rc_bucket")
+    return kept if lonely is None else kept.join(lonely, list(keys), "left_anti")
+
+
 def _edits(text: Column, threshold: int) -> Column:
     n = F.length(text)
     longest = n + F.floor(n * (200 - threshold) / threshold)

@@ -18,7 +18,15 @@ from rollcall.functions.phonetic import (
 )
 from rollcall.functions.similarity import edit_score, name_part_score
 from rollcall.functions.text import name_forms
-from rollcall.operators.candidates import PAIR_LIMIT, group_sizes, large_groups, text_pairs
+from rollcall.operators.candidates import (
+    LONELY_ROWS,
+    PAIR_LIMIT,
+    chosen_groups,
+    group_sizes,
+    group_table,
+    text_pairs,
+    with_partners,
+)
 from rollcall.operators.people import (
     ADDRESS,
     BLOCK_KEYS,
@@ -30,6 +38,7 @@ from rollcall.operators.people import (
     ZIP4,
     Texts,
     block_keys,
+    can_match,
     comparable,
     compared_texts,
     in_state,
@@ -231,6 +240,34 @@ def block_sizes(people: DataFrame, consumers: DataFrame) -> DataFrame:
     )
 
 
+@dataclass(frozen=True)
+class Blocks:
+    """What the sizes of the blocks say: rows of either side, all pairs, blocks with too many pairs,
+    and blocks of very many list rows that no consumer is in."""
+
+    people: int
+    consumers: int
+    pairs: int
+    large: DataFrame | None
+    lonely: DataFrame | None
+
+    @classmethod
+    def of(cls, people: DataFrame, consumers: DataFrame, source: Mapping[str, str], rules: MatchRules) -> Blocks:
+        """One pass over either side; rows that cannot match only count as rows."""
+        sides = [
+            side.select(*block_keys(own), can_match(own).alias("fits"))
+            for side, own in ((people, source), (consumers, {c: c for c in PERSON}))
+        ]
+        groups = group_table(*sides, BLOCK_KEYS, "fits")
+        large = F.col("pairs") > rules.pair_limit
+        lonely = (F.col("right_rows") == 0) & (F.col("left_rows") > LONELY_ROWS)
+        counts = {"left_all": F.sum("left_all"), "right_all": F.sum("right_all"), "pairs": F.sum("pairs")}
+        counts |= {"large": F.count_if(large), "lonely": F.count_if(lonely)}
+        n = groups.agg(*[value.alias(name) for name, value in counts.items()]).first()
+        named = [chosen_groups(groups, c, n[k], BLOCK_KEYS) for k, c in (("large", large), ("lonely", lonely))]
+        return cls(*[int(n[k] or 0) for k in ("left_all", "right_all", "pairs")], *named)
+
+
 def candidate_pairs(
     people: DataFrame, consumers: DataFrame, source: Mapping[str, str], rules: MatchRules
 ) -> DataFrame:
@@ -438,6 +475,7 @@ def best_matches(
     source: Mapping[str, str],
     columns: list[str],
     rules: MatchRules,
+    blocks: Blocks,
 ) -> DataFrame:
     """Best match of every person on the list who has one, with all the list ``columns``.
 
@@ -452,7 +490,8 @@ def best_matches(
         scored = _scored(candidate_pairs(left, right, source, rules), rules)
         return _ranked(scored, person, tie_break).select(*output)
 
-    large = large_groups(people, consumers, BLOCK_KEYS, rules.pair_limit)
+    people = with_partners(people, consumers, BLOCK_KEYS, blocks.lonely)
+    large = blocks.large
     if large is None:
         return best_of_all_pairs(people, consumers)
     small = best_of_all_pairs(
@@ -498,6 +537,22 @@ def match_people(
     People are told apart by first name, last name, address, ZIP and ZIP+4 as they stand on the
     list; of rows that agree in all five one is kept unless ``rules.per_row``.
     """
+    return match_with_sizes(people, consumers, mapping, rules, state, header, state_exact)[0]
+
+
+def match_with_sizes(
+    people: DataFrame,
+    consumers: DataFrame,
+    mapping: Mapping[str, str] | None = None,
+    rules: MatchRules | None = None,
+    state: str | None = None,
+    header: Header | None = None,
+    state_exact: bool = False,
+) -> tuple[DataFrame, dict[str, int]]:
+    """As :func:`match_people`, with what :func:`match_sizes` tells.
+
+    Rows are counted while the sizes of the blocks are, which every match needs and stores once.
+    """
     rules = rules or MatchRules()
     source = resolve_mapping(people.columns, mapping, header)
     require(source, PERSON)
@@ -511,15 +566,14 @@ def match_people(
         raise ValueError(f"list columns with reserved names: {clash}")
 
     person = person_columns(source)
-    found = best_matches(
-        blocked_list(people, source),
-        blocked_consumers(consumers, state, state_exact),
-        source, columns, rules,
-    )
-    if not rules.per_row and not rules.keep_unmatched:
-        return found
-    rows = people if rules.per_row else _one_per_person(people, person)
-    return _attach(rows, found, person, columns, rules)
+    chosen = in_state(consumers, "state", state, state_exact)
+    blocks = Blocks.of(people, chosen, source, rules)
+    sizes = {"people": blocks.people, "consumers": blocks.consumers, "comparisons": blocks.pairs}
+    found = best_matches(blocked_list(people, source), blocked_consumers(chosen), source, columns, rules, blocks)
+    if rules.per_row or rules.keep_unmatched:
+        rows = people if rules.per_row else _one_per_person(people, person)
+        found = _attach(rows, found, person, columns, rules)
+    return found, sizes
 
 
 def _one_per_person(people: DataFrame, person: list[str]) -> DataFrame:

@@ -97,10 +97,15 @@ def compared_texts(source: Mapping[str, str], texts: Texts, prefix: str = "") ->
     ]
 
 
-def comparable(df: DataFrame, source: Mapping[str, str]) -> DataFrame:
-    """Rows that can match at all: every match type needs a ZIP and an address.
+def can_match(source: Mapping[str, str]) -> Column:
+    """Whether a row can match at all: every match type needs a ZIP and an address.
 
     Tested on the raw columns, so that texts are not normalized twice.
     """
     zip_code, address = (F.col(quoted(source[key])).cast("string") for key in ("zip", "address"))
-    return df.filter((F.trim(zip_code) != "") & address.rlike(r"(?U)\S"))
+    return F.coalesce((F.trim(zip_code) != "") & address.rlike(r"(?U)\S"), F.lit(False))
+
+
+def comparable(df: DataFrame, source: Mapping[str, str]) -> DataFrame:
+    """Rows that can match."""
+    return df.filter(can_match(source))

@@ -18,7 +18,7 @@ from rollcall.operators.broken_rows import (
     quarantine_text,
 )
 from rollcall.operators.geo_tiers import flatten_tiers, sorted_flat, tier_summary
-from rollcall.operators.matching import MatchRules, match_people, match_sizes
+from rollcall.operators.matching import MatchRules, match_with_sizes
 from rollcall.operators.orders import EXPORT_PATTERN, output_name, stamp_orders
 from rollcall.operators.reports import (
     counted,
@@ -161,10 +161,9 @@ def import_and_match_job(
     imported = import_list(spark, input_path, delimiter)
     people, consumers = materialize(imported.rows), read_table(spark, match_table)
     source = column_mapping(mapping)
-    matches = match_people(people, consumers, source, rules, state, imported.header, state_exact)
+    matches, sizes = match_with_sizes(people, consumers, source, rules, state, imported.header, state_exact)
     header = imported.header
     counts = {"files": imported.counts.files, "lines": imported.counts.lines}
-    sizes = match_sizes(people, consumers, source, state, imported.header, state_exact)
     return _write_matches(
         spark, matches, counts, output_path, output_table,
         dict(zip(header.original, header.names)), header.duplicate_safe_names, sizes,
@@ -187,8 +186,7 @@ def match_tables_job(
     rules = _rules(rules, threshold)
     people, consumers = read_table(spark, input_table), read_table(spark, match_table)
     source = column_mapping(mapping)
-    matches = match_people(people, consumers, source, rules, state, state_exact=state_exact)
-    sizes = match_sizes(people, consumers, source, state, state_exact=state_exact)
+    matches, sizes = match_with_sizes(people, consumers, source, rules, state, state_exact=state_exact)
     return _write_matches(spark, matches, {}, output_path, output_table, {}, [], sizes)
 
 

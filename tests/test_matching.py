@@ -6,6 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from rollcall.functions.similarity import best_edit_score, best_name_part_score
+from rollcall.operators import candidates
+from rollcall.operators import matching as m
 from rollcall.operators.matching import (
     MATCH_COLUMNS,
     MatchRules,
@@ -222,3 +224,31 @@ def test_large_blocks_equal_small_ones_with_phonetics(spark, threshold):
         for n in (250_000, 0)
     )
     assert small == large and small
+
+
+def test_list_rows_of_blocks_without_consumers_go_before_the_shuffle(spark, monkeypatch):
+    monkeypatch.setattr(candidates, "LONELY_ROWS", 50)
+    monkeypatch.setattr(m, "LONELY_ROWS", 50)
+    rows = [(str(i), "John", "Straiton", "12 Main St", "99999", "") for i in range(400)]
+    rows += [("a", "John", "Straitor", "12 Main St", "43001", "12"), ("b", "Ann", "Jones", "5 Elm St", "43002", None)]
+    people = spark.createDataFrame(rows, "fid string, first_name string, last_name string, address string, zip string, zip4 string")
+    consumers = spark.createDataFrame(
+        [(1, "John", "Straiton", "12 Main St", "43001", "12"), (2, "Ann", "Jones", "5 Elm St", "43002", None)],
+        "id long, first_name string, last_name string, address string, zip string, zip4 string",
+    )
+    for buckets in (1 << 20, 1):
+        monkeypatch.setattr(candidates, "BUCKETS", buckets)
+        found, sizes = m.match_with_sizes(people, consumers)
+        assert sizes == {"people": 402, "consumers": 2, "comparisons": 2}
+        assert sizes == m.match_sizes(people, consumers)
+        assert sorted((r["fid"], r["match_id"]) for r in found.collect()) == [("a", 1), ("b", 2)]
+        source = m.resolve_mapping(people.columns)
+        blocked = m.blocked_list(people, source)
+        blocks = m.Blocks.of(people, consumers, source, m.MatchRules())
+        assert blocks.lonely.count() == 1 and blocks.large is None
+        kept = candidates.with_partners(blocked, m.blocked_consumers(consumers), m.BLOCK_KEYS, blocks.lonely)
+        assert kept.count() == 2
+    text = found._jdf.queryExecution().executedPlan().toString()
+    lines = text.split("\n")
+    shuffle = next(i for i, line in enumerate(lines) if "REPARTITION_BY_COL" in line)
+    assert any("LeftSemi" in line for line in lines[shuffle:])
