@@ -22,23 +22,45 @@ from pyspark.sql import functions as F
 from rollcall.llm.common import landed, texts
 
 LENGTH = 2048
-#: Ids of special tokens that a text can spell out; such texts are encoded as a whole.
+#: The id behind every document.
 END = 0
 #: Pieces of one packing group.
 GROUP = 20_000
-#: Words whose ids a worker remembers.
-REMEMBERED = 250_000
+#: Words of a generation whose ids a worker remembers, of two, and characters of texts encoded at once.
+REMEMBERED, SLICE = 300_000, 2_000_000
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 _encoders: dict[str, WordEncoder] = {}
 
 
+class Remembered(dict):
+    """Ids of words in two generations: what is not asked for any more is forgotten, the rest stays."""
+
+    def __init__(self) -> None:
+        self.older: dict[bytes, bytes] = {}
+
+    def __missing__(self, word: bytes) -> bytes:
+        found = self[word] = self.older[word]
+        return found
+
+    def has(self, word: bytes) -> bool:
+        return word in self or word in self.older
+
+    def turn(self, most: int) -> None:
+        """Starts a new generation when this one is full."""
+        if len(self) > most:
+            self.older = dict(self)
+            self.clear()
+
+
 class WordEncoder:
-    """Ids of a text by a tokenizer that drops white space, with the ids of words remembered.
+    """Ids of texts by a tokenizer that drops white space, with the ids of words remembered.
 
-    The tokenizer must lower its input and split it at white space, at least, before it merges;
-    then a text's ids are those of its blank-separated words, one after the other. A full stop or
-    comma after an ASCII letter or digit is always a piece of its own and is encoded apart.
+    The tokenizer must split its input at white space, at least, before it merges; then a text's ids
+    are those of its blank-separated words, one after the other. Words go to it as they are, so that
+    its own normalization decides about case and combining marks. A full stop or comma after an ASCII
+    letter or digit is always a piece of its own and is encoded apart. New words of all texts that are
+    encoded together go to the tokenizer in one call.
     """
 
     def __init__(self, path: str) -> None:
@@ -46,35 +68,38 @@ class WordEncoder:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
-        self.special = [t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.known: dict[bytes, bytes] = {}
+        self.special = [t.content.lower().encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.known = Remembered()
 
     def _ids(self, words: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
         return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
 
-    def encode(self, text: str | None) -> bytes:
-        """Little-endian unsigned 32-bit ids."""
-        if not text:
-            return b""
-        raw = text.encode().lower()
-        if b"<" in raw and any(s.encode() in raw for s in self.special):
-            return self._ids([text])[0]
-        words = raw.split()
+    def _learn(self, words: set[bytes]) -> None:
         known = self.known
-        new = [w for w in set(words) if w not in known]
-        if new:
-            if len(known) > REMEMBERED:
-                known.clear()
-                new = list(set(words))
-            ended = [w[-1] in b".," and w[-2:-1].isalnum() for w in new]
-            cores = [w[:-1] if e else w for w, e in zip(new, ended, strict=True)]
-            fresh = sorted({c for c in cores if c not in known} | {w for w in (b".", b",") if w not in known})
-            known.update(zip(fresh, self._ids([c.decode() for c in fresh]), strict=True))
-            for word, core, end in zip(new, cores, ended, strict=True):
-                if end:
-                    known[word] = known[core] + known[word[-1:]]
-        return b"".join(map(known.__getitem__, words))
+        new = [w for w in words if not known.has(w)]
+        if not new:
+            return
+        ended = [w[-1] in b".," and w[-2:-1].isalnum() for w in new]
+        cores = [w[:-1] if e else w for w, e in zip(new, ended, strict=True)]
+        fresh = sorted({c for c in (*cores, b".", b",") if not known.has(c)})
+        known.update(zip(fresh, self._ids([c.decode() for c in fresh]), strict=True))
+        for word, core, end in zip(new, cores, ended, strict=True):
+            if end:
+                known[word] = known[core] + known[word[-1:]]
+
+    def encode_all(self, texts: list[str | None]) -> list[bytes]:
+        """Little-endian unsigned 32-bit ids of each text."""
+        raw = [text.encode() if text else b"" for text in texts]
+        whole = [b"<" in r and any(s in r.lower() for s in self.special) for r in raw]
+        words = [[] if w else r.split() for r, w in zip(raw, whole, strict=True)]
+        self.known.turn(REMEMBERED)
+        self._learn(set().union(*words))
+        get = self.known.__getitem__
+        return [self._ids([t])[0] if w else b"".join(map(get, own)) for t, w, own in zip(texts, whole, words, strict=True)]
+
+    def encode(self, text: str | None) -> bytes:
+        return self.encode_all([text])[0]
 
 
 def _encoder(path: str) -> WordEncoder:
@@ -83,23 +108,39 @@ def _encoder(path: str) -> WordEncoder:
     return _encoders[path]
 
 
+def _slices(batch: pa.RecordBatch) -> Iterator[tuple[list, list]]:
+    """(ids, texts) of a batch, about ``SLICE`` characters each."""
+    ids, texts_, size = [], [], 0
+    for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+        text = text.as_py()
+        ids.append(doc_id)
+        texts_.append(text)
+        size += 100 + len(text or "")
+        if size >= SLICE:
+            yield ids, texts_
+            ids, texts_, size = [], [], 0
+    if ids:
+        yield ids, texts_
+
+
 def _cut(path: str, length: int, keep_ids: bool):
+    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()] + [pa.list_(pa.int32())] * keep_ids
+    names = ["doc_id", "piece", "start", "length", "ids_crc32", "ids"][: len(kinds)]
+    end = np.array([END], dtype="<u4").tobytes()
+
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(path)
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
+            for doc_ids, texts_ in _slices(batch):
                 out: list[tuple] = []
-                for doc_id, text in zip(*(part.column(i).to_pylist() for i in (0, 1)), strict=True):
-                    ids = encoder.encode(text) + np.array([END], dtype="<u4").tobytes()
+                for doc_id, ids in zip(doc_ids, encoder.encode_all(texts_), strict=True):
+                    ids += end
                     for piece, start in enumerate(range(0, len(ids) // 4, length)):
                         own = ids[4 * start : 4 * (start + length)]
                         row = (doc_id, piece, start, len(own) // 4, zlib.crc32(own))
                         out.append((*row, np.frombuffer(own, dtype="<u4").astype("i4")) if keep_ids else row)
-                kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()] + [pa.list_(pa.int32())] * keep_ids
-                names = ["doc_id", "piece", "start", "length", "ids_crc32", "ids"]
                 columns = [pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)]
-                yield pa.RecordBatch.from_arrays(columns, names=names[: len(kinds)])
+                yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return pieces
 

@@ -40,6 +40,7 @@ def test_tree_finds_the_tightest_sequence(capacity):
 TEXTS = [
     None, "", "Hello, World! it's 3.14... don't", "<|endoftext|> a <|STARTOFTEXT|> b", "İstanbul ΑΣ. ΑΣ, é é, \U0001f600.",
     "a\x1cb\x85c d", "x., y,. z.. ., .", "100,000.50, 7.", "line\r\nline\x0b\x0c", "ß ẞ ﬁ Ǆ.", "<b>tag</b>, <|x|>.",
+    "J\u030C T\u0308 H\u0331 W\u030A Y\u030A j\u030C É E\u0301. \u0301 A\u030A,",
 ]
 
 
@@ -55,6 +56,16 @@ def test_ids_stay_right_when_words_are_forgotten(monkeypatch):
     test_ids_equal_the_tokenizer()
 
 
+def test_two_generations_are_remembered():
+    known = p.Remembered()
+    known.update({b"a": b"1", b"b": b"2"})
+    known.turn(1)
+    assert known.has(b"a") and known[b"a"] == b"1" and not dict.__contains__(known, b"b")
+    known[b"c"] = b"3"
+    known.turn(1)
+    assert known.has(b"a") and known.has(b"c") and not known.has(b"b")
+
+
 def test_pieces_and_places(spark):
     long = " ".join(f"word{i}" for i in range(3000))
     docs = clashing(documents(spark, [*TEXTS, long, long]), "piece", "row", "shard", "offset", "ids")
