@@ -9,7 +9,9 @@ All patterns read a text once from left to right, whatever is in it.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -86,7 +88,7 @@ def plain_findings(text: str) -> Iterator[tuple[str, int, int]]:
     if not any(map(text.__contains__, "0123456789")):
         return
     for m in _IP.finditer(text):
-        if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split(".")):
+        if all(len(p.lstrip("0")) <= 3 and int(p.lstrip("0") or "0") <= 255 for p in m[0].split(".")):
             yield "ip", m.start(), m.end()
     for m in _CARD.finditer(text):
         digits = _digits(m[0])
@@ -127,9 +129,13 @@ def scan(text: str | None) -> list[tuple]:
     found = [(k, a, b, True, score(text, k, a, b), None) for k, a, b in plain_findings(text)]
     if found or any(map(text.__contains__, "0123456789")):
         taken = sorted((a, b) for _, a, b, *_ in found)
+        starts = [a for a, _ in taken]
+        # The furthest end of all findings up to each.
+        ends = list(accumulate((b for _, b in taken), max))
         for kind, start, end in more_findings(text):
             worth = score(text, kind, start, end)
-            if worth >= LEAST_SCORE and not any(a < end and start < b for a, b in taken):
+            before = bisect_left(starts, end)
+            if worth >= LEAST_SCORE and not (before and ends[before - 1] > start):
                 found.append((kind, start, end, False, worth, None))
     order = {k: i for i, k in enumerate(KINDS + MORE_KINDS)}
     return sorted(found, key=lambda f: (f[1], order[f[0]], f[2]))

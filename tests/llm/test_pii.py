@@ -1,5 +1,6 @@
 import hashlib
 import re
+import time
 
 import pytest
 from hypothesis import given, settings
@@ -83,3 +84,14 @@ def test_rows_of_digests(spark):
         assert tuple(r["n_" + k] for k in p.KINDS) == tuple(sum(f[0] == k for f in found) for k in p.KINDS)
     assert [r["spans"] for r in rows if r["doc_id"] == 102] == ["card:5:24,iban:34:56"]
     assert p.personal_data_digests(odd.limit(0)).count() == 0
+
+
+def test_long_numbers_and_many_findings():
+    zeros = "0" * 200_000
+    assert [f[:3] for f in p.scan(zeros + ".1.1.1")] == [("ip", 0, 200_006)]
+    assert p.scan(zeros + ".1.1.256") == []
+    line = "tel 555-123-4567 mail a@b.co iban DE89 3704 0044 0532 0130 00 ssn 219-09-9999\n"
+    once = len(p.scan(line))
+    start = time.time()
+    assert len(p.scan(line * 5_000)) == 5_000 * once
+    assert time.time() - start < 5
