@@ -43,8 +43,8 @@ _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x
 _ASSIGN_HINTS = ("passw", "secret", "token", "apikey", "api_key")
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{24,}")  # the runs of [0-9a-f]+ that are long enough
-_URL_RUN = re.compile(r"[^\s%]*(?:%[0-9A-Fa-f]{2}[^\s%]*)+")
-_ESCAPE_RUN = re.compile(r"(?:\\u[0-9A-Fa-f]{4}|\\u\{[0-9A-Fa-f]{1,6}\}|\\x[0-9A-Fa-f]{2}|[^\s\\])*\\[ux](?:[^\s\\]|\\[ux])*")
+_URL_TAIL = re.compile(r"(?:%[0-9A-Fa-f]{2}[^\s%]*)+")
+_ESCAPE_TAIL = re.compile(r"\\[ux](?:[^\s\\]|\\[ux])*")
 _ESCAPE = re.compile(r"\\u([0-9A-Fa-f]{4})|\\u\{([0-9A-Fa-f]{1,6})\}|\\x([0-9A-Fa-f]{2})")
 _END = re.compile(r"[^A-Za-z0-9+/=_\-\s%\\]\s")  # no run of base64, wrapped or not, goes on here
 _BASE64_RUN = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}")
@@ -215,6 +215,20 @@ def windows(source: _Source) -> Iterator[str]:
         held, wanted = held[max(0, cut - again) :], WINDOW
 
 
+def _runs(text: str, tail: re.Pattern, sign: str) -> Iterator[tuple[int, int]]:
+    """(start, end) of each run of unbroken text with escapes, grown to both sides of its first escape.
+
+    Blanks and signs that begin no escape end a run. Every character is passed once in each direction.
+    """
+    done = 0
+    for m in tail.finditer(text):
+        start = m.start()
+        while start > done and text[start - 1] != sign and not text[start - 1].isspace():
+            start -= 1
+        done = m.end()
+        yield start, done
+
+
 def _from_base64(run: str) -> Iterator[tuple[str, str]]:
     """(text, how) of a base64 run in either alphabet, with or without padding."""
     body = run.rstrip("=").translate({45: 43, 95: 47})
@@ -305,12 +319,12 @@ def _url_value(m: re.Match) -> str:
 def unwrapped(layer: Layer, raw: bytes) -> Iterator[Layer]:
     """The layers directly below a layer."""
     if "%" in layer.text:
-        for m in _URL_RUN.finditer(layer.text):
-            if found := _unescaped(layer, m.start(), m.end(), _URL_BYTES, _url_value, "url"):
+        for start, end in _runs(layer.text, _URL_TAIL, "%"):
+            if found := _unescaped(layer, start, end, _URL_BYTES, _url_value, "url"):
                 yield found
     if "\\u" in layer.text or "\\x" in layer.text:
-        for m in _ESCAPE_RUN.finditer(layer.text):
-            if found := _unescaped(layer, m.start(), m.end(), _ESCAPE, _escape_value, "escape"):
+        for start, end in _runs(layer.text, _ESCAPE_TAIL, "\\"):
+            if found := _unescaped(layer, start, end, _ESCAPE, _escape_value, "escape"):
                 yield found
     if b"x" * 16 in raw.translate(_BASE64_MARKS):
         for m in _BASE64_RUN.finditer(layer.text):

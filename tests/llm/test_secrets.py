@@ -4,6 +4,7 @@ import gzip
 import hashlib
 import lzma
 import re
+import time
 import zlib
 from urllib.parse import quote
 
@@ -164,3 +165,25 @@ def test_base64_glued_to_a_path(glue, compress):
 def test_data_that_holds_itself_ends(monkeypatch):
     monkeypatch.setattr(s, "_opened", lambda source: s.io.BytesIO(source.head).read)
     assert s._inflated(b"itself")[1] == 1
+
+
+SPELLED = (
+    "a%41%42 %zz%41 100% %4 %%41%", "x" * 40 + "%41%zz%42yy", "a\\u0041\\x42\\n\\u{1F600}z \\u12 \\\\u0041 q\\x4\\x41",
+    "caf\u00e9%C3%A9\u3000%41", "\\", "%", "\\u", "a\\\\x41b\\x42 c",
+)
+
+
+@pytest.mark.parametrize("text", SPELLED)
+def test_runs_are_those_of_the_plain_patterns(text):
+    url = re.compile(r"[^\s%]*(?:%[0-9A-Fa-f]{2}[^\s%]*)+")
+    escape = re.compile(r"(?:\\u[0-9A-Fa-f]{4}|\\u\{[0-9A-Fa-f]{1,6}\}|\\x[0-9A-Fa-f]{2}|[^\s\\])*\\[ux](?:[^\s\\]|\\[ux])*")
+    assert list(s._runs(text, s._URL_TAIL, "%")) == [m.span() for m in url.finditer(text)]
+    assert list(s._runs(text, s._ESCAPE_TAIL, "\\")) == [m.span() for m in escape.finditer(text)]
+
+
+@pytest.mark.parametrize("unit", ["x", "\u4e2d"])
+@pytest.mark.parametrize("end", [" 5%", "%", "\\x", " \\u", "%4", "\\u{"])
+def test_unbroken_runs_are_read_in_linear_time(unit, end):
+    start = time.time()
+    assert s.scan(unit * 200_000 + end) == []
+    assert time.time() - start < 5
