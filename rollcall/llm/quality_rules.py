@@ -111,7 +111,7 @@ def _repeated_words(words: Column) -> Column:
 def measurements(text: Column) -> dict[str, Column]:
     """Column expressions by name; a null text counts as empty."""
     text = F.coalesce(text, F.lit(""))
-    trimmed = F.regexp_replace(text, f"^{_BLANK}+|{_BLANK}+$", "")
+    trimmed = F.regexp_replace(text, rf"^{_BLANK}+|{_BLANK}+\z", "")
     words = F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, f"{_BLANK}+"))
     lines = F.filter(F.split(text, "\n"), lambda line: line.rlike(_WORD))
     size = lambda c: F.size(c).cast("long")

@@ -51,11 +51,12 @@ def test_measurements_of_edge_cases(spark):
         None, "", " ", "a", "a b", "a b c", "a b c a b c", "x x x x", "a b c d", "é\U0001f600 ü\x0b#*\x0c|<>",
         "l\nl\nl\n\n \nm", "a b c d\n" * 40, "the same line of words\nother\nthe same line of words\n", "\n\n", "1 2 3 " * 30,
         " ".join(f"w{i}" for i in range(5000)) + " w1 w2 w3 w4", "\r\na\r\na", "ab " * 400,
+        "abc \u2028", "abc \u0085", "abc \u2029", "abc \u0085 \n", "\u2028 abc",
     ])
 
 
 @settings(max_examples=6, deadline=None)
-@given(st.lists(st.text(alphabet="ab \n#é\t", max_size=60), min_size=8, max_size=20))
+@given(st.lists(st.text(alphabet="ab \n#é\t\u0085\u2028", max_size=60), min_size=8, max_size=20))
 def test_measurements_of_random_texts(spark, texts):
     compare(spark, texts)
 
