@@ -53,12 +53,18 @@ class Remembered(dict):
             self.clear()
 
 
+def _lower(raw: bytes) -> bytes:
+    """ASCII in lower case, unless a combining mark (U+0300 to U+037F begin with these bytes) is in the text."""
+    return raw if b"\xcc" in raw or b"\xcd" in raw else raw.lower()
+
+
 class WordEncoder:
     """Ids of texts by a tokenizer that drops white space, with the ids of words remembered.
 
     The tokenizer must split its input at white space, at least, before it merges; then a text's ids
-    are those of its blank-separated words, one after the other. Words go to it as they are, so that
-    its own normalization decides about case and combining marks. A full stop or comma after an ASCII
+    are those of its blank-separated words, one after the other. Texts without combining marks are
+    lowered first, as far as they are ASCII; in others the tokenizer composes letters and marks before
+    it lowers them, so their words stay as they are. A full stop or comma after an ASCII
     letter or digit is always a piece of its own and is encoded apart. New words of all texts that are
     encoded together go to the tokenizer in one call.
     """
@@ -90,7 +96,7 @@ class WordEncoder:
 
     def encode_all(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        raw = [text.encode() if text else b"" for text in texts]
+        raw = [_lower(text.encode()) if text else b"" for text in texts]
         whole = [b"<" in r and any(s in r.lower() for s in self.special) for r in raw]
         words = [[] if w else r.split() for r, w in zip(raw, whole, strict=True)]
         self.known.turn(REMEMBERED)
