@@ -51,6 +51,8 @@ LINKED, ROW = 10_000, 4_096
 #: MinHashes of a text's five-word shingles: so many bands of so many. A pair at a similarity of 0.8
 #: shares none with a probability of (1 - 0.8 ** BAND) ** BANDS, which is 5e-7.
 BANDS, BAND = 48, 6
+#: Bands whose keys connect texts at once. The first ones leave little for the others to connect.
+BATCHES = (4, 12, 32)
 #: Shingles whose MinHashes are computed at once.
 MIXED = 256
 GENERATOR = 0b110001110101  # x^11 + x^10 + x^6 + x^5 + x^4 + x^2 + 1
@@ -408,6 +410,49 @@ def band_links(nodes: DataFrame) -> DataFrame:
     return keys.join(groups.select("key", "a"), "key").filter("a < node").select("a", F.col("node").alias("b")).distinct()
 
 
+def _contracted(placed: DataFrame, links: DataFrame) -> DataFrame:
+    """``placed`` (node, root) after its roots are joined by ``links``."""
+    found = components(links).select(F.col("node").alias("root"), F.col("root").alias("joined"))
+    return landed(placed.join(found, "root", "left").select("node", F.coalesce("joined", "root").alias("root")), "placed")
+
+
+def _write_kind_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(kind, print, root) to one row per key: key, print, node."""
+    for batch in batches:
+        kinds, values, roots = (batch.column(i).to_numpy() for i in range(3))
+        for kind in np.unique(kinds):
+            rows = np.flatnonzero(kinds == kind)
+            for at in range(0, len(rows), 1000):
+                some = rows[at : at + 1000]
+                row, keys = fingerprint_keys(values[some].view(np.uint64), int(kind))
+                columns = (keys, values[some][row], roots[some][row])
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["key", "print", "node"])
+
+
+def candidate_groups(nodes: DataFrame) -> DataFrame:
+    """(node, root) of the nodes (node, prints, bands) that candidates connect with others.
+
+    Candidates share a band, or their fingerprints of one kind are within ``MOST_BITS``. Keys are
+    taken in batches, equal fingerprints with the first. After each, nodes are replaced by the
+    root of their component, so a large group of near copies is nearly one node from the first
+    batch on, and its many other keys give no more links. At the end a fingerprint has one root.
+    """
+    placed, at = nodes.select("node", F.col("node").alias("root")), 0
+    for size in BATCHES:
+        keys = F.slice("bands", at + 1, size)
+        if not at:
+            keys = F.concat(keys, F.transform("prints", lambda value, kind: F.xxhash64(kind, value)))
+        rows = nodes.select("node", keys.alias("bands")).join(placed, "node").select(F.col("root").alias("node"), "bands")
+        placed = _contracted(placed, band_links(rows))
+        at += size
+    kinds = nodes.select("node", F.posexplode("prints").alias("kind", "print")).join(placed, "node")
+    prints = kinds.groupBy("kind", "print").agg(F.min("root").alias("root"))
+    keyed = prints.mapInArrow(_write_kind_keys, "key long, print long, node long").repartition("key").sortWithinPartitions("key", "node")
+    links = keyed.mapInArrow(_link_groups(within_bits(MOST_BITS), _longs), "a long, b long").distinct()
+    moved = _contracted(placed, links).filter("node <> root")
+    return moved.unionByName(moved.select(F.col("root").alias("node"), "root").distinct())
+
+
 def simhash_components(documents: DataFrame, radius: int = 3) -> DataFrame:
     """doc_id, fingerprint (16 hex digits) and component_id of every row.
 
@@ -457,7 +502,7 @@ def near_copies_removed(documents: DataFrame, similarity: float = 0.8) -> DataFr
     )
     # Short ids, fixed by storing them, stand for texts in what is shuffled most.
     nodes = landed(texts_.drop("node").withColumn("node", F.monotonically_increasing_id()), "signatures")
-    near = components(fingerprint_links(nodes, MOST_BITS).unionByName(band_links(nodes)))
+    near = candidate_groups(nodes)
     members = nodes.select("node", "sketch", "best.doc_id", "best.text_hash").join(near, "node")
     repeated = not documents.groupBy("doc_id").count().filter("count > 1").isEmpty()
     # Stored, so that sets are made once.

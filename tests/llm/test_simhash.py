@@ -212,3 +212,35 @@ def test_only_pairs_of_the_stated_similarity_are_removed(spark):
         far += [2 * i + 1] if i % 2 else []
     kept = {r["doc_id"] for r in s.near_copies_removed(documents(spark, texts)).collect()}
     assert kept == {*range(0, 240, 2), *far}
+
+
+def signed_nodes(spark, texts):
+    signed = documents(spark, texts).select(F.col("doc_id").alias("node"), s._signature("text").alias("s"))
+    return signed.select("node", "s.prints", "s.bands")
+
+
+def test_batches_connect_what_all_keys_connect(spark):
+    nodes = signed_nodes(spark, [*near_texts(5, 60), "", "one two", "one two"])
+    at_once = s.fingerprint_links(nodes, s.MOST_BITS).unionByName(s.band_links(nodes))
+    wanted = sorted(tuple(r) for r in s.components(at_once).select("node", "root").collect())
+    assert wanted and sorted(tuple(r) for r in s.candidate_groups(nodes).select("node", "root").collect()) == wanted
+    assert s.candidate_groups(nodes.limit(0)).count() == 0
+
+
+def test_a_large_group_of_near_copies_gives_few_links(spark, monkeypatch):
+    rng, given = random.Random(3), []
+    base = [f"w{i}" for i in range(300)]
+    texts = []
+    for i in range(400):
+        words = list(base)
+        for at in rng.sample(range(300), 4):
+            words[at] = f"n{i}.{at}"
+        texts.append(" ".join(words))
+    seen = s.components
+    monkeypatch.setattr(s, "components", lambda links: given.append(links.count()) or seen(links))
+    nodes = signed_nodes(spark, texts)
+    groups = s.candidate_groups(nodes).collect()
+    assert len(groups) == 400 and {r["root"] for r in groups} == {0}
+    # At once every node has links to the smallest node of each of its many keys.
+    at_once = s.fingerprint_links(nodes, s.MOST_BITS).unionByName(s.band_links(nodes)).distinct().count()
+    assert sum(given) < 8 * 400 < at_once
