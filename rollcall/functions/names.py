@@ -68,8 +68,10 @@ class Header:
         sep = delimiter_text(delimiter)
         if not line or not line.strip():
             raise ValueError("the header line is blank")
+        # The csv module takes one character only, so a longer delimiter is read as one that the line lacks.
+        mark = sep if len(sep) == 1 else next(c for c in map(chr, range(0xE000, 0xF8FF)) if c not in line)
         fields: Sequence[str]
-        fields = next(csv.reader([line], delimiter=sep)) if len(sep) == 1 else line.split(sep)
+        fields = [f.replace(mark, sep) for f in next(csv.reader([line.replace(sep, mark)], delimiter=mark))]
         original = tuple(field.strip().strip('"') for field in fields)
         return cls(line, sep, original, tuple(unique_names(safe_name(f) for f in original)))
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,8 +35,10 @@ def _external_location(spark: SparkSession, table: str) -> str | None:
 def register_table(spark: SparkSession, name: str, path: str) -> None:
     """Make ``name`` an external table over the Parquet files at ``path``.
 
-    An external Parquet table of that name is replaced if its location or schema differs, which
-    leaves its files alone. Any other table or view of that name is an error.
+    An external Parquet table of that name gets the new location if its schema is the same. If the
+    schema differs, the new entry is made under another name before it takes the old one's place,
+    so an entry that can't be made leaves the old one as it is. Files of the old table stay. Any
+    other table or view of that name is an error.
     """
     table, stored = table_name(name), spark.read.parquet(path).schema
     if spark.catalog.tableExists(table):
@@ -44,12 +47,21 @@ def register_table(spark: SparkSession, name: str, path: str) -> None:
             raise ValueError(f"{name} exists and is no external Parquet table; it is left as it is")
         known = spark.table(table).schema
         same = [(f.name, f.dataType) for f in known] == [(f.name, f.dataType) for f in stored]
-        if same and _plain_path(location) == _plain_path(_qualified(spark, path)):
+        if same:
+            if _plain_path(location) != _plain_path(_qualified(spark, path)):
+                spark.sql(f"ALTER TABLE {table} SET LOCATION {_sql_text(_qualified(spark, path))}")
             spark.catalog.refreshTable(table)
             return
+        staged = table_name(f"{name.rstrip('`')}_{uuid.uuid4().hex[:12]}")
+        spark.sql(f"CREATE TABLE {staged} USING parquet LOCATION {_sql_text(path)}")
         spark.sql(f"DROP TABLE {table}")
-    location = path.replace("\\", "\\\\").replace("'", "\\'")
-    spark.sql(f"CREATE TABLE {table} USING parquet LOCATION '{location}'")
+        spark.sql(f"ALTER TABLE {staged} RENAME TO {table}")
+        return
+    spark.sql(f"CREATE TABLE {table} USING parquet LOCATION {_sql_text(path)}")
+
+
+def _sql_text(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def _qualified(spark: SparkSession, path: str) -> str:

@@ -7,6 +7,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from rollcall.functions.names import Header
 from rollcall.operators.broken_rows import chunk_of, field_count
 from rollcall.operators.orders import output_name
 from rollcall.operators.reports import counted, quality_report
@@ -269,3 +270,12 @@ def test_csv_round_trip(spark, tmp_path):
     write_csv(df, path, rows_per_file=1)
     back = spark.read.option("header", True).option("escape", '"').csv(path)
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))
+
+
+def test_a_long_delimiter_within_quotes_is_no_delimiter(spark, tmp_path):
+    assert Header.parse('a||"b||c"||d', "||").original == ("a", "b||c", "d")
+    assert Header.parse("a||b|c||", "||").original == ("a", "b|c", "")
+    (tmp_path / "x.csv").write_text('a||"b||c"||d\n1||"2||3"||4\n')
+    rows = import_list(spark, str(tmp_path), "||").rows
+    assert rows.columns == ["a", "b_c", "d"]
+    assert [tuple(r) for r in rows.collect()] == [("1", "2||3", "4")]

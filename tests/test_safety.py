@@ -189,3 +189,26 @@ def test_many_layouts(spark, tmp_path):
         put(tmp_path / "in" / f"QB{100 + i}_OmitFile_Export_1125.csv", f"a,c{i}\n1,{i}\n2,{i}\n")
     seen = {tuple(h.original): sorted(map(tuple, rows.select(*h.original).collect())) for h, rows in read_exports(spark, str(tmp_path / "in"))}
     assert len(seen) == 30 and seen["a", "c7"] == [("1", "7"), ("2", "7")]
+
+
+def test_an_entry_that_cannot_be_made_leaves_the_old_one(spark, tmp_path, monkeypatch):
+    old, new = str(tmp_path / "old"), str(tmp_path / "it's new")
+    write_parquet(spark.range(3), old)
+    write_parquet(spark.range(5).selectExpr("cast(id as string) as name"), new)
+    register_table(spark, "kept_entry", old)
+    sql = type(spark).sql
+
+    def failing(self, query, *args, **kwargs):
+        if query.startswith("CREATE TABLE"):
+            raise RuntimeError("no entry")
+        return sql(self, query, *args, **kwargs)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(type(spark), "sql", failing)
+        with pytest.raises(RuntimeError):
+            register_table(spark, "kept_entry", new)
+    assert spark.table("kept_entry").count() == 3
+    register_table(spark, "kept_entry", new)
+    assert spark.table("kept_entry").columns == ["name"] and spark.table("kept_entry").count() == 5
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("kept_entry_")]
+    spark.sql("DROP TABLE kept_entry")
