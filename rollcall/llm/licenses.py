@@ -136,18 +136,22 @@ def _rows(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
 def own_licences(files: DataFrame) -> DataFrame:
     """(row, path, licence, score): the best unit of each file; nulls if no template reaches LEAST.
 
-    ``files`` has row (unique), path and text.
+    ``files`` has row, path and text. Rows are told apart by a hash of all three, not by ``row``
+    alone: files that share a row, or have none, keep their own licence each, equal ones the same.
     """
     weights = term_weights(files)
     vectors = template_vectors(weights)
     whole = F.coalesce(F.col("path").rlike(LICENCE_FILE), F.lit(False))
     text = F.coalesce(F.col("text"), F.lit(""))
-    units = landed(files.select("row", F.explode(_units(text, whole, anchors(vectors))).alias("unit")), "units")
+    # A null takes no part in the hash, so what is null is hashed as well.
+    nulls = [F.col(c).isNull() for c in ("row", "path", "text")]
+    key = F.xxhash64("row", "path", "text", *nulls).alias("key")
+    units = landed(files.select(key, F.explode(_units(text, whole, anchors(vectors))).alias("unit")), "units")
     scores = _cosines(units.select("unit").distinct(), weights, vectors)
-    keyed = units.select("row", F.xxhash64("unit").alias("unit"))
+    keyed = units.select("key", F.xxhash64("unit").alias("unit"))
     best = F.max(F.struct("score", "licence")).alias("best")
-    found = keyed.join(scores, "unit").groupBy("row").agg(best).select("row", "best.score", "best.licence")
-    return files.select("row", "path").join(found, "row", "left").select("row", "path", "licence", "score")
+    found = keyed.join(scores, "unit").groupBy("key").agg(best).select("key", "best.score", "best.licence")
+    return files.select("row", "path", key).join(found, "key", "left").select("row", "path", "licence", "score")
 
 
 def _directory(path: Column) -> Column:
@@ -187,7 +191,7 @@ def inherited(owned: DataFrame) -> DataFrame:
 def file_licences(files: DataFrame) -> DataFrame:
     """row, path, licence, score, how and from_directory of every file (row, path, text).
 
-    ``row`` must be unique. Null and empty texts have no licence of their own. Other columns are
+    Rows may repeat or be null; each file has its own result. Null and empty texts have no licence of their own. Other columns are
     left out; an empty table gives no rows.
     """
     return inherited(own_licences(files.select("row", "path", "text")))

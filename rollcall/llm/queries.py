@@ -51,11 +51,16 @@ def op6_secrets(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def document_files(documents: DataFrame) -> DataFrame:
-    """Documents as files of a tree by source and language; short ones are licence files."""
-    name = F.when(F.length("text") < 400, F.lit("LICENSE")).otherwise(F.lit("text"))
-    folder = F.concat_ws("/", "source", "lang", F.floor(F.col("doc_id") / 256), F.floor(F.col("doc_id") / 16))
+    """Documents as files of a tree by source, language and id.
+
+    Those that speak of a licence are licence files of their block of 256 ids, the others lie in
+    folders of 16 ids below it.
+    """
+    block = F.concat_ws("/", "source", "lang", F.floor(F.col("doc_id") / 256))
+    speaks = F.coalesce(F.col("text").rlike("(?i)licen[cs]e"), F.lit(False))
+    name = F.when(speaks, F.lit("LICENSE")).otherwise(F.concat_ws("/", F.floor(F.col("doc_id") / 16), F.lit("text")))
     return documents.select(
-        F.col("doc_id").alias("row"), F.concat(folder, F.lit("/"), name, F.lit("-"), "doc_id").alias("path"), "text"
+        F.col("doc_id").alias("row"), F.concat(block, F.lit("/"), name, F.lit("-"), "doc_id").alias("path"), "text"
     )
 
 

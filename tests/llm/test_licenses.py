@@ -5,7 +5,8 @@ from collections import Counter
 import pytest
 
 from rollcall.llm import licenses as n
-from tests.llm.helpers import clashing
+from rollcall.llm.queries import op7_licenses
+from tests.llm.helpers import SMALL, clashing
 
 FILES = "row long, path string, text string"
 APACHE = "Licensed under the Apache License, Version 2.0."
@@ -93,6 +94,32 @@ def test_odd_rows(spark):
     assert n.file_licences(files.limit(0)).count() == 0
 
 
+def test_files_that_share_a_row_keep_their_own_licence(spark):
+    files = [(1, "a/x", MIT), (1, "b/x", APACHE), (1, "c/x", "plain"), (None, "d/x", MIT), (None, "e/x", "plain"), (None, None, MIT), (1, "a/x", MIT)]
+    rows = n.file_licences(spark.createDataFrame(files, FILES)).collect()
+    found = sorted((str(r["row"]), str(r["path"]), str(r["licence"])) for r in rows)
+    assert found == sorted([
+        ("1", "a/x", "MIT"), ("1", "a/x", "MIT"), ("1", "b/x", "Apache-2.0"), ("1", "c/x", "None"),
+        ("None", "d/x", "MIT"), ("None", "e/x", "None"), ("None", "None", "MIT"),
+    ])
+
+
+def test_licences_are_inherited_in_the_query(spark):
+    rows = op7_licenses(spark, SMALL).collect()
+    owners = {}
+    for r in rows:
+        if r["how"] == "own" and re.search(n.LICENCE_FILE, r["path"]):
+            owners.setdefault(r["path"].rpartition("/")[0], set()).add(r["licence"])
+    inherited = [r for r in rows if r["how"] == "inherited"]
+    assert inherited and all(r["licence"] in owners[r["from_directory"]] for r in inherited)
+    for r in rows:
+        steps = r["path"].split("/")[:-1]
+        above = ["/".join(steps[:i]) for i in range(len(steps), 0, -1)]
+        near = next((a for a in above if a in owners), None)
+        if r["how"] != "own":
+            assert (r["how"], r["from_directory"]) == (("inherited", near) if near else (None, None))
+
+
 def test_no_python_in_the_plans(spark):
     files = spark.createDataFrame(TEXTS, FILES)
     plan = n._cosines(files.select("text").withColumnRenamed("text", "unit").limit(0), {t: 1.0 for t in n.VOCABULARY}, n.template_vectors({t: 1.0 for t in n.VOCABULARY}))
