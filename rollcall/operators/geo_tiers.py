@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rollcall.functions.geo import GEO_TYPES, read_cell, slug
+from rollcall.storage import materialize
 
 # Grid rows that are ordered together; the label in force is carried from one band to the next.
 BAND_ROWS = 10_000
@@ -71,9 +72,10 @@ def flatten_tiers(
 ) -> GeoTiers:
     """Flatten cells ``sheet, row, col, value`` (rows and columns from 0).
 
-    Sheets of one name are told apart by ``sheet_id``, if there is one.
+    Sheets of one name are told apart by ``sheet_id``, if there is one. Cells are read once: the
+    useful ones are stored, and all further steps start from these.
     """
-    read = read_cells(cells, header_rows, compat)
+    read = materialize(read_cells(cells, header_rows, compat))
     tier = F.concat_ws("_", slug(F.col("sheet")), F.col("current_label"))
     filled = fill_labels(read, band_rows).withColumn("tier", tier)
     flat = (

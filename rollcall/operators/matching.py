@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
@@ -17,7 +17,7 @@ from rollcall.functions.phonetic import (
     phonetic_codes,
 )
 from rollcall.functions.similarity import edit_score, name_part_score
-from rollcall.functions.text import name_forms
+from rollcall.functions.text import name_forms, normalize_text
 from rollcall.operators.candidates import (
     LONELY_ROWS,
     PAIR_LIMIT,
@@ -62,6 +62,9 @@ CONSUMER_COLUMNS = (
 SCORE_COLUMNS = ("match_first_name_score", "match_last_name_score", "match_address_score")
 MATCH_COLUMNS = (*CONSUMER_COLUMNS, *SCORE_COLUMNS, "match_type", "match_overall_score")
 
+# Distinct names whose codes are broadcast; of more, codes are derived per row.
+CODED_NAMES = 100_000
+
 _CONSUMER_SIDE = "_rc_c"
 C_FIRST, C_LAST, C_ADDRESS = (_CONSUMER_SIDE + c for c in (FIRST, LAST, ADDRESS))
 ADDRESS_CODES, FIRST_CODES, LAST_CODES = "_rc_codes", "_rc_first_codes", "_rc_last_codes"
@@ -221,10 +224,44 @@ def consumer_texts(consumers: DataFrame, rules: MatchRules) -> DataFrame:
     return consumers.select("*", *compared_texts(source, rules.texts, _CONSUMER_SIDE))
 
 
-def _with_codes(df: DataFrame, side: str, rules: MatchRules) -> DataFrame:
-    """Phonetic codes of the texts, where they can decide: once per row, not per pair."""
+def name_codes(
+    people: DataFrame, consumers: DataFrame, source: Mapping[str, str], rules: MatchRules
+) -> DataFrame | None:
+    """``is_last, text, codes``: phonetic codes of the names of both blocked sides, once per text.
+
+    Names are folded before anything is derived from them. ``None`` if there are more than
+    ``CODED_NAMES``, too many to broadcast: codes are then derived per row.
+    """
+    sides = []
+    for side, columns in ((people, source), (consumers, dict(zip(PERSON, CONSUMER_COLUMNS[1:])))):
+        names = [
+            F.struct(F.lit(is_last).alias("is_last"), F.col(quoted(columns[key])).cast("string").alias("name"))
+            for key, is_last in (("first_name", False), ("last_name", True))
+        ]
+        sides.append(side.select(F.inline(F.array(*names))))
+    names = sides[0].union(sides[1]).distinct()
+    texts = names.select("is_last", normalize_text(F.col("name"), rules.texts.names).alias("text"))
+    text = F.col("text")
+    codes = F.when(F.col("is_last"), phonetic_codes(name_forms(text))).otherwise(phonetic_codes(F.array(text)))
+    coded = materialize(texts.distinct().withColumn("codes", codes))
+    return coded if coded.count() <= CODED_NAMES else None
+
+
+def _with_codes(
+    df: DataFrame, side: str, rules: MatchRules, names: DataFrame | None = None
+) -> DataFrame:
+    """Phonetic codes of the texts, where they can decide: once per row, not per pair.
+
+    Those of names come from :func:`name_codes`, if there is such a table.
+    """
     codes = {}
-    if rules.phonetic:
+    if rules.phonetic and names is not None:
+        for is_last, text, code in ((False, FIRST, FIRST_CODES), (True, LAST, LAST_CODES)):
+            table = names.filter(F.col("is_last") == is_last).select(
+                F.col("text").alias(side + text), F.col("codes").alias(side + code)
+            )
+            df = df.join(F.broadcast(table), side + text, "left")
+    elif rules.phonetic:
         codes[side + FIRST_CODES] = phonetic_codes(F.array(F.col(side + FIRST)))
         codes[side + LAST_CODES] = phonetic_codes(name_forms(F.col(side + LAST)))
     if rules.phonetic_decides:
@@ -269,15 +306,23 @@ class Blocks:
 
 
 def candidate_pairs(
-    people: DataFrame, consumers: DataFrame, source: Mapping[str, str], rules: MatchRules
+    people: DataFrame,
+    consumers: DataFrame,
+    source: Mapping[str, str],
+    rules: MatchRules,
+    fold: Callable[[DataFrame], DataFrame] | None = None,
+    names: DataFrame | None = None,
 ) -> DataFrame:
     """All pairs of a blocked list row and a blocked consumer in the same block.
 
     The list is partitioned by block even where Spark can broadcast the consumers: comparing
     texts costs far more than moving rows, and a short list would be scored by one task.
+    ``fold`` may join rows of a block before their texts are derived, ``names`` are coded names.
     """
-    spread = _with_codes(list_texts(people.repartition(*BLOCK_KEYS), source, rules), "", rules)
-    return spread.join(_with_codes(consumer_texts(consumers, rules), _CONSUMER_SIDE, rules), BLOCK_KEYS)
+    placed = people.repartition(*BLOCK_KEYS)
+    spread = list_texts(fold(placed) if fold else placed, source, rules)
+    right = _with_codes(consumer_texts(consumers, rules), _CONSUMER_SIDE, rules, names)
+    return _with_codes(spread, "", rules, names).join(right, BLOCK_KEYS)
 
 
 # ---------------------------------------------------------------- best match
@@ -299,6 +344,23 @@ def _same_house_number(a: Column, b: Column) -> Column:
     return F.regexp_extract(a, number, 1) == F.regexp_extract(b, number, 1)
 
 
+def _folded(
+    people: DataFrame, person: list[str], rest: list[str], tie_break: list[str], keys: list[str]
+) -> DataFrame:
+    """One row per person, with the other columns of the row that ranks first among its copies.
+
+    Copies of a person have the same texts, so they differ in the tie-break only. ``keys``
+    follow from the person.
+    """
+    row, order = (
+        F.struct(*[F.col(quoted(c)) for c in columns], F.lit(0).alias("_rc_none"))
+        for columns in (rest, tie_break)
+    )
+    return people.groupBy(*[F.col(quoted(c)) for c in person], *keys).agg(
+        F.min_by(row, order).alias("_rc_rest")
+    )
+
+
 def _ranked(pairs: DataFrame, person: list[str], tie_break: list[str]) -> DataFrame:
     """The first pair of each person: by match type, overall score, match, then list columns."""
     order = [
@@ -364,13 +426,7 @@ def _best_in_large_blocks(
     of a struct ordered like the ranking, which the aggregations fold before the shuffle.
     """
     keys = [*BLOCK_KEYS, ADDRESS, LAST, FIRST]
-    folded = people.groupBy(*[F.col(quoted(c)) for c in person], *keys).agg(
-        F.min_by(
-            F.struct(*[F.col(quoted(c)) for c in rest], F.lit(0).alias("_rc_none")),
-            F.struct(*[F.col(quoted(c)) for c in tie_break], F.lit(0).alias("_rc_none")),
-        ).alias("_rc_rest")
-    )
-    folded = materialize(folded)
+    folded = materialize(_folded(people, person, rest, tie_break, keys))
     consumer = F.struct(*CONSUMER_COLUMNS)
 
     def least_consumer(*columns: str) -> DataFrame:
@@ -486,10 +542,20 @@ def best_matches(
     tie_break = _orderable(people, rest)
     output = [F.col(quoted(c)) for c in (*columns, *MATCH_COLUMNS)]
 
+    def one_per_person(rows: DataFrame) -> DataFrame:
+        # The shuffle by block places all copies of a person in one task already.
+        return _folded(rows, person, rest, tie_break, list(BLOCK_KEYS)).select(
+            *[F.col(quoted(c)) for c in person],
+            *[F.col("_rc_rest")[c].alias(c) for c in rest],
+            *BLOCK_KEYS,
+        )
+
     def best_of_all_pairs(left: DataFrame, right: DataFrame) -> DataFrame:
-        scored = _scored(candidate_pairs(left, right, source, rules), rules)
+        pairs = candidate_pairs(left, right, source, rules, one_per_person, names)
+        scored = _scored(pairs, rules)
         return _ranked(scored, person, tie_break).select(*output)
 
+    names = name_codes(people, consumers, source, rules) if rules.phonetic else None
     people = with_partners(people, consumers, BLOCK_KEYS, blocks.lonely)
     large = blocks.large
     if large is None:

@@ -74,6 +74,39 @@ def test_names_are_coded_per_row(spark):
     assert all(name in plan for name in (m.FIRST_CODES, m.C_FIRST_CODES, m.LAST_CODES, m.C_LAST_CODES))
 
 
+def test_names_are_coded_once_per_text(spark, monkeypatch):
+    rows = [("John", "Smith", "1 Elm", "1", "1"), ("JOHN ", "Smyth-Lee", "1 Elm", "1", "1"), (None, "", "2 Elm", "1", "1")] * 3
+    people = spark.createDataFrame(rows, "first_name string, last_name string, address string, zip string, zip4 string")
+    consumers = people.withColumns({"id": F.lit(1), "state": F.lit("OH")})
+    source = m.resolve_mapping(people.columns)
+    sides = m.blocked_list(people, source), m.blocked_consumers(consumers)
+    found = m.name_codes(*sides, source, m.MatchRules())
+    assert sorted((r["is_last"], r["text"]) for r in found.collect()) == [
+        (False, ""), (False, "john"), (True, ""), (True, "smith"), (True, "smyth-lee")]
+    coded = {tuple(r) for r in m.match_people(people, consumers).collect()}
+    monkeypatch.setattr(m, "CODED_NAMES", 4)
+    assert m.name_codes(*sides, source, m.MatchRules()) is None
+    assert {tuple(r) for r in m.match_people(people, consumers).collect()} == coded and len(coded) == 3
+
+
+def test_copies_of_a_person_are_folded_before_pairs_are_made(spark):
+    schema = "row string, first_name string, last_name string, address string, zip string, zip4 string"
+    rows = [(f"{i:02d}", "Ann", "Lee", "1 Elm St", "1", "1") for i in range(20)]
+    people = spark.createDataFrame(rows[::-1], schema).repartition(4)
+    consumers = spark.createDataFrame([("c", *rows[0][1:])], schema.replace("row", "id"))
+    found = m.match_people(people, consumers, rules=m.MatchRules(phonetic=False))
+    assert [(r["row"], r["match_id"]) for r in found.collect()] == [("00", "c")]
+    plan = found._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    join = next(i for i, line in enumerate(plan) if "Join Inner" in line)
+    assert any("min_by" in line for line in plan[join:])
+
+
+def test_cells_are_read_once(spark):
+    for query in (q.geo_flat, q.geo_tier_summary):
+        plan = query(spark, FOLDER)._jdf.queryExecution().optimizedPlan().toString()
+        assert "Generate" not in plan and "parquet" not in plan
+
+
 # ------------------------------------------------ tables
 
 
