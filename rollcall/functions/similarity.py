@@ -237,18 +237,19 @@ def best_edit_score(a: str, b: str, needed: int = 0) -> int:
         return 0
     if a == b:
         return 100
+    words_a, words_b = a.split(), b.split()
+    many = len(words_a) > 1 or len(words_b) > 1
+    shared = set(words_a) & set(words_b)
+    if many and shared and len(shared) in (len(set(words_a)), len(set(words_b))):
+        return 100
     common = _lcs(a, b)
     best = 200 * common // (len(a) + len(b))
-    words_a, words_b = a.split(), b.split()
-    if len(words_a) > 1 or len(words_b) > 1:
+    if many:
         x, y = " ".join(sorted(words_a)), " ".join(sorted(words_b))
         best = max(best, 200 * _lcs(x, y) // max(len(x) + len(y), 1))
-        shared = set(words_a) & set(words_b)
         n = len(" ".join(shared))
         x = " ".join(sorted(set(words_a) - shared))
         y = " ".join(sorted(set(words_b) - shared))
-        if shared and (not x or not y):
-            return 100
         if shared:
             rest = 200 * (n + 1 + _lcs(x, y)) // (2 * n + 2 + len(x) + len(y))
             best = max(best, 200 * n // (2 * n + 1 + min(len(x), len(y))), rest)
@@ -263,6 +264,45 @@ def best_edit_score(a: str, b: str, needed: int = 0) -> int:
     return best
 
 
+def _traits(text: str) -> tuple[int, int, int, frozenset[str]]:
+    """Length, number of words, bag of characters and different words of a text.
+
+    The bag has a bit for each occurrence of a character: the first ones, the second ones and so on,
+    in rows of 64. Characters that share a place only make bags look more alike.
+    """
+    bag, seen = 0, [0] * 64
+    for ch in text:
+        place = ord(ch) % 64
+        bag |= 1 << (place + 64 * seen[place])
+        seen[place] += 1
+    words = text.split()
+    return len(" ".join(words)), len(words), bag, frozenset(words)
+
+
+def _may_reach(a: tuple, b: tuple, needed: int) -> bool:
+    """Whether two texts with these traits can score ``needed``: common characters bound every LCS.
+
+    A bound is only taken where no word occurs twice in a text.
+    """
+    (size_a, n_a, bag_a, words_a), (size_b, n_b, bag_b, words_b) = a, b
+    if n_a != len(words_a) or n_b != len(words_b):
+        return True
+    common = (bag_a & bag_b).bit_count()
+    # A window is no longer than the shorter text and shares at most ``common`` characters with it.
+    best = 200 * common // (min(size_a, size_b) + common or 1)
+    if best >= needed:
+        return True
+    shared = words_a & words_b
+    if not shared:
+        return False  # the whole texts share less than a window may
+    if len(shared) in (n_a, n_b):
+        return True
+    n = sum(map(len, shared)) + len(shared) - 1
+    x, y = size_a - n - 1, size_b - n - 1
+    rest = min(x, y, max(0, common - n - 1))
+    return max(200 * n // (2 * n + 1 + min(x, y)), 200 * (n + 1 + rest) // (2 * n + 2 + x + y)) >= needed
+
+
 def _forms(name: str) -> list[str]:
     return list(dict.fromkeys([name, *(part for part in re.split(r"[\s\-]+", name) if part)]))
 
@@ -283,6 +323,24 @@ def _scorer(score):
     return F.pandas_udf(column_scorer, IntegerType()).asNondeterministic()
 
 
+def _scorer_from(needed: int):
+    """As the scorer of ``best_edit_score``; pairs whose characters rule out ``needed`` are not compared."""
+
+    def column_scorer(a: pd.Series, b: pd.Series) -> pd.Series:
+        traits = lru_cache(maxsize=None)(_traits)  # a text meets many others within an Arrow batch
+
+        @lru_cache(maxsize=None)
+        def known(x: str, y: str) -> int:
+            if x == y:
+                return 100
+            return best_edit_score(x, y, needed) if _may_reach(traits(x), traits(y), needed) else 0
+
+        scores = [known(x, y) if x and y else 0 for x, y in zip(a, b)]
+        return pd.Series(scores, index=a.index, dtype="int32")
+
+    return F.pandas_udf(column_scorer, IntegerType()).asNondeterministic()
+
+
 _whole_text = _scorer(best_edit_score)
 _partial = _scorer(best_partial_score)
 _name_parts = _scorer(best_name_part_score)
@@ -296,7 +354,7 @@ def partial_ratio(a: Column, b: Column) -> Column:
 def edit_score(a: Column, b: Column, needed: int = 0) -> Column:
     """Best of the four similarities; below ``needed`` only known to be below it."""
     if needed:
-        return _scorer(lambda x, y: best_edit_score(x, y, needed))(a, b)
+        return _scorer_from(needed)(a, b)
     return _whole_text(a, b)
 
 

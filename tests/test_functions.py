@@ -1,10 +1,13 @@
 """Column functions and scorers against golden vectors and plain definitions."""
 
+import random
+
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from rollcall.functions import similarity
 from rollcall.functions.names import Header, delimiter_text, safe_name, unique_names
 from rollcall.functions.phonetic import PHONETIC_CODES, phonetic_score
 from rollcall.functions.similarity import (
@@ -220,3 +223,18 @@ def test_header():
 def test_delimiters():
     given_ = [None, "", "tab", "PIPE", "\\t", "\\x01", ";", "||", "§"]
     assert [delimiter_text(d) for d in given_] == [",", ",", "\t", "|", "\t", "\x01", ";", "||", "§"]
+
+
+def test_characters_rule_out_only_scores_below_the_needed_one():
+    rng = random.Random(11)
+    words = "main maine elm oak hill st saint road 12 123 124 apt 4 a aa b avenue n ß é".split()
+    texts = [" ".join(rng.choice(words) for _ in range(rng.randint(1, 5))) for _ in range(150)]
+    ruled_out = 0
+    for a in texts:
+        for b in texts:
+            score = similarity.best_edit_score(a, b)
+            for needed in (60, 85, 92):
+                if a != b and not similarity._may_reach(similarity._traits(a), similarity._traits(b), needed):
+                    assert score < needed
+                    ruled_out += 1
+    assert ruled_out > len(texts) ** 2
