@@ -11,6 +11,7 @@ from pyspark.sql.types import MapType, VariantType
 
 from rollcall.functions.names import Header, quoted
 from rollcall.functions.phonetic import (
+    PHONETIC_CODES,
     PHONETIC_SCORE,
     codes_agree,
     forms_agree,
@@ -62,8 +63,8 @@ CONSUMER_COLUMNS = (
 SCORE_COLUMNS = ("match_first_name_score", "match_last_name_score", "match_address_score")
 MATCH_COLUMNS = (*CONSUMER_COLUMNS, *SCORE_COLUMNS, "match_type", "match_overall_score")
 
-# Distinct names whose codes are broadcast; of more, codes are derived per row.
-CODED_NAMES = 100_000
+# Distinct names, and distinct addresses, whose codes are broadcast; of more, codes are derived per row.
+CODED_NAMES = CODED_ADDRESSES = 100_000
 
 _CONSUMER_SIDE = "_rc_c"
 C_FIRST, C_LAST, C_ADDRESS = (_CONSUMER_SIDE + c for c in (FIRST, LAST, ADDRESS))
@@ -153,6 +154,14 @@ def _agreement(a: Column, b: Column, agree: Column, rules: MatchRules) -> Column
     return _raise_to_phonetic(a, b, edit, agree) if rules.phonetic_decides else edit
 
 
+def _single_agree(a: str, b: str) -> Column:
+    """Whether the codes of two single texts agree: one of each kind, in the same order."""
+    agree = F.lit(False)
+    for kind in range(len(PHONETIC_CODES)):
+        agree = agree | (F.get(F.col(a), F.lit(kind)) == F.get(F.col(b), F.lit(kind)))
+    return agree
+
+
 def _raise_to_phonetic(a: Column, b: Column, edit: Column, agree: Column) -> Column:
     """``edit``, or the phonetic score where that is higher and the texts agree by sound.
 
@@ -247,26 +256,78 @@ def name_codes(
     return coded if coded.count() <= CODED_NAMES else None
 
 
-def _with_codes(
-    df: DataFrame, side: str, rules: MatchRules, names: DataFrame | None = None
-) -> DataFrame:
-    """Phonetic codes of the texts, where they can decide: once per row, not per pair.
+def address_codes(
+    people: DataFrame, consumers: DataFrame, source: Mapping[str, str], rules: MatchRules
+) -> DataFrame | None:
+    """``text, codes``: phonetic codes of the addresses of both blocked sides, once per text.
 
-    Those of names come from :func:`name_codes`, if there is such a table.
+    ``None`` if there are more than ``CODED_ADDRESSES``; texts are counted before they are coded.
     """
-    codes = {}
-    if rules.phonetic and names is not None:
-        for is_last, text, code in ((False, FIRST, FIRST_CODES), (True, LAST, LAST_CODES)):
-            table = names.filter(F.col("is_last") == is_last).select(
-                F.col("text").alias(side + text), F.col("codes").alias(side + code)
-            )
-            df = df.join(F.broadcast(table), side + text, "left")
-    elif rules.phonetic:
-        codes[side + FIRST_CODES] = phonetic_codes(F.array(F.col(side + FIRST)))
-        codes[side + LAST_CODES] = phonetic_codes(name_forms(F.col(side + LAST)))
-    if rules.phonetic_decides:
-        codes[side + ADDRESS_CODES] = phonetic_codes(F.array(F.col(side + ADDRESS)))
-    return df.withColumns(codes) if codes else df
+    columns = ((people, source["address"]), (consumers, CONSUMER_COLUMNS[3]))
+    left, right = (side.select(F.col(quoted(c)).cast("string").alias("address")) for side, c in columns)
+    raw = materialize(left.union(right).distinct())
+    text = normalize_text(F.col("address"), rules.texts.addresses).alias("text")
+    # A text has at least one raw form, and forms of one text are few.
+    if raw.count() > 4 * CODED_ADDRESSES:
+        return None
+    texts = materialize(raw.select(text).distinct().repartition(raw.sparkSession.sparkContext.defaultParallelism))
+    if texts.count() > CODED_ADDRESSES:
+        return None
+    return materialize(texts.withColumn("codes", phonetic_codes(F.array(F.col("text")))))
+
+
+@dataclass(frozen=True)
+class Codes:
+    """Phonetic codes by text: tables of names and of addresses, or None where codes are derived per row."""
+
+    names: DataFrame | None = None
+    addresses: DataFrame | None = None
+
+    @classmethod
+    def of(cls, people: DataFrame, consumers: DataFrame, source: Mapping[str, str], rules: MatchRules) -> Codes:
+        return cls(
+            name_codes(people, consumers, source, rules) if rules.phonetic else None,
+            address_codes(people, consumers, source, rules) if rules.phonetic_decides else None,
+        )
+
+
+def _looked_up(df: DataFrame, table: DataFrame, text: str, code: str) -> DataFrame:
+    coded = table.select(F.col("text").alias(text), F.col("codes").alias(code))
+    return df.join(F.broadcast(coded), text, "left")
+
+
+def _with_name_codes(df: DataFrame, side: str, rules: MatchRules, codes: Codes) -> DataFrame:
+    """Phonetic codes of the names, where they can decide."""
+    if not rules.phonetic:
+        return df
+    if codes.names is None:
+        return df.withColumns(
+            {
+                side + FIRST_CODES: phonetic_codes(F.array(F.col(side + FIRST))),
+                side + LAST_CODES: phonetic_codes(name_forms(F.col(side + LAST))),
+            }
+        )
+    for is_last, text, code in ((False, FIRST, FIRST_CODES), (True, LAST, LAST_CODES)):
+        df = _looked_up(df, codes.names.filter(F.col("is_last") == is_last), side + text, side + code)
+    return df
+
+
+def _with_address_codes(df: DataFrame, side: str, rules: MatchRules, codes: Codes) -> DataFrame:
+    """Phonetic codes of the addresses, where they can decide."""
+    if not rules.phonetic_decides:
+        return df
+    if codes.addresses is None:
+        return df.withColumn(side + ADDRESS_CODES, phonetic_codes(F.array(F.col(side + ADDRESS))))
+    return _looked_up(df, codes.addresses, side + ADDRESS, side + ADDRESS_CODES)
+
+
+def _with_codes(df: DataFrame, side: str, rules: MatchRules, codes: Codes) -> DataFrame:
+    """Codes that pairs bring along: of addresses, and of names that are too many for a table.
+
+    Codes of other names are looked up for the pairs that agree on the address.
+    """
+    df = _with_address_codes(df, side, rules, codes)
+    return df if codes.names is not None else _with_name_codes(df, side, rules, codes)
 
 
 def block_sizes(people: DataFrame, consumers: DataFrame) -> DataFrame:
@@ -311,18 +372,18 @@ def candidate_pairs(
     source: Mapping[str, str],
     rules: MatchRules,
     fold: Callable[[DataFrame], DataFrame] | None = None,
-    names: DataFrame | None = None,
+    codes: Codes = Codes(),
 ) -> DataFrame:
     """All pairs of a blocked list row and a blocked consumer in the same block.
 
     The list is partitioned by block even where Spark can broadcast the consumers: comparing
     texts costs far more than moving rows, and a short list would be scored by one task.
-    ``fold`` may join rows of a block before their texts are derived, ``names`` are coded names.
+    ``fold`` may join rows of a block before their texts are derived, ``codes`` are those known by text.
     """
     placed = people.repartition(*BLOCK_KEYS)
     spread = list_texts(fold(placed) if fold else placed, source, rules)
-    right = _with_codes(consumer_texts(consumers, rules), _CONSUMER_SIDE, rules, names)
-    return _with_codes(spread, "", rules, names).join(right, BLOCK_KEYS)
+    right = _with_codes(consumer_texts(consumers, rules), _CONSUMER_SIDE, rules, codes)
+    return _with_codes(spread, "", rules, codes).join(right, BLOCK_KEYS)
 
 
 # ---------------------------------------------------------------- best match
@@ -375,10 +436,10 @@ def _ranked(pairs: DataFrame, person: list[str], tie_break: list[str]) -> DataFr
     )
 
 
-def _scored(pairs: DataFrame, rules: MatchRules) -> DataFrame:
+def _scored(pairs: DataFrame, rules: MatchRules, codes: Codes) -> DataFrame:
     """Pairs that agree on the address, with all scores; names are scored only for these."""
     address = SCORE_COLUMNS[2]
-    agree = F.arrays_overlap(ADDRESS_CODES, C_ADDRESS_CODES) if rules.phonetic_decides else None
+    agree = _single_agree(ADDRESS_CODES, C_ADDRESS_CODES) if rules.phonetic_decides else None
     if rules.strict_house_number:
         pairs = pairs.filter(_same_house_number(F.col(ADDRESS), F.col(C_ADDRESS)))
     return _typed(
@@ -386,15 +447,17 @@ def _scored(pairs: DataFrame, rules: MatchRules) -> DataFrame:
             address, _agreement(F.col(ADDRESS), F.col(C_ADDRESS), agree, rules)
         ).filter(F.col(address) >= rules.threshold),
         rules,
+        codes,
     )
 
 
-def _typed(pairs: DataFrame, rules: MatchRules) -> DataFrame:
+def _typed(pairs: DataFrame, rules: MatchRules, codes: Codes) -> DataFrame:
     first, last, address = SCORE_COLUMNS
-    # Codes come with the rows of blocks; of narrowed blocks only the best pairs get here.
-    coded = FIRST_CODES in pairs.columns
-    first_agree = F.arrays_overlap(FIRST_CODES, C_FIRST_CODES) if coded else None
-    last_agree = F.arrays_overlap(LAST_CODES, C_LAST_CODES) if coded else None
+    if FIRST_CODES not in pairs.columns:
+        for side in ("", _CONSUMER_SIDE):
+            pairs = _with_name_codes(pairs, side, rules, codes)
+    first_agree = _single_agree(FIRST_CODES, C_FIRST_CODES) if rules.phonetic else None
+    last_agree = F.arrays_overlap(LAST_CODES, C_LAST_CODES) if rules.phonetic else None
     scored = pairs.withColumns(
         {
             first: name_score(F.col(FIRST), F.col(C_FIRST), False, rules.phonetic, first_agree),
@@ -415,18 +478,20 @@ def _best_in_large_blocks(
     consumers: DataFrame,
     person: list[str],
     rest: list[str],
-    tie_break: list[str],
     rules: MatchRules,
+    codes: Codes,
 ) -> DataFrame:
     """Best match where a block is too large to compare all its pairs.
 
-    Copies are folded first. Then addresses are paired, last names within paired addresses and
+    ``people`` are folded. Addresses are paired, last names within paired addresses and
     first names within paired last names, each on distinct texts, so that people never meet
     consumers they cannot match. The best consumer of each level is carried along as the least
     of a struct ordered like the ranking, which the aggregations fold before the shuffle.
+    Texts of either side are derived once and stored.
     """
     keys = [*BLOCK_KEYS, ADDRESS, LAST, FIRST]
-    folded = materialize(_folded(people, person, rest, tie_break, keys))
+    folded = materialize(people.select(*[F.col(quoted(c)) for c in (*person, *rest)], *keys))
+    consumers = materialize(consumers)
     consumer = F.struct(*CONSUMER_COLUMNS)
 
     def least_consumer(*columns: str) -> DataFrame:
@@ -445,20 +510,29 @@ def _best_in_large_blocks(
     # Addresses.
     at_address = least_consumer(C_ADDRESS)
     address_pairs = pairs(
-        folded.select(*BLOCK_KEYS, ADDRESS).distinct(),
-        consumers.select(*BLOCK_KEYS, C_ADDRESS).distinct(),
+        _with_address_codes(folded.select(*BLOCK_KEYS, ADDRESS).distinct(), "", rules, codes),
+        _with_address_codes(consumers.select(*BLOCK_KEYS, C_ADDRESS).distinct(), _CONSUMER_SIDE, rules, codes),
         BLOCK_KEYS, ADDRESS, C_ADDRESS, rules.threshold,
     )
     if rules.strict_house_number:
         address_pairs = address_pairs.filter(_same_house_number(F.col(ADDRESS), F.col(C_ADDRESS)))
+    sounds = _single_agree(ADDRESS_CODES, C_ADDRESS_CODES) if rules.phonetic_decides else None
     address_pairs = materialize(
-        address_pairs.withColumn(
-            "_rc_a",
-            _agreement(
-                F.col(ADDRESS), F.col(C_ADDRESS), codes_agree(F.col(ADDRESS), F.col(C_ADDRESS)), rules
-            ),
-        ).filter(F.col("_rc_a") >= rules.threshold)
+        address_pairs.withColumn("_rc_a", _agreement(F.col(ADDRESS), F.col(C_ADDRESS), sounds, rules))
+        .filter(F.col("_rc_a") >= rules.threshold)
+        .select(*BLOCK_KEYS, ADDRESS, C_ADDRESS, "_rc_a")
     )
+
+    def named(found: DataFrame, text: str, other: str, code: str, is_last: bool) -> tuple[DataFrame, Column | None]:
+        """Pairs with the codes of their names, and whether these sound alike, if they are in the table."""
+        if not rules.phonetic or codes.names is None:
+            return found, None
+        table = codes.names.filter(F.col("is_last") == is_last)
+        for side, column in (("", text), (_CONSUMER_SIDE, other)):
+            found = _looked_up(found, table, column, side + code)
+        other_code = _CONSUMER_SIDE + code
+        return found, F.arrays_overlap(code, other_code) if is_last else _single_agree(code, other_code)
+
     by_address = best(
         address_pairs.join(at_address, [*BLOCK_KEYS, C_ADDRESS]),
         F.col("_rc_a").cast("double"), [ADDRESS], "_rc_by_address",
@@ -472,9 +546,12 @@ def _best_in_large_blocks(
         consumers.filter(F.col(C_LAST) != "").select(*BLOCK_KEYS, C_ADDRESS, C_LAST).distinct(),
         [*BLOCK_KEYS, C_ADDRESS], LAST, C_LAST, last_needed, parts=True,
     )
+    columns = last_pairs.columns
+    last_pairs, sounds = named(last_pairs, LAST, C_LAST, LAST_CODES, True)
     last_pairs = materialize(
-        last_pairs.withColumn("_rc_l", name_score(F.col(LAST), F.col(C_LAST), True, rules.phonetic))
+        last_pairs.withColumn("_rc_l", name_score(F.col(LAST), F.col(C_LAST), True, rules.phonetic, sounds))
         .filter(F.col("_rc_l") >= last_needed)
+        .select(*columns, "_rc_l")
     )
     by_household = best(
         last_pairs.filter(F.col("_rc_l") >= rules.household).join(
@@ -494,8 +571,9 @@ def _best_in_large_blocks(
         .distinct(),
         [*BLOCK_KEYS, C_ADDRESS, C_LAST], FIRST, C_FIRST, rules.threshold,
     )
+    first_pairs, sounds = named(first_pairs, FIRST, C_FIRST, FIRST_CODES, False)
     first_pairs = first_pairs.withColumn(
-        "_rc_f", name_score(F.col(FIRST), F.col(C_FIRST), False, rules.phonetic)
+        "_rc_f", name_score(F.col(FIRST), F.col(C_FIRST), False, rules.phonetic, sounds)
     ).filter(F.col("_rc_f") >= rules.threshold)
     by_person = best(
         first_pairs.join(
@@ -517,12 +595,12 @@ def _best_in_large_blocks(
     match = F.col("_rc_best._rc_match")
     unpacked = chosen.select(
         *[F.col(quoted(c)) for c in person],
-        *[F.col("_rc_rest")[c].alias(c) for c in rest],
+        *[F.col(quoted(c)) for c in rest],
         *keys,
         *[match[c].alias(c) for c in CONSUMER_COLUMNS],
         F.col("_rc_best._rc_a").alias(SCORE_COLUMNS[2]),
     )
-    return _typed(consumer_texts(unpacked, rules), rules)
+    return _typed(consumer_texts(unpacked, rules), rules, codes)
 
 
 def best_matches(
@@ -550,23 +628,30 @@ def best_matches(
             *BLOCK_KEYS,
         )
 
-    def best_of_all_pairs(left: DataFrame, right: DataFrame) -> DataFrame:
-        pairs = candidate_pairs(left, right, source, rules, one_per_person, names)
-        scored = _scored(pairs, rules)
+    def best_of_all_pairs(
+        left: DataFrame, right: DataFrame, fold: Callable[[DataFrame], DataFrame] | None = None
+    ) -> DataFrame:
+        pairs = candidate_pairs(left, right, source, rules, fold, codes)
+        scored = _scored(pairs, rules, codes)
         return _ranked(scored, person, tie_break).select(*output)
 
-    names = name_codes(people, consumers, source, rules) if rules.phonetic else None
-    people = with_partners(people, consumers, BLOCK_KEYS, blocks.lonely)
     large = blocks.large
     if large is None:
-        return best_of_all_pairs(people, consumers)
+        codes = Codes.of(people, consumers, source, rules)
+        people = with_partners(people, consumers, BLOCK_KEYS, blocks.lonely)
+        return best_of_all_pairs(people, consumers, one_per_person)
+    # Folded by person, not by block, so that copies in a hot block do not meet in one task. What
+    # follows reads the list several times, so its rows are stored.
+    people = materialize(one_per_person(with_partners(people, consumers, BLOCK_KEYS, blocks.lonely)))
+    consumers = materialize(consumers)
+    codes = Codes.of(people, consumers, source, rules)
     small = best_of_all_pairs(
         people.join(large, BLOCK_KEYS, "left_anti"), consumers.join(large, BLOCK_KEYS, "left_anti")
     )
     narrowed = _best_in_large_blocks(
         list_texts(people.join(large, BLOCK_KEYS, "left_semi"), source, rules),
         consumer_texts(consumers.join(large, BLOCK_KEYS, "left_semi"), rules),
-        person, rest, tie_break, rules,
+        person, rest, rules, codes,
     )
     return small.unionByName(narrowed.select(*output))
 

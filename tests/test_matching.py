@@ -252,3 +252,25 @@ def test_list_rows_of_blocks_without_consumers_go_before_the_shuffle(spark, monk
     lines = text.split("\n")
     shuffle = next(i for i, line in enumerate(lines) if "REPARTITION_BY_COL" in line)
     assert any("LeftSemi" in line for line in lines[shuffle:])
+
+
+def test_address_codes_come_once_per_text_or_per_row(spark, monkeypatch):
+    rng = random.Random(7)
+    columns = "{} string, first_name string, last_name string, address string, zip string, zip4 string"
+    people = spark.createDataFrame(random_people(rng, 80, "p") + [("x", "Al", "Lee", None, "43001", "")], columns.format("row"))
+    consumers = spark.createDataFrame(random_people(rng, 80, "c"), columns.format("id"))
+    source, rules = m.resolve_mapping(people.columns), MatchRules(85)
+    sides = m.blocked_list(people, source), m.blocked_consumers(consumers)
+    table = m.address_codes(*sides, source, rules)
+    texts = [r["text"] for r in table.collect()]
+    assert len(texts) == len(set(texts)) and all(len(r["codes"]) == 4 for r in table.collect())
+
+    def found(pair_limit):
+        rows = match_people(people, consumers, rules=MatchRules(85, pair_limit=pair_limit)).collect()
+        return {tuple(r) for r in rows}
+
+    coded = found(250_000)
+    assert coded and coded == found(10)
+    monkeypatch.setattr(m, "CODED_ADDRESSES", len(texts) - 1)
+    assert m.address_codes(*sides, source, rules) is None
+    assert coded == found(250_000) == found(10)
