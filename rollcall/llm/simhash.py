@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StructType
 
-from rollcall.llm.common import free_name, landed, texts
+from rollcall.llm.common import free_name, landed, shuffles_freed, texts
 from rollcall.llm.components import components
 from rollcall.storage import materialize
 
@@ -496,6 +496,16 @@ def near_copies_removed(documents: DataFrame, similarity: float = 0.8) -> DataFr
     one with the smallest hash of its text stays, of equal rows one. A null id stays only if no
     row of its group has one. All columns are returned as they came.
     """
+    repeated = not documents.groupBy("doc_id").count().filter("count > 1").isEmpty()
+    with shuffles_freed(documents.sparkSession):
+        nodes, roots = _near_groups(documents, similarity, repeated)
+    placed = nodes.select("node", "best").join(roots, "node", "left").select(F.coalesce("root", "node").alias("root"), "best")
+    stay = placed.groupBy("root").agg(F.min("best").alias("best")).select("best.doc_id", "best.text_hash")
+    return _rows_of(documents, stay, repeated)
+
+
+def _near_groups(documents: DataFrame, similarity: float, repeated: bool) -> tuple[DataFrame, DataFrame]:
+    """Stored (node, best) of the different texts, and (node, root) of those that have near copies."""
     signed = texts(documents).select(_order().alias("order"), _signature("text").alias("s"))
     texts_ = signed.select("order", "s.*").groupBy("node").agg(
         F.first("prints").alias("prints"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"), F.min("order").alias("best")
@@ -504,15 +514,11 @@ def near_copies_removed(documents: DataFrame, similarity: float = 0.8) -> DataFr
     nodes = landed(texts_.drop("node").withColumn("node", F.monotonically_increasing_id()), "signatures")
     near = candidate_groups(nodes)
     members = nodes.select("node", "sketch", "best.doc_id", "best.text_hash").join(near, "node")
-    repeated = not documents.groupBy("doc_id").count().filter("count > 1").isEmpty()
     # Stored, so that sets are made once.
     groups = _grid(landed(_with_shingles(texts(documents), members, repeated), "shingles"))
     linked = _link_groups(similar(similarity), _sets)
     links = groups.repartition("key").sortWithinPartitions("key", "node").mapInArrow(linked, "a long, b long")
-    roots = components(links)
-    placed = nodes.select("node", "best").join(roots, "node", "left").select(F.coalesce("root", "node").alias("root"), "best")
-    stay = placed.groupBy("root").agg(F.min("best").alias("best")).select("best.doc_id", "best.text_hash")
-    return _rows_of(documents, stay, repeated)
+    return nodes, components(links)
 
 
 def _with_shingles(documents: DataFrame, members: DataFrame, repeated: bool) -> DataFrame:

@@ -1,4 +1,5 @@
 import random
+import time
 
 import numpy as np
 import pytest
@@ -244,3 +245,26 @@ def test_a_large_group_of_near_copies_gives_few_links(spark, monkeypatch):
     # At once every node has links to the smallest node of each of its many keys.
     at_once = s.fingerprint_links(nodes, s.MOST_BITS).unionByName(s.band_links(nodes)).distinct().count()
     assert sum(given) < 8 * 400 < at_once
+
+
+def test_near_copies_leave_no_shuffle_files(spark):
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffles():
+        names = [f.getName() for f in (files.apply(i) for files in [disk.getAllFiles()] for i in range(files.size()))]
+        return {name.split("_")[1] for name in names if name.startswith("shuffle_")}
+
+    words = [f"w{i}" for i in range(60)]
+    rows = [(i, " ".join(words[: 60 - i % 3]) if i < 20 else f"{i} " * 30) for i in range(40)]
+    before, conf = shuffles(), spark.conf.get(key, "false")
+    kept = s.near_copies_removed(spark.createDataFrame(rows, "doc_id long, text string"))
+    left = shuffles() - before
+    for _ in range(50):
+        if len(left) <= 1:
+            break
+        time.sleep(0.2)
+        left = shuffles() - before
+    assert len(left) <= 1  # of the look for repeated ids
+    assert spark.conf.get(key, "false") == conf
+    assert kept.count() == kept.count() == 21
