@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
-from rollcall.llm.common import landed
+from rollcall.llm.common import landed, small_batches
 
 #: Code points from which on a key counts, and documents in which it has to occur.
 KEY_LENGTH, DOCUMENTS = 20, 3
@@ -33,8 +33,8 @@ DIGEST = 16
 BITS_PER_ENTRY, LEAST_BITS, MOST_BITS, PROBES = 16, 1 << 16, 1 << 28, 3
 #: Bytes of the pieces in which filters are merged.
 SEGMENT = 1 << 15
-#: Rows of texts handled at once.
-SLICE = 500
+#: Rows of texts handled at once, and hashes entered in a filter or looked up at once.
+SLICE, HASHES = 500, 1 << 16
 
 
 def line_key(line: str, least: int = KEY_LENGTH) -> bytes | None:
@@ -55,10 +55,11 @@ class BloomPair:
         self.once, self.twice = np.zeros(bits // 8, np.uint8), np.zeros(bits // 8, np.uint8)
 
     def add(self, hashes: np.ndarray) -> None:
-        values, counts = np.unique(hashes, return_counts=True)
-        again = holds(self.once, values) | (counts > 1)
-        _enter(self.twice, values[again])
-        _enter(self.once, values)
+        for start in range(0, len(hashes), HASHES):
+            values, counts = np.unique(hashes[start : start + HASHES], return_counts=True)
+            again = holds(self.once, values) | (counts > 1)
+            _enter(self.twice, values[again])
+            _enter(self.once, values)
 
     def segments(self) -> Iterator[pa.RecordBatch]:
         """(segment, once, twice) of the pieces in which something is set."""
@@ -84,8 +85,11 @@ def _enter(filter_: np.ndarray, hashes: np.ndarray) -> None:
 
 def holds(filter_: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     """Whether a filter may hold each hash."""
-    at = _places(len(filter_) * 8, hashes)
-    return (filter_[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1).all(axis=1)
+    found = np.empty(len(hashes), bool)
+    for start in range(0, len(hashes), HASHES):
+        at = _places(len(filter_) * 8, hashes[start : start + HASHES])
+        found[start : start + HASHES] = (filter_[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1).all(axis=1)
+    return found
 
 
 def filter_bits(entries: int, most: int = MOST_BITS) -> int:
@@ -115,10 +119,16 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out()
 
 
+def _few_tasks(rows: DataFrame) -> int:
+    """Tasks for narrow rows: some for each core, whatever the number of files or shuffle partitions."""
+    return 4 * rows.sparkSession.sparkContext.defaultParallelism
+
+
 def bloom_filter(rows: DataFrame, hashes: Callable[[pa.RecordBatch], np.ndarray], bits: int, kind: str) -> np.ndarray:
     """The filter ``kind`` (once or twice) of the hashes in ``rows``, of at most ``MOST_BITS`` bits.
 
-    Few tasks fill filters, so that what is merged does not grow with the number of files.
+    Few tasks fill filters, so that what is merged does not grow with the number of files. All its
+    pieces come to the driver in one job, not in one for each partition.
     """
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -128,11 +138,10 @@ def bloom_filter(rows: DataFrame, hashes: Callable[[pa.RecordBatch], np.ndarray]
         yield from pair.segments()
 
     schema = "segment long, once binary, twice binary"
-    tasks = 4 * rows.sparkSession.sparkContext.defaultParallelism
-    filled = rows.coalesce(tasks).mapInArrow(fill, schema)
+    filled = rows.coalesce(_few_tasks(rows)).mapInArrow(fill, schema)
     merged = filled.repartition("segment").sortWithinPartitions("segment").mapInArrow(_merge, schema)
     found = np.zeros(bits // 8, np.uint8)
-    for row in merged.select("segment", kind).toLocalIterator():
+    for row in merged.select("segment", kind).collect():
         found[row[0] * SEGMENT : (row[0] + 1) * SEGMENT] = np.frombuffer(row[1], np.uint8)
     return found
 
@@ -229,6 +238,7 @@ def deduplicated_lines(
     are one document that comes before all others. Null and empty texts are one empty line and
     become an empty text. Other columns are left out; an empty table gives no rows.
     """
+    small_batches(documents.sparkSession)
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn(
         "spot", F.xxhash64("doc_id", "text")
     )
@@ -238,7 +248,8 @@ def deduplicated_lines(
     suspects, confirmed = repeated_lines(keys, filter_bits(entries // DIGEST, most_bits), copies)
     # A text's keys are as many as its lines at most; hot keys are split by the join's skew handling.
     lost = suspects.join(confirmed, "key").filter(~F.col("doc_id").eqNullSafe(F.col("keep")))
-    lost = landed(lost.groupBy("doc_id", "spot").agg(F.collect_set("key").alias("keys")), "lost")
+    lost = lost.groupBy("doc_id", "spot").agg(F.collect_set("key").alias("keys"))
+    lost = landed(lost.coalesce(_few_tasks(lost)), "lost")
     spots = bloom_filter(lost, _spot_hashes, filter_bits(lost.count(), most_bits), "once")
     losing = rows.sparkSession.sparkContext.broadcast(spots)
 

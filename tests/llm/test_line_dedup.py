@@ -5,6 +5,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from rollcall.llm import line_dedup as ld
 from tests.llm.helpers import DOCUMENTS, SMALL, clashing, documents, odd_documents
@@ -112,3 +113,35 @@ def test_filters_never_miss():
     pair.add(np.array([5, 5], np.uint64))
     assert ld.holds(pair.twice, np.array([5], np.uint64)).all()
     assert ld.filter_bits(0) == ld.LEAST_BITS and ld.filter_bits(10**12) == ld.MOST_BITS and ld.filter_bits(1 << 20) == 1 << 24
+
+
+def test_hashes_are_entered_and_looked_up_a_part_at_a_time(monkeypatch):
+    monkeypatch.setattr(ld, "HASHES", 7)
+    sizes = []
+    places = ld._places
+    monkeypatch.setattr(ld, "_places", lambda bits, hashes: (sizes.append(len(hashes)), places(bits, hashes))[1])
+    values = np.random.default_rng(4).integers(0, 1 << 63, 100, dtype=np.uint64)
+    pair = ld.BloomPair(1 << 16)
+    pair.add(np.r_[values, values[:30]])
+    assert ld.holds(pair.once, values).all() and ld.holds(pair.twice, values[:30]).all()
+    assert not ld.holds(pair.twice, values[30:]).all()
+    assert ld.holds(pair.once, values[:0]).tolist() == [] and max(sizes) <= 7
+
+
+def test_jobs_do_not_grow_with_partitions(spark):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    keys = spark.range(3000).select(F.xxhash64("id").alias("spot")).repartition(16)
+    context = spark.sparkContext
+    context.setJobGroup("filter", "filter")
+    filter_ = ld.bloom_filter(keys, ld._spot_hashes, 1 << 20, "once")
+    jobs = context.statusTracker().getJobIdsForGroup("filter")
+    context.setLocalProperty("spark.jobGroup.id", None)
+    assert ld.holds(filter_, np.array([r.spot for r in keys.collect()]).view(np.uint64)).all()
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(jobs) <= 3  # one for each shuffle partition before
+
+
+def test_texts_go_to_python_in_small_batches(spark):
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    ld.deduplicated_lines(documents(spark, [LONG] * 3))
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= 2_000
