@@ -11,6 +11,7 @@ group is bounded, and a handful of sequences is left unfilled, however large the
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -28,6 +29,12 @@ END = 0
 GROUP = 20_000
 #: Words of a generation whose ids a worker remembers, of two, and characters of texts encoded at once.
 REMEMBERED, SLICE = 300_000, 2_000_000
+#: Plain words that go to the tokenizer as one text.
+TOGETHER = 10_000
+#: The tokenizer's pieces of plain words: of letters that stay one letter each in lower case, of digits and ASCII signs.
+PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zÀ-ÖØ-öø-ÿ]+|[0-9]|[!-/:-@\[-`{-~]+")
+PLAIN = re.compile(r"[!-@\[-~À-ÖØ-öø-ÿ]+")
+ENDING = "</w>"
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 _encoders: dict[str, WordEncoder] = {}
@@ -66,7 +73,8 @@ class WordEncoder:
     lowered first, as far as they are ASCII; in others the tokenizer composes letters and marks before
     it lowers them, so their words stay as they are. A full stop or comma after an ASCII
     letter or digit is always a piece of its own and is encoded apart. New words of all texts that are
-    encoded together go to the tokenizer in one call.
+    encoded together go to the tokenizer in one call; plain ones as few texts, whose ids are cut by the
+    number of pieces of each word, as the last id of a piece is one that ends with ``ENDING``.
     """
 
     def __init__(self, path: str) -> None:
@@ -76,23 +84,40 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content.lower().encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.known = Remembered()
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.ending = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.ending[[i for token, i in vocabulary.items() if token.endswith(ENDING)]] = True
+
+    def _plain_ids(self, words: list[str]) -> Iterator[bytes]:
+        """Ids of plain words."""
+        parts = [words[at : at + TOGETHER] for at in range(0, len(words), TOGETHER)]
+        for part, ids in zip(parts, self._ids([" ".join(part) for part in parts]), strict=True):
+            ends = 4 * np.flatnonzero(self.ending[np.frombuffer(ids, dtype="<u4")]) + 4
+            pieces = np.cumsum([1 if w.isalpha() else len(PIECES.findall(w)) for w in part])
+            cuts = ends[pieces - 1].tolist()
+            if pieces[-1] != len(ends) or cuts[-1] != len(ids):
+                raise ValueError("the tokenizer splits words otherwise")
+            yield from (ids[start:end] for start, end in zip([0, *cuts[:-1]], cuts, strict=True))
 
     def _ids(self, words: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
         return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
 
     def _learn(self, words: set[bytes]) -> None:
-        known = self.known
-        new = [w for w in words if not known.has(w)]
+        known, older = self.known, self.known.older
+        new = [w for w in words if w not in known and w not in older]
         if not new:
             return
-        ended = [w[-1] in b".," and w[-2:-1].isalnum() for w in new]
-        cores = [w[:-1] if e else w for w, e in zip(new, ended, strict=True)]
-        fresh = sorted({c for c in (*cores, b".", b",") if not known.has(c)})
-        known.update(zip(fresh, self._ids([c.decode() for c in fresh]), strict=True))
-        for word, core, end in zip(new, cores, ended, strict=True):
-            if end:
-                known[word] = known[core] + known[word[-1:]]
+        ended = [w for w in new if w[-1] in b".," and w[-2:-1].isalnum()]
+        cores = {b".", b",", *new}.difference(ended).union([w[:-1] for w in ended])
+        fresh = [c for c in cores if c not in known and c not in older]
+        fresh = [c.decode() for c in fresh]
+        plain = [c for c in fresh if PLAIN.fullmatch(c)]
+        others = list(set(fresh).difference(plain))
+        known.update(zip([c.encode() for c in plain], self._plain_ids(plain), strict=True))
+        known.update(zip([c.encode() for c in others], self._ids(others), strict=True))
+        for word in ended:
+            known[word] = known[word[:-1]] + known[word[-1:]]
 
     def encode_all(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""

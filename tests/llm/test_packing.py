@@ -51,6 +51,32 @@ def test_ids_equal_the_tokenizer():
         assert np.frombuffer(encoder.encode(text), dtype="<u4").tolist() == whole, text
 
 
+def odd_words(n, seed=5):
+    rng = random.Random(seed)
+    parts = ["a", "th", "ion", "é", "Ç", "ß", "ÿ", "µ", "ª", "'", "'s", "'LL", "###", ".", ",", "-", "<|", "|>", "</w>", "7", "42", "Z", "\u0130", "\u0301", "中", "\U0001f600", "×", "_", "\\"]
+    return ["".join(rng.choice(parts) for _ in range(rng.randint(1, 6))) for _ in range(n)]
+
+
+@pytest.mark.parametrize("together", [1, 7, 10_000])
+def test_ids_of_odd_words_equal_the_tokenizer(monkeypatch, together):
+    monkeypatch.setattr(p, "TOGETHER", together, raising=False)
+    encoder = p.WordEncoder(PATH)
+    words = odd_words(3000)
+    texts = [" ".join(words[at : at + 50]) for at in range(0, len(words), 50)] + words[:300]
+    found = encoder.encode_all(texts)
+    for text, ids in zip(texts, found, strict=True):
+        assert np.frombuffer(ids, dtype="<u4").tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids, text
+
+
+def test_plain_words_go_to_the_tokenizer_as_few_texts(monkeypatch):
+    encoder = p.WordEncoder(PATH)
+    sent = []
+    ids = encoder._ids
+    monkeypatch.setattr(encoder, "_ids", lambda words: (sent.extend(words), ids(words))[1])
+    encoder.encode_all([" ".join(f"{a}{b}{c}é###" for a in "abcdefgh" for b in "ijklmnop" for c in "qrstuvwx")])
+    assert 0 < len(sent) < 10  # a text for each word before
+
+
 def test_ids_stay_right_when_words_are_forgotten(monkeypatch):
     monkeypatch.setattr(p, "REMEMBERED", 3)
     test_ids_equal_the_tokenizer()
