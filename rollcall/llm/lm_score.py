@@ -17,7 +17,7 @@ from __future__ import annotations
 import zlib
 from collections import Counter
 from collections.abc import Iterator
-from itertools import repeat
+from itertools import chain, compress, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -83,9 +83,12 @@ class Vocabulary:
         self.shares = np.r_[-np.log(max(1, kinds - len(words))), np.log(counts) - np.log(sums[classes])]
         self.sums = sums
 
+    def numbers(self, words: list[str]) -> np.ndarray:
+        """Word numbers; 0 is unknown."""
+        return np.fromiter(map(self.known.get, words, repeat(0)), np.int64, len(words))
+
     def read(self, text: str | None) -> np.ndarray:
-        """Word numbers of a text; 0 is unknown."""
-        return np.array(list(map(self.known.get, words_of(text), repeat(0))), dtype=np.int64)
+        return self.numbers(words_of(text))
 
 
 def vocabulary(documents: DataFrame, counts: DataFrame | None = None) -> Vocabulary:
@@ -124,8 +127,11 @@ _SIDES = np.array([*range(-WINDOW, 0), *range(1, WINDOW + 1)])
 
 
 def _softmax(x: np.ndarray) -> np.ndarray:
-    x = np.exp(x - x.max(axis=1, keepdims=True))
-    return x / x.sum(axis=1, keepdims=True)
+    """In place."""
+    x -= x.max(axis=1, keepdims=True)
+    np.exp(x, out=x)
+    x /= x.sum(axis=1, keepdims=True)
+    return x
 
 
 def class_log_probabilities(weights: Weights, around: np.ndarray, wanted: np.ndarray) -> np.ndarray:
@@ -135,47 +141,60 @@ def class_log_probabilities(weights: Weights, around: np.ndarray, wanted: np.nda
     for at in range(0, len(wanted), BLOCK):
         own, aim = around[at : at + BLOCK], wanted[at : at + BLOCK]
         hidden = sum(tables[side].take(own[:, side], axis=0) for side in range(2 * WINDOW)) + weights["bias"]
-        x = np.tanh(hidden) @ weights["out"] + weights["prior"]
+        x = np.tanh(hidden, out=hidden) @ weights["out"]
+        x += weights["prior"]
         x -= x.max(axis=1, keepdims=True)
-        out[at : at + len(aim)] = x[np.arange(len(aim)), aim] - np.log(np.exp(x).sum(axis=1))
+        own_class = x[np.arange(len(aim)), aim]
+        out[at : at + len(aim)] = own_class - np.log(np.exp(x, out=x).sum(axis=1))
     return out
 
 
 class Trainer:
-    """Adam on cross-entropy."""
+    """Adam on cross-entropy; the weights are views of one vector, which a step changes at once."""
 
     def __init__(self, weights: Weights) -> None:
-        self.weights = {n: w.copy() for n, w in weights.items()}
-        self.first = {n: np.zeros_like(w) for n, w in weights.items()}
-        self.second = {n: np.zeros_like(w) for n, w in weights.items()}
+        self.all = flat(weights)
+        ends = np.cumsum([weights[n].size for n in SHAPES])
+        self.weights = {n: v.reshape(s) for (n, s), v in zip(SHAPES.items(), np.split(self.all, ends[:-1]), strict=True)}
+        self.first, self.second = np.zeros_like(self.all), np.zeros_like(self.all)
         self.steps = self.seen = 0
 
     def gradients(self, around: np.ndarray, wanted: np.ndarray) -> Weights:
         w = self.weights
-        inputs = w["embed"][around].reshape(len(wanted), -1)
+        inputs = w["embed"].take(around, axis=0).reshape(len(wanted), -1)
         mix = w["mix"].reshape(-1, HIDDEN)
-        hidden = np.tanh(inputs @ mix + w["bias"])
-        error = _softmax(hidden @ w["out"] + w["prior"])
+        hidden = inputs @ mix
+        hidden += w["bias"]
+        np.tanh(hidden, out=hidden)
+        error = hidden @ w["out"]
+        error += w["prior"]
+        error = _softmax(error)
         error[np.arange(len(wanted)), wanted] -= 1
         error /= len(wanted)
         back = (error @ w["out"].T) * (1 - hidden**2)
         to_inputs = (back @ mix.T).reshape(-1, EMBEDDING)
-        # Sums by class: of each class's run in the order of classes.
-        order = np.argsort(around, axis=None, kind="stable")
-        classes, starts = np.unique(around.ravel()[order], return_index=True)
+        # Sums by class: of each class's run in the order of classes; short numbers are sorted by digits.
+        order = np.argsort(around.astype(np.int16), axis=None, kind="stable")
+        counts = np.bincount(around.ravel(), minlength=CLASSES + 1)
+        classes = np.flatnonzero(counts)
         embed = np.zeros_like(w["embed"])
-        embed[classes] = np.add.reduceat(to_inputs[order], starts)
+        embed[classes] = np.add.reduceat(to_inputs.take(order, axis=0), (np.cumsum(counts) - counts)[classes])
         return {"embed": embed, "mix": (inputs.T @ back).reshape(w["mix"].shape), "bias": back.sum(0), "out": hidden.T @ error, "prior": error.sum(0)}
 
     def step(self, around: np.ndarray, wanted: np.ndarray) -> None:
         self.steps += 1
         self.seen += len(wanted)
         rate = RATE / (1 + self.steps / 500)
-        for n, g in self.gradients(around, wanted).items():
-            self.first[n] += 0.1 * (g - self.first[n])
-            self.second[n] += 0.001 * (g * g - self.second[n])
-            scale = np.sqrt(self.second[n] / (1 - 0.999**self.steps)) + 1e-8
-            self.weights[n] -= rate * self.first[n] / (1 - 0.9**self.steps) / scale
+        g = flat(self.gradients(around, wanted))
+        self.first += 0.1 * (g - self.first)
+        self.second += 0.001 * (g * g - self.second)
+        scale = self.second / (1 - 0.999**self.steps)
+        np.sqrt(scale, out=scale)
+        scale += 1e-8
+        change = rate * self.first
+        change /= 1 - 0.9**self.steps
+        change /= scale
+        self.all -= change
 
 
 def _positions(classes: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -196,7 +215,7 @@ def _train(words: Vocabulary, weights: Weights):
                 for start in range(0, len(wanted), BATCH):
                     trainer.step(around[start : start + BATCH], wanted[start : start + BATCH])
         if trainer.seen:
-            values = flat(trainer.weights).astype(np.float64)
+            values = trainer.all.astype(np.float64)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.arange(len(values))), pa.array(values), pa.array(np.full(len(values), trainer.seen))],
                 names=["place", "value", "seen"],
@@ -225,14 +244,22 @@ def train(documents: DataFrame, words: Vocabulary) -> Weights:
 RARE = "rare array<struct<word: string, times: long>>"
 
 
+def _listed(rare: list[Counter]) -> pa.Array:
+    """The words and counts of each text as a list of structs."""
+    words = pa.array(list(chain.from_iterable(rare)), pa.string())
+    times = pa.array(list(chain.from_iterable(r.values() for r in rare)), pa.int64())
+    ends = np.cumsum([0, *map(len, rare)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays([words, times], ["word", "times"]))
+
+
 def _score(words: Vocabulary, weights: Weights):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 100):
                 part = batch.slice(at, 100)
-                own = part.column(1).to_pylist()
-                numbers = [words.read(t) for t in own]
-                rare = [list(Counter(w for w in words_of(t) if w not in words.known).items()) for t in own]
+                own = [words_of(t) for t in part.column(1).to_pylist()]
+                numbers = [words.numbers(w) for w in own]
+                rare = [Counter(compress(w, (n == 0).tolist())) for w, n in zip(own, numbers, strict=True)]
                 sizes = np.array([len(n) for n in numbers], dtype=np.int64)
                 logs = class_log_probabilities(weights, *_positions([words.classes[n] for n in numbers]))
                 every = np.concatenate(numbers)
@@ -244,10 +271,7 @@ def _score(words: Vocabulary, weights: Weights):
                         part.column(0),
                         pa.array(sizes),
                         pa.array(sums[ends] - sums[ends - sizes]),
-                        pa.array(
-                            [[{"word": w, "times": n} for w, n in r] for r in rare],
-                            pa.list_(pa.struct([("word", pa.string()), ("times", pa.int64())])),
-                        ),
+                        _listed(rare),
                     ],
                     names=["doc_id", "n_words", "known", "rare"],
                 )

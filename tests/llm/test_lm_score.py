@@ -140,3 +140,30 @@ def test_every_position_is_a_target_in_a_round(monkeypatch):
     out = list(m._train(words, m.first_weights(words.sums))(iter([pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])])))
     assert np.concatenate(seen).tolist() == wanted.tolist()
     assert out[0].column(2)[0].as_py() == len(wanted)
+
+
+def test_a_text_is_split_once_for_its_score(monkeypatch):
+    words = m.Vocabulary([("a", 9), ("b", 3)], 5, 20)
+    texts = ["a x b x", None, "B y a", "", "x"]
+    split = []
+    words_of = m.words_of
+    monkeypatch.setattr(m, "words_of", lambda text: (split.append(text), words_of(text))[1])
+    batch = pa.RecordBatch.from_arrays([pa.array(range(5), pa.int64()), pa.array(texts)], names=["doc_id", "text"])
+    out = list(m._score(words, m.first_weights(words.sums))(iter([batch])))[0]
+    assert split == texts  # twice before
+    rare = [{"x": 2}, {}, {"y": 1}, {}, {"x": 1}]
+    assert [{r["word"]: r["times"] for r in own} for own in out.column("rare").to_pylist()] == rare
+    assert out.column("n_words").to_pylist() == [4, 0, 3, 0, 1]
+
+
+def test_a_step_follows_adam_and_changes_one_vector():
+    weights = small_weights(5)
+    trainer = m.Trainer(weights)
+    around, wanted = sample(64, 6)
+    gradients = trainer.gradients(around, wanted)
+    trainer.step(around, wanted)
+    for n, g in gradients.items():
+        step = m.RATE / (1 + 1 / 500) * g / (np.abs(g) + 1e-8)
+        assert np.allclose(trainer.weights[n], weights[n] - step)
+    assert (trainer.all == m.flat(trainer.weights)).all()
+    assert all(np.shares_memory(w, trainer.all) for w in trainer.weights.values())
