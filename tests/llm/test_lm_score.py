@@ -167,3 +167,65 @@ def test_a_step_follows_adam_and_changes_one_vector():
         assert np.allclose(trainer.weights[n], weights[n] - step)
     assert (trainer.all == m.flat(trainer.weights)).all()
     assert all(np.shares_memory(w, trainer.all) for w in trainer.weights.values())
+
+
+def test_split_finds_the_words_of_each_text():
+    texts = [None, "", "  ", "a", " A  b ", "\u00a0x\u2003\u0130 \x1cy\x85\u3000", "\u03a3\u03a3 \u200b\t\r\n\x0b\x0c\x1f", "b"]
+    texts += [f"a{chr(c)}b" for c in range(0x110000) if not 0xD800 <= c < 0xE000 and (c < 0x3100 or chr(c).isspace() or c % 997 == 0)]
+    words, sizes = m.split(pa.array(texts, pa.string()))
+    assert words.to_pylist() == [w for t in texts for w in m.words_of(t)]
+    assert sizes.tolist() == [len(m.words_of(t)) for t in texts]
+    assert m.split(pa.array([], pa.string()))[1].tolist() == []
+
+
+def test_counting_and_training_make_no_string_of_each_word(monkeypatch):
+    words = m.Vocabulary([("a", 9), ("b", 3)], 5, 20)
+    batch = pa.RecordBatch.from_arrays([pa.array(["a x b", None, "B a"])], names=["text"])
+    monkeypatch.setattr(m, "words_of", None)  # both called it for each text before
+    assert next(m._train(words, m.first_weights(words.sums))(iter([batch]))).column(2)[0].as_py() == 5
+    (counts,) = m._count(iter([batch, batch]))
+    assert dict(zip(*counts.to_pydict().values(), strict=True)) == {"a": 4, "x": 2, "b": 4}
+    assert [c.num_rows for c in m._count(iter([]))] == [0]
+
+
+def test_counts_go_out_in_bounded_parts(monkeypatch):
+    monkeypatch.setattr(m, "COUNTED", 4)
+    batches = [pa.RecordBatch.from_arrays([pa.array([t])], names=["text"]) for t in ("a b", "a c", "b", "a")]
+    parts = [dict(zip(*c.to_pydict().values(), strict=True)) for c in m._count(iter(batches))]
+    assert parts == [{"a": 2, "b": 1, "c": 1}, {"b": 1, "a": 1}]
+
+
+@pytest.mark.parametrize("sent", [1 << 18, 2, 0])
+def test_sent_counts_give_the_same_scores_and_are_not_joined(spark, monkeypatch, sent):
+    docs = documents(spark, ["a a a a a a a a b", "often x often", "often b", "often y", "seldom", None])
+    monkeypatch.setattr(m, "VOCABULARY", 3)
+    words = m.vocabulary(docs)
+    assert set(words.known) == {"a"}
+    plain = m.pseudo_likelihood(docs)
+    monkeypatch.setattr(m, "SENT", sent)
+    others = m.frequent_others(m.word_counts(docs), words)
+    # "a" has four binary digits, "often" three, "b" two: all of a length or none
+    assert set(others["word"].to_pylist()) == {1 << 18: {"often", "b", "x", "y", "seldom"}, 2: {"often"}, 0: set()}[sent]
+    batch = pa.RecordBatch.from_arrays([pa.array([0, 1]), pa.array(["a often b", "x often"])], names=["doc_id", "text"])
+    (scored,) = m._score(words, m.first_weights(words.sums), others)(iter([batch]))
+    rare = [{r["word"] for r in own} for own in scored.column("rare").to_pylist()]
+    assert rare == [{"often", "b"} - set(others["word"].to_pylist()), {"often", "x"} - set(others["word"].to_pylist())]
+    now = {r["doc_id"]: r["log_probability"] for r in m.pseudo_likelihood(docs).collect()}
+    assert now == {r["doc_id"]: pytest.approx(r["log_probability"], abs=1e-7) for r in plain.collect()}
+
+
+def test_large_logits_are_shifted():
+    weights = {n: (w * 400).astype(np.float32) if n == "out" else w.astype(np.float32) for n, w in small_weights(7).items()}
+    around, wanted = sample(512, 8)
+    double = {n: w.astype(np.float64) for n, w in weights.items()}
+    assert np.allclose(m.class_log_probabilities(weights, around, wanted), m.class_log_probabilities(double, around, wanted), rtol=1e-4, atol=1e-2)
+    got, exact = (m.Trainer(w).gradients(around, wanted) for w in (weights, double))
+    assert all(np.isfinite(got[n]).all() and np.allclose(got[n], exact[n], rtol=1e-2, atol=1e-3 * np.abs(exact[n]).max()) for n in m.SHAPES)
+
+
+@pytest.mark.parametrize("n", [512, 256, 130, 1])
+def test_pieces_give_the_gradients_of_all_rows(n):
+    weights, (around, wanted) = small_weights(9), sample(n, 10)
+    got = m.Trainer(weights).gradients(around, wanted)
+    rows = [m.Trainer(weights).gradients(a[None], b[None]) for a, b in zip(around, wanted, strict=True)]
+    assert all(np.allclose(got[k], sum(r[k] for r in rows) / n) for k in m.SHAPES)
