@@ -114,26 +114,27 @@ class Vocabulary:
         return self.numbers(words_of(text))
 
 
-def vocabulary(documents: DataFrame, counts: DataFrame | None = None) -> Vocabulary:
-    """The vocabulary by the ``counts`` of the documents' words, which are taken if not given."""
-    counts = landed(word_counts(documents), "words") if counts is None else counts
-    sizes = counts.agg(F.count(F.lit(1)).alias("kinds"), F.sum("n").alias("total")).first()
-    total = sizes["total"] or 0
-    rows = counts.filter(F.col("n") * VOCABULARY >= total).collect()
+def frequent(counts: DataFrame) -> tuple[Vocabulary, pa.Table]:
+    """The vocabulary by the ``counts``, and (word, n) of the most frequent words outside it.
+
+    Those are all words whose count has so many binary digits, at most SENT words with the vocabulary's.
+    """
+    digits = F.length(F.bin("n"))
+    sizes = counts.groupBy(digits.alias("digits")).agg(F.count(F.lit(1)).alias("kinds"), F.sum("n").alias("total")).collect()
+    sizes.sort(key=lambda r: -r["digits"])
+    total = sum(r["total"] for r in sizes)
+    sums = np.cumsum([r["kinds"] for r in sizes])
+    least = min((r["digits"] for r, n in zip(sizes, sums, strict=True) if n <= SENT), default=64)
+    found = counts.filter((F.col("n") * VOCABULARY >= total) | (digits >= least)).toArrow()
+    own = found["n"].to_numpy() * VOCABULARY >= total
+    rows = found.filter(pa.array(own)).to_pylist()
     words = sorted(((r["word"], r["n"]) for r in rows), key=lambda x: (-x[1], x[0]))
-    return Vocabulary(words, sizes["kinds"], total)
+    return Vocabulary(words, sum(r["kinds"] for r in sizes), total), found.filter(pa.array(~own))
 
 
-def frequent_others(counts: DataFrame, words: Vocabulary) -> pa.Table:
-    """(word, n) of the most frequent words outside the vocabulary, by ``counts``: all of so many digits, at most SENT."""
-    digits = F.length(F.bin("n"))
-    kinds = {r["digits"]: r["words"] for r in counts.groupBy(digits.alias("digits")).agg(F.count(F.lit(1)).alias("words")).collect()}
-    order = sorted(kinds, reverse=True)
-    sums = np.cumsum([kinds[d] for d in order])
-    least = min((d for d, n in zip(order, sums, strict=True) if n <= SENT), default=64)
-    found = counts.filter(digits >= least).toArrow()
-    known = pc.is_in(found["word"], value_set=pa.array(words.known, found["word"].type))
-    return found.filter(pc.invert(known))
+def vocabulary(documents: DataFrame, counts: DataFrame | None = None) -> Vocabulary:
+    """The vocabulary by the ``counts`` of the documents' words, which are taken if not given."""
+    return frequent(landed(word_counts(documents), "words") if counts is None else counts)[0]
 
 
 def _looked_up(words: pa.Array, among: pa.Array) -> np.ndarray:
@@ -389,10 +390,12 @@ def _score(words: Vocabulary, weights: Weights, others: pa.Table | None = None):
 def rare_shares(scored: DataFrame, counts: DataFrame, words: Vocabulary) -> DataFrame:
     """(row, others): the log shares of all words listed as rare in a row, by their counts.
 
-    Such a word is less than one in VOCABULARY words, so no key of the join is hot.
+    Such a word is less than one in VOCABULARY words, so no key of the join is hot. Words found once
+    need not be joined: the logarithm of their count is 0.
     """
-    rare = scored.select("row", F.explode("rare").alias("r")).select("row", "r.*").join(counts, "word")
-    share = F.round(F.col("times") * (F.log("n") - F.lit(float(np.log(words.sums[UNKNOWN])))), 9)
+    rare = scored.select("row", F.explode("rare").alias("r")).select("row", "r.*")
+    rare = rare.join(counts.filter("n > 1"), "word", "left")
+    share = F.round(F.col("times") * (F.coalesce(F.log("n"), F.lit(0.0)) - F.lit(float(np.log(words.sums[UNKNOWN])))), 9)
     # Sums of whole numbers do not depend on the order in which tasks end.
     return rare.groupBy("row").agg(F.sum(share.cast("decimal(28,9)")).cast("double").alias("others"))
 
@@ -404,10 +407,10 @@ def pseudo_likelihood(documents: DataFrame) -> DataFrame:
     words, log_probability 0 and per_word null. Repeated rows and null ids stay rows.
     """
     counts = landed(word_counts(documents), "words")
-    words = vocabulary(documents, counts)
+    words, others = frequent(counts)
     weights = train(documents, words)
     rows = texts(documents).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    found = rows.mapInArrow(_score(words, weights, frequent_others(counts, words)), f"doc_id long, n_words long, known double, {RARE}")
+    found = rows.mapInArrow(_score(words, weights, others), f"doc_id long, n_words long, known double, {RARE}")
     found = landed(found.withColumn("row", F.monotonically_increasing_id()), "scores")
     both = found.drop("rare").join(rare_shares(found, counts, words), "row", "left")
     scored = both.select("doc_id", "n_words", (F.col("known") + F.coalesce("others", F.lit(0.0))).alias("log_probability"))

@@ -199,11 +199,10 @@ def test_counts_go_out_in_bounded_parts(monkeypatch):
 def test_sent_counts_give_the_same_scores_and_are_not_joined(spark, monkeypatch, sent):
     docs = documents(spark, ["a a a a a a a a b", "often x often", "often b", "often y", "seldom", None])
     monkeypatch.setattr(m, "VOCABULARY", 3)
-    words = m.vocabulary(docs)
-    assert set(words.known) == {"a"}
     plain = m.pseudo_likelihood(docs)
     monkeypatch.setattr(m, "SENT", sent)
-    others = m.frequent_others(m.word_counts(docs), words)
+    words, others = m.frequent(m.word_counts(docs))
+    assert set(words.known) == {"a"}
     # "a" has four binary digits, "often" three, "b" two: all of a length or none
     assert set(others["word"].to_pylist()) == {1 << 18: {"often", "b", "x", "y", "seldom"}, 2: {"often"}, 0: set()}[sent]
     batch = pa.RecordBatch.from_arrays([pa.array([0, 1]), pa.array(["a often b", "x often"])], names=["doc_id", "text"])
