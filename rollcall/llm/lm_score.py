@@ -43,6 +43,8 @@ BATCH, RATE = 512, 0.01
 BLOCK = 1024
 #: Texts whose positions are taken at once.
 SLICE = 200
+#: Bytes of text whose words are found at once.
+PORTION = 1 << 24
 #: Words counted at once, at least, if a task has them.
 COUNTED = 4_000_000
 SEED = 11
@@ -71,12 +73,23 @@ def split(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
     return words.filter(pa.array(filled)), np.diff(before[np.r_[0, np.cumsum(pc.list_value_length(lists).to_numpy())]])
 
 
+def _portions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches, whose last column is text, in runs of whole slices: of about PORTION bytes, or one slice each."""
+    for batch in batches:
+        starts = np.arange(0, batch.num_rows, SLICE)
+        if len(starts):
+            sizes = np.add.reduceat(pc.fill_null(pc.binary_length(batch.columns[-1]), 0).to_numpy().astype(np.int64), starts)
+            _, first = np.unique(np.cumsum(sizes) // PORTION, return_index=True)
+            for start, end in zip(starts[first], [*starts[first[1:]], batch.num_rows], strict=True):
+                yield batch.slice(start, end - start)
+
+
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def counted() -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(pa.chunked_array(held, pa.string()).value_counts().flatten(), names=["word", "n"])
 
     held = []
-    for batch in batches:
+    for batch in _portions(batches):
         held.append(split(batch.column(0))[0])
         if sum(map(len, held)) >= COUNTED:
             yield counted()
@@ -307,7 +320,7 @@ def _train(words: Vocabulary, weights: Weights):
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trainer = Trainer(weights)
-        for batch in batches:
+        for batch in _portions(batches):
             found, sizes = split(batch.column(0))
             own = np.split(codes[_looked_up(found, vocabulary)], np.cumsum(sizes)[:-1])
             for at in range(0, batch.num_rows, SLICE):
@@ -364,13 +377,13 @@ def _score(words: Vocabulary, weights: Weights, others: pa.Table | None = None):
     shares = np.r_[0.0, shares[1:]]  # those of all other words come from their table
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _portions(batches):
             found, sizes = [], []
             for at in range(0, batch.num_rows, SLICE):
                 own = [words_of(t) for t in batch.column(1).slice(at, SLICE).to_pylist()]
                 found.append(pa.array(chain.from_iterable(own), pa.string()))
                 sizes += map(len, own)
-            found, sizes = pa.concat_arrays(found or [pa.array([], pa.string())]), np.array(sizes, dtype=np.int64)
+            found, sizes = pa.concat_arrays(found), np.array(sizes, dtype=np.int64)
             numbers = _looked_up(found, known)
             ends = np.r_[0, np.cumsum(sizes)]
             for at in range(0, batch.num_rows, SLICE):

@@ -228,3 +228,16 @@ def test_pieces_give_the_gradients_of_all_rows(n):
     got = m.Trainer(weights).gradients(around, wanted)
     rows = [m.Trainer(weights).gradients(a[None], b[None]) for a, b in zip(around, wanted, strict=True)]
     assert all(np.allclose(got[k], sum(r[k] for r in rows) / n) for k in m.SHAPES)
+
+
+def test_long_texts_go_in_portions_of_whole_slices(monkeypatch):
+    monkeypatch.setattr(m, "SLICE", 2)
+    monkeypatch.setattr(m, "PORTION", 10)
+    texts = ["a", None, "b" * 30, "c", "", "d", "e", "f", "\u00e9" * 6]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(9)), pa.array(texts)], names=["doc_id", "text"])
+    parts = [p.column(0).to_pylist() for p in m._portions(iter([batch.slice(0, 0), batch]))]
+    assert parts == [[0, 1], [2, 3, 4, 5, 6, 7], [8]]
+    words = m.Vocabulary([("a", 9), ("b", 3)], 5, 20)
+    scored = pa.Table.from_batches(m._score(words, m.first_weights(words.sums))(iter([batch])))
+    assert scored["doc_id"].to_pylist() == list(range(9))
+    assert scored["n_words"].to_pylist() == [1, 0, 1, 1, 0, 1, 1, 1, 1]
