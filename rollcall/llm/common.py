@@ -26,10 +26,10 @@ def shared_path(spark: SparkSession, what: str) -> str:
     return f"{checkpoint_dir(spark)}/{what}-{uuid.uuid4().hex}"
 
 
-def landed(df: DataFrame, what: str) -> DataFrame:
-    """``df`` written once as Parquet to the shared folder and read back."""
+def landed(df: DataFrame, what: str, **options: int) -> DataFrame:
+    """``df`` written once as Parquet to the shared folder, with options of the writer, and read back."""
     path = shared_path(df.sparkSession, what)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -6,6 +6,9 @@ each text; a hash join on (text, end) finds the places where tokens of both toke
 cut both sequences into groups. Pairs of ids in a group are links. ``Table.group_by`` folds them per
 text and then per block of texts, so Spark sums a row per block and pair of ids, joins the sums back
 to the blocks, and every block scores its texts.
+
+An executor holds a slice and the links of a block per task in Python. In the JVM a block is many
+short rows, a pair of ids or a text each; no row, buffer or batch there grows with the block.
 """
 
 from __future__ import annotations
@@ -22,10 +25,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rollcall.llm.common import landed
+from rollcall.llm.common import landed, small_batches
 
 #: Bytes of texts in a slice and in a block; a longer text is a slice and a block of its own.
-SLICE_BYTES, BLOCK_BYTES = 1 << 20, 6 << 20
+SLICE_BYTES, BLOCK_BYTES = 1 << 18, 6 << 20
+#: Bytes of an Arrow batch that goes back to Spark, and of a row group in which Spark stores such rows.
+BATCH_BYTES, ROW_GROUP_BYTES = 1 << 20, 8 << 20
 #: Links per token up to which they are listed before they are folded.
 FEW_LINKS = 4
 #: Fixed value: how the byte-level vocabulary cuts a text before it merges.
@@ -227,28 +232,45 @@ def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list]]:
 
 
 _COUNTS = ("n_a", "n_b", "n_groups", "n_links")
-_BLOCK = (
-    "block long, keys array<long>, holders array<long>, doc_id array<long>, sha array<string>, links array<int>, times array<long>, "
-    "ends array<long>, " + ", ".join(f"{c} array<long>" for c in _COUNTS)
-)
+#: Of a block: a row for each of its pairs of ids, then a row for each of its texts; the other's columns are null.
+#: ``links`` are a text's pairs as places in the block's sorted keys, ``times`` how often it has them, as plain bytes.
+_PAIR = ("key long", "holders long")
+_TEXT = ("doc_id long", "sha string", *(f"{c} long" for c in _COUNTS), "links binary", "times binary")
+_BLOCK = ", ".join(("block long", *_PAIR, *_TEXT))
+_KINDS = {"long": pa.int64(), "string": pa.string(), "binary": pa.binary()}
+
+
+def _packed(values: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """The bytes of the values up to each end."""
+    offsets = (np.r_[0, ends] * values.itemsize).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(values))])
+
+
+def _rows(number: int, length: int, values: dict) -> Iterator[pa.RecordBatch]:
+    """Rows of a block with these columns, in batches of about ``BATCH_BYTES``."""
+    columns = {"block": pa.repeat(pa.scalar(number, pa.int64()), length)}
+    for name, kind in map(str.split, (*_PAIR, *_TEXT)):
+        columns[name] = pa.array(values[name], _KINDS[kind]) if name in values else pa.nulls(length, _KINDS[kind])
+    batch = pa.RecordBatch.from_pydict(columns)
+    step = max(1, length * BATCH_BYTES // max(1, batch.nbytes))
+    for first in range(0, length, step):
+        yield batch.slice(first, step)
 
 
 def _blocks(path_a: str, path_b: str):
-    def block_of(number: int, ids: list, sha: list, counts: list, links: list) -> pa.RecordBatch:
+    def block_of(number: int, ids: list, sha: list, counts: list, links: list) -> Iterator[pa.RecordBatch]:
         table = pa.concat_tables(links).combine_chunks()
-        order = np.argsort(table.column("row").to_numpy(), kind="stable")
-        row, key, times = (table.column(c).to_numpy()[order] for c in ("row", "key", "times"))
         held = table.group_by("key").aggregate([([], "count_all")]).sort_by("key")
         keys = held.column("key").to_numpy()
-        values = {
-            "keys": keys, "holders": held.column("count_all").to_numpy(), "doc_id": ids, "sha": sha,
-            "links": np.searchsorted(keys, key).astype(np.int32), "times": times,
-            "ends": np.searchsorted(row, np.arange(len(ids)), side="right"),
-            **{c: np.concatenate([x[c] for x in counts]) for c in _COUNTS},
-        }
-        kinds = {"sha": pa.string(), "links": pa.int32()}
-        arrays = [pa.array([v if isinstance(v, list) else v.tolist()], pa.list_(kinds.get(c, pa.int64()))) for c, v in values.items()]
-        return pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), *arrays], names=["block", *values])
+        yield from _rows(number, len(keys), {"key": keys, "holders": held.column("count_all").to_numpy()})
+        del held
+        row, key, times = (table.column(c).to_numpy() for c in ("row", "key", "times"))
+        order = np.argsort(row, kind="stable")
+        ends = np.cumsum(np.bincount(row, minlength=len(ids)))
+        values = {"doc_id": ids, "sha": sha, **{c: np.concatenate([x[c] for x in counts]) for c in _COUNTS}}
+        values["links"] = _packed(np.searchsorted(keys, key).astype(np.uint32)[order], ends)
+        values["times"] = _packed(times[order], ends)
+        yield from _rows(number, len(ids), values)
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sides = _load(path_a, path_b)
@@ -261,11 +283,12 @@ def _blocks(path_a: str, path_b: str):
             counts.append({c: getattr(found, c) for c in _COUNTS})
             ids += own
             size += sum(map(len, filter(None, texts)))
+            del found
             if size >= BLOCK_BYTES:
-                yield block_of(number, ids, sha, counts, links)
+                yield from block_of(number, ids, sha, counts, links)
                 ids, sha, counts, links, size, number = [], [], [], [], 0, number + 1
         if ids:
-            yield block_of(number, ids, sha, counts, links)
+            yield from block_of(number, ids, sha, counts, links)
 
     return blocks
 
@@ -273,15 +296,13 @@ def _blocks(path_a: str, path_b: str):
 def aligned_blocks(documents: DataFrame, path_a: str, path_b: str) -> DataFrame:
     """Blocks of texts, stored: their different links with the number of texts that hold each, and per
     text what is counted in it and its links as places in that list."""
+    small_batches(documents.sparkSession)
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return landed(rows.mapInArrow(_blocks(path_a, path_b), _BLOCK), "blocks")
+    return landed(rows.mapInArrow(_blocks(path_a, path_b), _BLOCK), "blocks", **{"parquet.block.size": ROW_GROUP_BYTES})
 
 
 def _block_links(blocks: DataFrame) -> DataFrame:
-    zipped = F.arrays_zip("keys", "holders")
-    return blocks.select("block", F.posexplode(zipped).alias("place", "link")).select(
-        "block", "place", F.col("link.keys").alias("key"), F.col("link.holders").alias("holders")
-    )
+    return blocks.filter(F.col("key").isNotNull()).select("block", "key", "holders")
 
 
 def link_counts(blocks: DataFrame) -> DataFrame:
@@ -304,17 +325,16 @@ def link_counts(blocks: DataFrame) -> DataFrame:
 _SCORED = "doc_id long, " + ", ".join(f"{c} long" for c in (*_COUNTS, "n_best", "count_sum")) + ", groups_sha256 string"
 
 
-def _score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for i in range(batch.num_rows):
-            row = {name: batch.column(name)[i].values for name in batch.schema.names if batch.column(name)[i].is_valid}
-            links, times, ends = (row[c].to_numpy() for c in ("links", "times", "ends"))
-            found = row["known"].flatten() if "known" in row else [pa.array([], pa.int64())] * 3
-            documents, best = found[1].to_numpy()[links], found[2].to_numpy()[links]
-            sums = [np.r_[0, np.cumsum(v)] for v in (times * best, times * documents)]
-            starts = np.r_[0, ends[:-1]]
-            columns = [row["doc_id"], *(row[c] for c in _COUNTS), *(pa.array(s[ends] - s[starts]) for s in sums), row["sha"]]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", *_COUNTS, "n_best", "count_sum", "groups_sha256"])
+def _score(known: pa.Table, rows: pa.Table) -> pa.Table:
+    """Texts of a block with its links' counts; ``known`` has every link of the block."""
+    order = np.argsort(known.column("key").to_numpy())
+    documents, best = (known.column(c).to_numpy()[order] for c in ("documents", "best"))
+    links, times = (np.frombuffer(b"".join(rows.column(c).to_pylist()), kind) for c, kind in (("links", np.uint32), ("times", np.int64)))
+    ends = np.cumsum(pc.binary_length(rows.column("times")).to_numpy(), dtype=np.int64) // times.itemsize
+    starts = np.r_[0, ends[:-1]]
+    sums = [np.r_[0, np.cumsum(times * v[links])] for v in (best, documents)]
+    columns = [*(rows.column(c) for c in ("doc_id", *_COUNTS)), *(pa.array(s[ends] - s[starts]) for s in sums), rows.column("sha")]
+    return pa.table(columns, names=["doc_id", *_COUNTS, "n_best", "count_sum", "groups_sha256"])
 
 
 def alignment_scores(documents: DataFrame, path_a: str, path_b: str) -> DataFrame:
@@ -329,11 +349,11 @@ def alignment_scores(documents: DataFrame, path_a: str, path_b: str) -> DataFram
     A text needs memory in proportion to its length.
     """
     blocks = aligned_blocks(documents, path_a, path_b)
-    known = _block_links(blocks).join(link_counts(blocks).select("key", "documents", "best"), "key")
-    entry = F.struct("place", "documents", F.col("best").cast("long").alias("best"))
-    # A block has a bounded number of links, so its counts fit one row.
-    known = known.groupBy("block").agg(F.array_sort(F.collect_list(entry)).alias("known"))
-    return blocks.drop("keys", "holders").join(known, "block", "left").drop("block").mapInArrow(_score, _SCORED)
+    counts = link_counts(blocks).select("key", "documents", F.col("best").cast("long").alias("best"))
+    known = _block_links(blocks).select("block", "key").join(counts, "key")
+    rows = blocks.filter(F.col("key").isNull()).drop("key", "holders").withColumnRenamed("block", "own")
+    # A block has a bounded number of texts and links, so Python gets it whole.
+    return known.groupBy("block").cogroup(rows.groupBy("own")).applyInArrow(_score, _SCORED)
 
 
 def aligned_texts(documents: DataFrame, path_a: str, path_b: str) -> DataFrame:
@@ -344,5 +364,6 @@ def aligned_texts(documents: DataFrame, path_a: str, path_b: str) -> DataFrame:
             found = Aligned(texts, *_load(path_a, path_b)).texts()
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(found, pa.string())], names=["doc_id", "groups"])
 
+    small_batches(documents.sparkSession)
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return rows.mapInArrow(groups, "doc_id long, groups string")

@@ -5,6 +5,7 @@ import random
 from collections import Counter, defaultdict
 from functools import lru_cache
 
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -145,6 +146,34 @@ def test_a_very_long_text(spark, plain_encoders):
     assert rows[0][1] > 600_000 and rows[1][1] > 1_000_000 and rows[1][3] > 0
 
 
+def test_no_row_and_no_batch_holds_a_block(spark, monkeypatch):
+    random.seed(7)
+    some = [" ".join(f"{random.choice('abcdefgh')}{random.randrange(10_000)}" for _ in range(300)) for _ in range(600)]
+    monkeypatch.setattr(ta, "TaskContext", type("Task", (), {"get": staticmethod(lambda: type("One", (), {"partitionId": staticmethod(lambda: 3)}))}))
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(len(some))), "text": some})
+    monkeypatch.setattr(ta, "BATCH_BYTES", 1 << 17)
+    batches = list(ta._blocks(A, B)(iter([batch])))
+    assert {n for b in batches for n in b.column(0).to_pylist()} == {3 << 32}
+    assert sum(b.nbytes for b in batches) > 16 * ta.BATCH_BYTES and max(b.nbytes for b in batches) < 2 * ta.BATCH_BYTES
+    assert all(b.slice(i, 1).nbytes < 64 * 300 for b in batches for i in range(0, b.num_rows, 50))
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
+    try:
+        ta.alignment_scores(documents(spark, some[:2]), A, B)
+        assert int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= 2_000
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+
+
+def test_texts_without_links_beside_others(spark, plain_encoders, monkeypatch):
+    monkeypatch.setattr(ta, "SLICE_BYTES", 1)
+    monkeypatch.setattr(ta, "BLOCK_BYTES", 1)
+    df = documents(spark, [None, "", "one two", None, "▁", "two one two"]).coalesce(1)
+    assert found(df) == plain(rows_of(df), plain_encoders)
+    lost = documents(spark, [None, "", "▁"])
+    assert found(lost) == plain(rows_of(lost), plain_encoders)
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.text(alphabet=st.characters(exclude_categories=("Cs",)), max_size=60))
 def test_ranks_give_the_ids_of_the_tokenizer(text):
